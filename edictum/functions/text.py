@@ -22,9 +22,9 @@ _ATTRS = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>"""
 RAW_TEXT_ELEMENT = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>"
 _COMMENT = r"(?s)<!--.*?-->"
 _BLOCK_TAG = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?=[\s/>]){_ATTRS}"
-_OTHER_TAG = rf"</?[a-zA-Z]{_ATTRS}|</[^>]*>|<[!?][^>]*>"
-_CUT_TAG = r"<[a-zA-Z/!?][^>]*\z"
-_BLANK_RUN = rf"(?U)(?<=\A|[{_BLOCK}{_INLINE}]){_WS}+(?=[{_BLOCK}{_INLINE}]|\z)"
+# The last case is a tag cut off by the end of the text.
+_OTHER_TAG = rf"</?[a-zA-Z]{_ATTRS}|</[^>]*>|<[!?][^>]*>|<[a-zA-Z/!?][^>]*\z"
+_BLANK_RUN = rf"(?U)([{_BLOCK}{_INLINE}]){_WS}+(?=[{_BLOCK}{_INLINE}])"
 
 # Patterns for personal data, with their replacements, in order of use.
 ID_CARD = r"(?U)(?<!\d)\d{17}[\dXx](?!\d)"
@@ -58,8 +58,8 @@ def first_nonblank(*cols: Column) -> Column:
 
 # ---------------------------------------------------------------- entities
 
-_COMMON = {"lt;": "<", "gt;": ">", "quot;": '"', "nbsp;": "\xa0", "middot;": "·", "copy;": "©"}
-_UNCOMMON = rf"&(?!(?:amp;|{'|'.join(_COMMON)}))"
+# Decoded without a look at the full table of names.
+_COMMON = {"amp;": "&", "lt;": "<", "gt;": ">", "quot;": '"', "nbsp;": "\xa0", "middot;": "·", "copy;": "©"}
 _NUMERIC = r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
 _LEGACY = "^(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)) + ")"
 
@@ -101,8 +101,13 @@ def _decode_reference(piece: Column) -> Column:
         F.split(F.lit("\ufdd4".join(html5.values())), "\ufdd4"),
     )
     rest = lambda token: F.substr(piece, F.length(token) + 1)
+    decoded = F.when(~piece.rlike("^[#a-zA-Z]"), F.concat(F.lit("&"), piece))
+    for name, char in _COMMON.items():
+        decoded = decoded.when(
+            F.startswith(piece, F.lit(name)), F.concat(F.lit(char), F.substr(piece, F.lit(len(name) + 1)))
+        )
     return (
-        F.when(number != "", F.concat(_code_point(code), rest(number)))
+        decoded.when(number != "", F.concat(_code_point(code), rest(number)))
         .when(
             (named != "") & F.map_contains_key(table, named),
             F.concat(F.try_element_at(table, named), rest(named)),
@@ -113,28 +118,15 @@ def _decode_reference(piece: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Decode HTML character references in one pass.
+    """Decode HTML character references in one pass; text without any is returned as it is."""
 
-    Text with none is returned as it is; text with only the usual ones takes plain replaces
-    (``&amp;`` last, so nothing is decoded twice); the rest goes piece by piece.
-    """
+    def decode(text: Column) -> Column:
+        pieces = F.transform(
+            F.split(text, "&", -1), lambda p, i: F.when(i == 0, p).otherwise(_decode_reference(p))
+        )
+        return F.array_join(pieces, "")
 
-    def usual(v):
-        for name, char in _COMMON.items():
-            v = F.replace(v, F.lit("&" + name), F.lit(char))
-        return F.replace(v, F.lit("&amp;"), F.lit("&"))
-
-    def any_reference(v):
-        pieces = F.split(v, "&")
-        decoded = F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(_decode_reference(p)))
-        return F.array_join(decoded, "")
-
-    return let(
-        c,
-        lambda v: F.when(~F.contains(v, F.lit("&")), v)
-        .when(~v.rlike(_UNCOMMON), usual(v))
-        .otherwise(any_reference(v)),
-    )
+    return let(c, lambda v: F.when(F.contains(v, F.lit("&")), decode(v)).otherwise(v))
 
 
 # ---------------------------------------------------------------- HTML to text
@@ -161,14 +153,17 @@ def clean_html_text(html: Column, drop_script: bool = True) -> Column:
     between two tags are dropped, entities are decoded twice, blanks and line breaks are
     collapsed. ``drop_script=False`` keeps the text of script and style elements.
     """
-    text = F.regexp_replace(html, RAW_TEXT_ELEMENT, _INLINE) if drop_script else _protect_raw_text(html)
-    text = F.regexp_replace(text, _COMMENT, _INLINE)
+    if drop_script:
+        text = F.regexp_replace(html, f"{RAW_TEXT_ELEMENT}|{_COMMENT}", _INLINE)
+    else:
+        text = F.regexp_replace(_protect_raw_text(html), _COMMENT, _INLINE)
     text = F.regexp_replace(text, _BLOCK_TAG, _BLOCK)
     text = F.regexp_replace(text, _OTHER_TAG, _INLINE)
-    text = F.regexp_replace(text, _CUT_TAG, "")
     text = unescape(text)
-    text = F.regexp_replace(text, _BLANK_RUN, "")
-    text = F.translate(text, _BLOCK + _LT + _AMP + _INLINE, "\n<&")
+    text = F.regexp_replace(text, _BLANK_RUN, "$1")
+    text = F.replace(F.replace(text, F.lit(_BLOCK), F.lit("\n")), F.lit(_INLINE), F.lit(""))
+    if not drop_script:
+        text = F.replace(F.replace(text, F.lit(_LT), F.lit("<")), F.lit(_AMP), F.lit("&"))
     text = unescape(text)
     text = F.regexp_replace(text, "[ \\t\u3000]+", " ")
     text = F.regexp_replace(text, "\\n{2,}", "\n")

@@ -20,27 +20,42 @@ def number_rows(
     """Number rows ``start, start+1, ...`` by the integer column ``order``, unique within a group.
 
     The order column is cut into chunks of fixed width, so no sort ever holds more than ``chunk``
-    rows however many share a group. Only the row counts per chunk (one row per million) are
-    accumulated in sequence. The result depends on the values alone, so a retried task agrees.
+    rows however many share a group. Row counts are accumulated over chunks within a block of a
+    million chunks, and over the blocks; only the blocks of a group come together in one task.
+    The result depends on the values alone, so a retried task agrees.
 
     ``descending`` names columns that come before ``order`` in a single global numbering, largest
     first and NULL last. ``df`` is read twice: stage it first if it is expensive.
     """
     groups = groups or []
     major = descending or []
-    chunk_id = F.floor(F.col(order) / F.lit(chunk)).alias("_chunk")
-    rows = df.withColumn("_chunk", chunk_id)
-    keys = [*groups, *major, "_chunk"]
+    chunk_id = F.floor(F.col(order) / F.lit(chunk))
+    rows = df.withColumn("_chunk", chunk_id).withColumn("_block", F.floor(F.col("_chunk") / F.lit(CHUNK)))
+    block = [*groups, *major, "_block"]
+    keys = [*block, "_chunk"]
+    earlier = (Window.unboundedPreceding, -1)
+
+    in_block = Window.partitionBy(*block).orderBy("_chunk").rowsBetween(*earlier)
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(*groups).orderBy(*[F.desc_nulls_last(m) for m in major], "_chunk")
-    offsets = counts.withColumn(
-        "_offset", F.coalesce(F.sum("_rows").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).drop("_rows")
+    chunks = counts.withColumn("_before_chunk", F.coalesce(F.sum("_rows").over(in_block), F.lit(0)))
+
+    newest = [F.desc_nulls_last(m) for m in major]
+    in_group = Window.partitionBy(*groups).orderBy(*newest, "_block").rowsBetween(*earlier)
+    totals = counts.groupBy(*block).agg(F.sum("_rows").alias("_rows"))
+    blocks = totals.withColumn("_before_block", F.coalesce(F.sum("_rows").over(in_group), F.lit(0)))
+
+    def join(left: DataFrame, right: DataFrame, on: list[str], value: str) -> DataFrame:
+        right = right.select(*[F.col(k).alias(f"{value}_{k}") for k in on], value)
+        same = [
+            F.col(k).eqNullSafe(F.col(f"{value}_{k}")) if k in major else F.col(k) == F.col(f"{value}_{k}")
+            for k in on
+        ]
+        return left.join(right, same, "inner").drop(*[f"{value}_{k}" for k in on])
+
+    offsets = join(chunks.drop("_rows"), blocks, block, "_before_block").withColumn(
+        "_before", F.col("_before_block") + F.col("_before_chunk")
+    )
     inside = Window.partitionBy(*keys).orderBy(order)
-    numbered = rows.withColumn("_inside", F.row_number().over(inside))
-    offsets = offsets.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    same = [
-        F.col(k).eqNullSafe(F.col(f"_key_{k}")) if k in major else F.col(k) == F.col(f"_key_{k}") for k in keys
-    ]
-    number = F.lit(start - 1) + F.col("_offset") + F.col("_inside")
-    return numbered.join(offsets, same, "inner").select(*df.columns, number.cast("bigint").alias(out))
+    numbered = join(rows.withColumn("_inside", F.row_number().over(inside)), offsets, keys, "_before")
+    number = F.lit(start - 1) + F.col("_before") + F.col("_inside")
+    return numbered.select(*df.columns, number.cast("bigint").alias(out))

@@ -126,7 +126,13 @@ def total(found: DataFrame) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("total"))
 
 
-def page(found: DataFrame, page: int | str = 1, size: int | str = DEFAULT_SIZE, chunk: int = CHUNK) -> DataFrame:
+def page(
+    found: DataFrame,
+    page: int | str = 1,
+    size: int | str = DEFAULT_SIZE,
+    top_rows: int = TOP_ROWS,
+    chunk: int = CHUNK,
+) -> DataFrame:
     """One page of results, in order; empty past the end.
 
     A shallow page is a top-k over (offset + size) rows. A deep one would make every task hold its
@@ -135,7 +141,7 @@ def page(found: DataFrame, page: int | str = 1, size: int | str = DEFAULT_SIZE,
     number = clamp(page, 1, 1, MAX_PAGE)
     rows = clamp(size, DEFAULT_SIZE, 1, MAX_SIZE)
     skip = (number - 1) * rows
-    if skip + rows <= TOP_ROWS:
+    if skip + rows <= top_rows:
         return newest_first(brief(found)).offset(skip).limit(rows)
     thin = found.select("id", "publish_date", (-F.col("id")).alias("_back"))
     places = number_rows(thin, "_back", out="_n", descending=["publish_date"], chunk=chunk)

@@ -30,6 +30,15 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores before work that costs more than moving them.
+
+    Only a table of fewer files than cores is moved; one that has a file per core is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def create_tables(spark: SparkSession, root: str) -> list[str]:
     """Write the engine's tables as empty files where they are missing; returns what was made."""
     made = []
