@@ -51,4 +51,4 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-from catalog import documents, lists, merge, policies, registry, requests, streams, text  # noqa: E402,F401
+from catalog import documents, jobs, lists, merge, policies, registry, requests, streams, text  # noqa: E402,F401

@@ -1 +1,80 @@
-"""Queries."""
+"""Streaming forms of the ingest, run over the given tables until they are used up."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from catalog import Tables, query
+from catalog.merge import LATEST, scratch
+from edictum.streaming import ingest
+
+
+def stream(t: Tables, name: str) -> DataFrame:
+    """A given table as a stream of files."""
+    return t.spark.readStream.schema(t.table(name).schema).parquet(f"{t.dir}/{name}*.parquet")
+
+
+def incoming(t: Tables) -> DataFrame:
+    """The rows of v_incoming as a stream."""
+    rows = stream(t, "documents").where("doc_id % 3 = 0")
+    first = rows.selectExpr(
+        "doc_id AS seq",
+        "concat('https://www.', source, '.example.org/art/', CAST(doc_id AS STRING), '.html') AS source_url",
+        "CASE WHEN doc_id % 21 = 0 THEN NULL ELSE concat('新 ', CAST(doc_id AS STRING)) END AS title",
+        "text AS content",
+        "'n' AS doc_number",
+        "doc_id % 9 = 0 AS again",
+    )
+    again = "transform(IF(again, array(0, 1), array(0)), k -> k)"
+    return first.withColumn("k", F.explode(F.expr(again))).selectExpr(
+        "seq + k * 1000000000 AS seq",
+        "source_url",
+        "IF(k = 1, concat('再 ', CAST(seq AS STRING)), title) AS title",
+        "IF(k = 1, 'v2', content) AS content",
+        "IF(k = 1, 'm', doc_number) AS doc_number",
+    )
+
+
+@query("stream_ingest", f"WITH {LATEST} SELECT source_url, title, content, doc_number, first_seq FROM latest")
+def _(t: Tables):
+    path = scratch(t, "changes")
+    ingest.start_ingest(incoming(t), path, scratch(t, "ingest")).awaitTermination()
+    rows = ingest.current_rows(ingest.read_changes(t.spark, path))
+    return rows.select("source_url", "title", "content", "doc_number", "first_seq")
+
+
+@query("stream_distinct_urls", "SELECT DISTINCT url AS source_url FROM v_request_log")
+def _(t: Tables):
+    """The log spans 30 days; the watermark allows all of it."""
+    rows = stream(t, "events").selectExpr(
+        "concat('https://h', CAST(user_id % 20 AS STRING), '.example.org/p/', CAST(event_id % 3 AS STRING)) AS source_url",
+        "CAST(ts AS TIMESTAMP) AS ts",
+    )
+    found = ingest.distinct_urls(rows, "ts", "60 days").select("source_url")
+    return ingest.run_to_files(found, scratch(t, "urls"), scratch(t, "urls-state"))
+
+
+@query(
+    "stream_added_per_day",
+    """SELECT CAST(CAST(ts AS DATE) AS STRING) AS day, count(*) AS added FROM events
+    WHERE CAST(ts AS DATE) + 1 <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY 1""",
+)
+def _(t: Tables):
+    """Days the watermark has closed."""
+    rows = stream(t, "events").select(F.col("ts").cast("timestamp").alias("created_at"))
+    days = ingest.run_to_files(ingest.added_per_day(rows), scratch(t, "days"), scratch(t, "days-state"))
+    return days.select(F.col("day").cast("string").alias("day"), "added")
+
+
+@query(
+    "stream_recent_distinct",
+    "SELECT DISTINCT source_url, date FROM (SELECT concat('u', CAST(doc_id AS STRING)) AS source_url, CASE WHEN doc_id % 4 = 0 THEN '' ELSE '2024-05-06' END AS date FROM documents) x",
+)
+def _(t: Tables):
+    """Undated rows pass beside the watermark; dated ones are made distinct behind it."""
+    rows = stream(t, "documents").selectExpr(
+        "concat('u', CAST(doc_id AS STRING)) AS source_url", "CASE WHEN doc_id % 4 = 0 THEN '' ELSE '2024-05-06' END AS date"
+    )
+    found = ingest.recent_distinct(rows, 30)
+    return ingest.run_to_files(found, scratch(t, "recent"), scratch(t, "recent-state"))

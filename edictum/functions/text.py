@@ -64,15 +64,17 @@ _NUMERIC = r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
 _LEGACY = "^(?:" + "|".join(sorted((n for n in html5 if not n.endswith(";")), key=len, reverse=True)) + ")"
 
 
+def _cp1252(byte: int) -> str:
+    try:
+        return bytes([byte]).decode("cp1252")
+    except UnicodeDecodeError:
+        return chr(byte)
+
+
 def _code_point(code: Column) -> Column:
     """Character of a numeric reference, with the HTML rules for codes that are not characters."""
-    cp1252 = F.create_map(
-        *[
-            F.lit(v)
-            for b in range(0x80, 0xA0)
-            for v in (b, bytes([b]).decode("cp1252") if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b))
-        ]
-    )
+    # Bytes 80-9F are read as windows-1252, the five it leaves open as themselves.
+    cp1252 = F.split(F.lit(" ".join(_cp1252(b) for b in range(0x80, 0xA0))), " ")
     dropped = (
         code.between(0x1, 0x8)
         | code.between(0xE, 0x1F)
@@ -82,7 +84,7 @@ def _code_point(code: Column) -> Column:
     )
     return (
         F.when(code.isNull() | (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
-        .when(code.between(0x80, 0x9F), F.try_element_at(cp1252, code.cast("int")))
+        .when(code.between(0x80, 0x9F), F.get(cp1252, (code - 0x80).cast("int")))
         .when(dropped, F.lit(""))
         .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
     )

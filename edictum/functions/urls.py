@@ -59,41 +59,41 @@ def _merge_paths(base_path: Column, path: Column) -> Column:
     return let(joined, lambda p: F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit("/"), p)))
 
 
+def _resolve(base: Column, href: Column) -> Column:
+    """Resolution in full, for a reference that is not plainly absolute."""
+
+    def build(u: Column) -> Column:
+        own, root = u["own"], u["root"]
+        scheme = F.lower(F.when(own["p1"] == "", root["p1"]).otherwise(own["p1"]))
+        bare = (own["p3"] == "") & (own["p2"] == "")
+        host = F.when(own["p2"] == "", root["p2"]).otherwise(own["p2"])
+        path = (
+            F.when(own["p2"] != "", own["p3"])
+            .when(bare, root["p3"])
+            .otherwise(_merge_paths(root["p3"], own["p3"]))
+        )
+        query = F.when(bare & (own["p4"] == ""), root["p4"]).otherwise(own["p4"])
+        joined = F.concat(
+            scheme,
+            F.lit("://"),
+            host,
+            path,
+            F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
+            F.when(own["p5"] != "", F.concat(F.lit("#"), own["p5"])).otherwise(F.lit("")),
+        )
+        return F.when(scheme == F.lower(root["p1"]), joined).otherwise(href)
+
+    parts = lambda url: F.struct(*[_part(url, g).alias(f"p{g}") for g in range(1, 6)])
+    return let(F.struct(parts(href).alias("own"), parts(base).alias("root")), build)
+
+
 def resolve_url(base: Column, href: Column) -> Column:
     """Absolute URL of ``href`` found on the page ``base``."""
-
-    def resolve(b: Column, h: Column) -> Column:
-        own = F.struct(*[_part(h, g).alias(f"p{g}") for g in range(1, 6)])
-        root = F.struct(*[_part(b, g).alias(f"p{g}") for g in range(1, 6)])
-
-        def build(parts: Column) -> Column:
-            o, r = parts["own"], parts["root"]
-            scheme = F.lower(F.when(o["p1"] == "", r["p1"]).otherwise(o["p1"]))
-            same = scheme == F.lower(r["p1"])
-            bare = (o["p3"] == "") & (o["p2"] == "")
-            host = F.when(o["p2"] == "", r["p2"]).otherwise(o["p2"])
-            path = (
-                F.when(o["p2"] != "", o["p3"])
-                .when(bare, r["p3"])
-                .otherwise(_merge_paths(r["p3"], o["p3"]))
-            )
-            query = F.when(bare & (o["p4"] == ""), r["p4"]).otherwise(o["p4"])
-            joined = F.concat(
-                scheme,
-                F.lit("://"),
-                host,
-                path,
-                F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
-                F.when(o["p5"] != "", F.concat(F.lit("#"), o["p5"])).otherwise(F.lit("")),
-            )
-            return F.when(same, joined).otherwise(h)
-
-        return let(F.struct(own.alias("own"), root.alias("root")), build)
-
-    return (
-        F.when(href.rlike(_ABSOLUTE) | (base == ""), href)
-        .when(href == "", base)
-        .otherwise(resolve(base, href))
+    return let(
+        F.struct(base.alias("base"), href.alias("href")),
+        lambda u: F.when(u["href"].rlike(_ABSOLUTE) | (u["base"] == ""), u["href"])
+        .when(u["href"] == "", u["base"])
+        .otherwise(_resolve(u["base"], u["href"])),
     )
 
 

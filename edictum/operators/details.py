@@ -10,10 +10,7 @@ from edictum.functions.text import clean_html_text, doc_number, first_nonblank,
 from edictum.functions.urls import resolve_url
 from edictum.operators.registry import ATTACHMENT, DOWNLOAD, IMAGE, RULE_COLUMNS, with_profile
 
-DETAIL_COLUMNS = [
-    "url", "title", "doc_number", "publish_date", "implement_date", "content",
-    "issuing_authority", "attachments", "images", "raw_html",
-]
+TEXT_RULES = ["title_rules", "content_rules", "doc_number_rules", "authority_rules"]
 
 
 def _extract(html: Column, pattern: Column) -> Column:
@@ -66,21 +63,30 @@ def document_records(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ``keep`` names further columns to pass through, such as ``source``.
     """
     html, url = F.col("html"), F.col("url")
+    # One expression for the four text fields: the plan holds the text rules once.
+    texts = F.transform(F.array(*[F.col(c) for c in TEXT_RULES]), lambda rules: first_text(html, rules))
     found = pages.select(
         *keep,
         "url",
-        first_text(html, F.col("title_rules")).alias("title"),
+        texts.alias("texts"),
         first_date(html, F.col("date_patterns")).alias("publish_date"),
-        F.lit("").alias("implement_date"),
-        first_text(html, F.col("content_rules")).alias("content"),
-        first_text(html, F.col("doc_number_rules")).alias("doc_number_field"),
-        first_text(html, F.col("authority_rules")).alias("issuing_authority"),
         attachment_links(html, url).alias("attachments"),
         image_links(html, url).alias("images"),
         html.alias("raw_html"),
     )
-    return found.withColumn("doc_number", first_nonblank(doc_number(F.col("content")), F.col("doc_number_field"))).select(
-        *keep, *DETAIL_COLUMNS
+    title, content, own_number, authority = (F.get("texts", F.lit(i)) for i in range(len(TEXT_RULES)))
+    return found.select(
+        *keep,
+        "url",
+        title.alias("title"),
+        first_nonblank(doc_number(content), own_number).alias("doc_number"),
+        "publish_date",
+        F.lit("").alias("implement_date"),
+        content.alias("content"),
+        authority.alias("issuing_authority"),
+        "attachments",
+        "images",
+        "raw_html",
     )
 
 

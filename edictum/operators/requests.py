@@ -58,7 +58,7 @@ def politeness(log: DataFrame, min_gap: float = MIN_GAP_SECONDS) -> DataFrame:
     Requests at one instant merge before the shuffle. Gaps are taken within a minute of a host,
     and between minutes from each minute's first and last instant.
     """
-    micros = F.unix_micros("ts")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
     instants = (
         log.select(url_host(F.col("url")).alias("host"), micros.alias("at"))
         .groupBy("host", "at")

@@ -5,18 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edictum.operators.details import parse_documents
+from edictum.operators.details import document_records
 from edictum.operators.linkage import link_by_title, match_titles
 from edictum.operators.listing import list_items, pages_with_source
+from edictum.operators.registry import RULE_COLUMNS
 from edictum.operators.stats import build_report
+from edictum.session import stage
 
 
 def list_documents(list_pages: DataFrame, document_pages: DataFrame, sources: DataFrame, **options):
-    """Items and document records of the saved pages; documents keep source and page_id."""
+    """Items and document records of the saved pages; documents keep source and page_id.
+
+    Both are staged: matching, linking and the report read them again and again, and the pages
+    should be parsed once.
+    """
     items = list_items(pages_with_source(list_pages, sources), **options)
-    ids = document_pages.select("source", "url", "page_id")
-    documents = parse_documents(document_pages, sources).join(ids, ["source", "url"])
-    return items, documents
+    rules = sources.select(F.col("id").alias("source"), *RULE_COLUMNS)
+    documents = document_records(document_pages.join(rules, "source"), keep=("source", "page_id"))
+    return stage(items), stage(documents.drop("raw_html"))
 
 
 def build_policies(items: DataFrame, documents: DataFrame, sources: DataFrame) -> DataFrame:
