@@ -34,8 +34,8 @@ class Tables:
                 (spread(rows) if parse else rows).createOrReplaceTempView(name)
         return self.spark.sql(sql)
 
-    def view(self, name: str) -> DataFrame:
-        return self.sql(cte(f"SELECT * FROM {name}"), parse=name.endswith("_pages"))
+    def view(self, name: str, parse: bool = False) -> DataFrame:
+        return self.sql(cte(f"SELECT * FROM {name}"), parse=parse or name.endswith("_pages"))
 
 
 def query(name: str, sql: str | None = None):

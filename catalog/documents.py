@@ -247,4 +247,4 @@ def _(t: Tables):
     '(^|[^0-9])1[3-9][0-9]{{9}}($|[^0-9])', '\\1[手机号已脱敏]\\2', 'g') AS content FROM v_policies""",
 )
 def _(t: Tables):
-    return enrichment.prepare_policies(t.view("v_policies"), AS_OF).select("id", "validity_status", "content")
+    return enrichment.prepare_policies(t.view("v_policies", parse=True), AS_OF).select("id", "validity_status", "content")

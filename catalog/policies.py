@@ -127,7 +127,7 @@ def _(t: Tables):
 @query("search_page_deep", f"SELECT * FROM ({PAGE}) p ORDER BY publish_date DESC, id DESC LIMIT 40 OFFSET 80")
 def _(t: Tables):
     """The numbered path of deep pages, on a page that exists at every scale."""
-    return _page(t, page=3, size=40, top_rows=0, chunk=64)
+    return _page(t, page=3, size=40, top_rows=0, chunk=4096)
 
 
 @query(
@@ -182,7 +182,7 @@ def _(t: Tables):
     '(^|[^0-9])1[3-9][0-9]{9}($|[^0-9])', '\\1[手机号已脱敏]\\2', 'g') AS content FROM v_policies""",
 )
 def _(t: Tables):
-    return t.view("v_policies").select("id", scrub_pii(F.col("content")).alias("content"))
+    return t.view("v_policies", parse=True).select("id", scrub_pii(F.col("content")).alias("content"))
 
 
 @query(
@@ -252,7 +252,7 @@ BLOBS = "WITH blobs AS (SELECT id, lower(concat(title, ' ', content, ' ', tags,
 
 @query("scenario_tags", f"{BLOBS} {HITS}")
 def _(t: Tables):
-    return scenarios.tag_scenarios(t.view("v_policies")).select("scenario", "id")
+    return scenarios.tag_scenarios(t.view("v_policies", parse=True)).select("scenario", "id")
 
 
 @query("scenario_policies", f"{BLOBS} SELECT id FROM blobs WHERE contains(blob, '集采') OR contains(blob, '带量采购') OR contains(blob, '中选') OR contains(blob, '集中采购')")
@@ -269,7 +269,7 @@ def _(t: Tables):
 def _(t: Tables):
     """Scenario list with the number of policies in each."""
     names = scenarios.list_scenarios(scenarios.scenario_table(t.spark)).withColumnRenamed("id", "scenario")
-    hits = scenarios.tag_scenarios(t.view("v_policies")).groupBy("scenario").agg(F.count(F.lit(1)).alias("policies"))
+    hits = scenarios.tag_scenarios(t.view("v_policies", parse=True)).groupBy("scenario").agg(F.count(F.lit(1)).alias("policies"))
     return hits.join(names, "scenario").select("scenario", "policies")
 
 

@@ -67,7 +67,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     text = F.concat(F.col("content"), F.lit("。\u3000"), F.col("doc_number"), F.lit("，"))
-    return t.view("v_policies").select("id", doc_number(text).alias("doc_number"))
+    return t.view("v_policies", parse=True).select("id", doc_number(text).alias("doc_number"))
 
 
 @query(

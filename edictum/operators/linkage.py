@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edictum.functions.text import first_nonblank, trim_u
+from edictum.session import bounded
 
 _GRAM = 8
 
@@ -16,7 +17,7 @@ def link_by_url(items: DataFrame, documents: DataFrame, sources: DataFrame) -> D
     A URL that appears on several list pages gives one row per appearance, told apart by
     (page_id, pos); the merge keeps the last.
     """
-    names = sources.select(F.col("id").alias("source"), F.col("name").alias("source_name"))
+    names = bounded(sources.select(F.col("id").alias("source"), F.col("name").alias("source_name")))
     doc = documents.select(
         "url",
         *[F.col(c).alias(f"doc_{c}") for c in ("title", "publish_date", "issuing_authority")],
@@ -74,18 +75,22 @@ def _contained(longer: DataFrame, shorter: DataFrame) -> DataFrame:
         F.length("short").alias("len"),
     ).distinct()
     widths = starts.select("grp", "k").distinct()
-    # Windows of 256 positions first: cutting far into a very long text is slow.
+    # Positions carry a digest of their text, not the text, and are taken in windows of 256:
+    # a title of thousands of characters is neither copied nor cut into from the start each time.
+    texts = longer.withColumn("key", F.md5("long"))
     window = F.explode(F.sequence(F.lit(0), F.floor((F.length("long") - 1) / 256).cast("int")))
-    windows = longer.join(widths, "grp").select("*", window.alias("w"))
+    windows = texts.join(widths, "grp").select("*", window.alias("w"))
     part = F.substr(F.col("long"), F.col("w") * 256 + 1, F.lit(255) + F.col("k"))
-    positions = windows.withColumn("part", part).where(F.length("part") >= F.col("k"))
+    parts = windows.select("grp", "key", "k", "w", part.alias("part")).where(F.length("part") >= F.col("k"))
     last = F.least(F.lit(256), F.length("part") - F.col("k") + 1)
-    grams = positions.withColumn("i", F.explode(F.sequence(F.lit(1), last))).select(
-        "grp", "long", "k", (F.col("w") * 256 + F.col("i")).alias("p"), F.substr("part", "i", "k").alias("gram")
+    grams = parts.withColumn("i", F.explode(F.sequence(F.lit(1), last))).select(
+        "grp", "key", "k", (F.col("w") * 256 + F.col("i")).alias("p"), F.substr("part", "i", "k").alias("gram")
     )
-    cut = grams.join(starts, ["grp", "k", "gram"]).where(F.col("p") + F.col("len") - 1 <= F.length("long"))
+    cuts = grams.join(starts, ["grp", "k", "gram"]).select("grp", "key", "p", "len")
     return (
-        cut.select("grp", "long", F.substr("long", "p", "len").alias("short"))
+        cuts.join(texts, ["grp", "key"])
+        .where(F.col("p") + F.col("len") - 1 <= F.length("long"))
+        .select("grp", "long", F.substr("long", "p", "len").alias("short"))
         .join(shorter, ["grp", "short"])
         .select("grp", "long", "short")
     )
@@ -145,7 +150,7 @@ def link_by_title(items: DataFrame, documents: DataFrame, sources: DataFrame) ->
     authority = documents.groupBy("source").agg(
         F.min_by("issuing_authority", F.struct("page_id", "url")).alias("doc_authority")
     )
-    names = sources.select(F.col("id").alias("source"), F.col("name").alias("source_name"))
+    names = bounded(sources.select(F.col("id").alias("source"), F.col("name").alias("source_name")))
     no_links = F.from_json(F.lit("[]"), "array<struct<url:string>>")
     return (
         items.join(matched, ["source", "url"], "left")

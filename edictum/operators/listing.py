@@ -9,13 +9,15 @@ from edictum.functions.dates import first_valid_date, is_recent
 from edictum.functions.text import clean_html_text, first_nonblank, trim_u
 from edictum.functions.urls import resolve_url, url_path
 from edictum.operators.registry import ANCHOR, LI, NOISE_TITLES, PAGE_HREF, with_keep_paths
+from edictum.session import bounded
 
 _RANK_PUSHDOWN = 1000  # up to here Spark keeps only the first rows of a group before its shuffle
 
 
 def pages_with_source(pages: DataFrame, sources: DataFrame) -> DataFrame:
-    """Attach the registry row. The registry's size decides whether Spark broadcasts it."""
-    return pages.join(sources.withColumnsRenamed({"id": "source", "base": "source_base"}), "source").withColumn(
+    """Attach the registry row, without moving the pages if the registry is small."""
+    rows = bounded(sources).withColumnsRenamed({"id": "source", "base": "source_base"})
+    return pages.join(rows, "source").withColumn(
         "base", first_nonblank(F.col("base"), F.col("source_base"))
     )
 

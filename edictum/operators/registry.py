@@ -6,6 +6,7 @@ source is a new row.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable
 
@@ -152,16 +153,24 @@ AREA_CODES = {
 }
 
 
+def literal_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """Rows held in the query itself, so that Spark knows how few they are."""
+    kind = f"array<struct<{spark.createDataFrame([], schema).schema.simpleString()[7:-1]}>>"
+    return spark.sql("SELECT inline(from_json(:rows, :kind))", args={"rows": json.dumps(rows), "kind": kind})
+
+
 def source_table(spark: SparkSession, sources: Iterable[dict] = NATIONAL_SOURCES) -> DataFrame:
     """Registry rows with the extraction rules of their parser filled in."""
-    names = ["id", "name", "area", "base", "portal_url", "list_url", "parser", "keep_paths", "item_url_re", "enabled"]
     rows = []
     for s in sources:
         profile = PROFILES[s["parser"]]
         row = {"area": "", "portal_url": "", "item_url_re": profile["item_url_re"], **s}
         row["base"] = row["base"] or profile["default_base"]
-        rows.append(tuple(row[n] for n in names) + tuple(row.get(r, profile[r]) for r in RULE_COLUMNS))
-    return spark.createDataFrame(rows, schemas.SOURCES)
+        for column in RULE_COLUMNS:
+            rules = row.get(column, profile[column])
+            row[column] = [r if isinstance(r, str) else dict(zip(("pattern", "min_len", "plain"), r)) for r in rules]
+        rows.append(row)
+    return literal_table(spark, rows, schemas.SOURCES)
 
 
 def _rule_array(rules: list) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edictum.functions.text import let
+from edictum.operators.registry import literal_table
 from edictum.operators.search import tags_text
 
 # The scenarios and their keywords.
@@ -22,8 +23,7 @@ SCENARIOS = [
 
 
 def scenario_table(spark: SparkSession, scenarios: Iterable[dict] = SCENARIOS) -> DataFrame:
-    rows = [(s["id"], s["name"], s["keywords"]) for s in scenarios]
-    return spark.createDataFrame(rows, "id string, name string, keywords array<string>")
+    return literal_table(spark, list(scenarios), "id string, name string, keywords array<string>")
 
 
 def list_scenarios(scenarios: DataFrame) -> DataFrame:

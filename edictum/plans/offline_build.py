@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edictum.operators.details import document_records
+from edictum.operators.details import parse_documents
 from edictum.operators.linkage import link_by_title, match_titles
 from edictum.operators.listing import list_items, pages_with_source
-from edictum.operators.registry import RULE_COLUMNS
 from edictum.operators.stats import build_report
 from edictum.session import stage
 
@@ -20,8 +19,7 @@ def list_documents(list_pages: DataFrame, document_pages: DataFrame, sources: Da
     should be parsed once.
     """
     items = list_items(pages_with_source(list_pages, sources), **options)
-    rules = sources.select(F.col("id").alias("source"), *RULE_COLUMNS)
-    documents = document_records(document_pages.join(rules, "source"), keep=("source", "page_id"))
+    documents = parse_documents(document_pages, sources, keep=("page_id",))
     return stage(items), stage(documents.drop("raw_html"))
 
 

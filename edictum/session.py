@@ -46,3 +46,17 @@ def stage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+SMALL_ROWS = 50_000
+
+
+def bounded(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """A dimension whose size has been checked.
+
+    Up to ``max_rows`` rows it becomes a local relation, whose size Spark knows and broadcasts by
+    its own threshold; beyond that it stays as it is and is joined by a shuffle. Without this a
+    registry that comes out of a query has no known size, and the pages would be shuffled to it.
+    """
+    rows = df.limit(max_rows + 1).toArrow()
+    return df if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
