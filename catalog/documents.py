@@ -49,21 +49,26 @@ def _(t: Tables):
 
 N = "CAST(page_id AS STRING)"
 HOST = "regexp_extract(url, '^https://[^/]*', 0)"
-FIELDS = f"""records AS (SELECT page_id, source, url, html,
+Q = chr(34)
+ZOOM = clean(f"regexp_extract(html, '(?s)<div id={Q}zoom{Q}>(.*?)</div>', 1)")
+MARKED = clean("regexp_extract(html, '(?s)信息内容.>begin-->(.*?)<!--', 1)")
+BOX = clean(f"regexp_extract(html, '(?s)<div id={Q}xw_box{Q}>(.*?)</div>', 1)")
+NUMBER = r"[^\s\x{3000}，。；、]{0,30}?[〔(][\s\x{3000}]*[0-9]{4}[\s\x{3000}]*[〕)][^\s\x{3000}，。；、]{0,20}?号"
+FIELDS = f"""contents AS (SELECT page_id, source, url, html, CASE WHEN source = 'nmpa' AND length({ZOOM}) >= 20 THEN {ZOOM}
+ WHEN source = 'nhsa' AND length({MARKED}) >= 10 THEN {MARKED} WHEN source = 'nhc' AND length({BOX}) >= 20 THEN {BOX} ELSE {clean('html')} END AS content
+ FROM v_document_pages),
+records AS (SELECT page_id, source, url, html, content,
  CASE source WHEN 'nmpa' THEN concat(CASE WHEN page_id % 2 = 0 THEN '标题 ' ELSE '页 ' END, {N})
   WHEN 'nhsa' THEN concat(CASE WHEN page_id % 2 = 0 THEN '字段 ' ELSE '标题 ' END, {N})
   ELSE concat(CASE WHEN page_id % 2 = 0 THEN '元 ' ELSE '框 ' END, {N}) END AS title,
  CASE source WHEN 'nmpa' THEN concat(CAST(2020 + page_id % 5 AS STRING), '-', lpad(CAST(1 + page_id % 12 AS STRING), 2, '0'), '-', lpad(CAST(1 + page_id % 28 AS STRING), 2, '0'))
   ELSE CAST(DATE '2024-01-01' + CAST(page_id % 730 AS INT) AS STRING) END AS publish_date,
- CASE source WHEN 'nmpa' THEN {clean("regexp_extract(html, '(?s)<div id=" + chr(34) + "zoom" + chr(34) + ">(.*?)</div>', 1)")}
-  WHEN 'nhsa' THEN {clean("regexp_extract(html, '(?s)信息内容.>begin-->(.*?)<!--', 1)")}
-  ELSE {clean("regexp_extract(html, '(?s)<div id=" + chr(34) + "xw_box" + chr(34) + ">(.*?)</div>', 1)")} END AS content,
- CASE WHEN page_id % 5 <> 0 THEN concat(regexp_extract(url, 'src[0-9]*', 0), '〔', CAST(2020 + page_id % 6 AS STRING), '〕', {N}, '号')
-  WHEN source = 'nhsa' THEN '引〔2024〕1号' ELSE '' END AS doc_number,
+ CASE WHEN regexp_matches(content, '{NUMBER}') THEN {strip(f"regexp_extract(content, '{NUMBER}')")}
+  WHEN source = 'nhsa' AND page_id % 5 = 0 THEN '引〔2024〕1号' ELSE '' END AS doc_number,
  CASE source WHEN 'nmpa' THEN '' WHEN 'nhsa' THEN concat(regexp_extract(url, 'src[0-9]*', 0), ' 局') ELSE regexp_extract(url, 'src[0-9]*', 0) END AS issuing_authority,
  concat({HOST}, '/art/att/', {N}, '.pdf ', {HOST}, '/d/downfile.jsp?a=1&b=', {N}) AS attachments,
  concat({HOST}, '/img/', CAST(page_id % 7 AS STRING), '.png https://cdn.example.org/', {N}, '.gif') AS images
- FROM v_document_pages)"""
+ FROM contents)"""
 
 
 def records(t: Tables):
