@@ -76,29 +76,27 @@ def _cp1252(byte: int) -> str:
         return chr(byte)
 
 
+# Codes that stand for nothing: controls and the noncharacters of each plane.
+_NOTHING = (
+    r"[\x01-\x08\x0b\x0e-\x1f\x7f\ufdd0-\ufdef"
+    + "".join(rf"\x{{{plane << 16 | low:x}}}" for plane in range(17) for low in (0xFFFE, 0xFFFF))
+    + "]"
+)
+_C1 = range(0x80, 0xA0)  # read as windows-1252, the five it leaves open as themselves
+
+
 def _code_point(token: Column) -> Column:
     """Character of a numeric reference, with the HTML rules for codes that are not characters."""
-    digits = F.regexp_extract(token, "^#[xX]?0*([0-9a-fA-F]*)", 1)
-    base = F.when(token.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
-    # Bytes 80-9F are read as windows-1252, the five it leaves open as themselves.
-    cp1252 = F.split(F.lit(" ".join(_cp1252(b) for b in range(0x80, 0xA0))), " ")
+    digits = F.regexp_extract(token, "^#[xX]?0*([0-9a-fA-F]{1,9});?$", 1)
+    code = F.conv(digits, 10, 10).cast("bigint")
+    code = F.when(token.rlike("^#[xX]"), F.conv(digits, 16, 10).cast("bigint")).otherwise(code)
 
     def char(code: Column) -> Column:
-        dropped = (
-            code.between(0x1, 0x8)
-            | code.between(0xE, 0x1F)
-            | code.between(0xFDD0, 0xFDEF)
-            | code.isin(0xB, 0x7F)
-            | (code.bitwiseAND(F.lit(0xFFFE).cast("bigint")) == 0xFFFE)
-        )
-        return (
-            F.when(code.isNull() | (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
-            .when(code.between(0x80, 0x9F), F.get(cp1252, (code - 0x80).cast("int")))
-            .when(dropped, F.lit(""))
-            .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        )
+        raw = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        char = F.translate(F.regexp_replace(raw, _NOTHING, ""), "".join(map(chr, _C1)), "".join(map(_cp1252, _C1)))
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        return F.when(valid, char).otherwise(F.lit("\ufffd"))
 
-    code = F.when(digits == "", F.lit(0)).when(F.length(digits) <= 9, base).cast("bigint")
     return let(code, char)
 
 

@@ -43,19 +43,15 @@ def first_date(html: Column, patterns: Column) -> Column:
     return let(F.coalesce(found, F.lit("")), lambda d: F.when(d == "", d).otherwise(iso_date(d)))
 
 
-def links(html: Column, base: Column, *patterns: str) -> Column:
-    """Absolute links found by the patterns, each once, in order."""
-    found = F.concat(*[F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in patterns])
-    urls = F.array_distinct(F.transform(found, lambda h: resolve_url(base, unescape(h))))
-    return F.transform(urls, lambda u: F.struct(u.alias("url")))
+def links(html: Column, base: Column) -> Column:
+    """Two arrays of absolute links, attachments and images, each link once, in order."""
+    found = [F.regexp_extract_all(html, F.lit(p), F.lit(1)) for p in (ATTACHMENT, DOWNLOAD, IMAGE)]
 
+    def absolute(hrefs: Column) -> Column:
+        urls = F.array_distinct(F.transform(hrefs, lambda h: resolve_url(base, unescape(h))))
+        return F.transform(urls, lambda u: F.struct(u.alias("url")))
 
-def attachment_links(html: Column, base: Column) -> Column:
-    return links(html, base, ATTACHMENT, DOWNLOAD)
-
-
-def image_links(html: Column, base: Column) -> Column:
-    return links(html, base, IMAGE)
+    return F.transform(F.array(F.concat(found[0], found[1]), found[2]), absolute)
 
 
 def document_records(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -71,8 +67,7 @@ def document_records(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         "url",
         texts.alias("texts"),
         first_date(html, F.col("date_patterns")).alias("publish_date"),
-        attachment_links(html, url).alias("attachments"),
-        image_links(html, url).alias("images"),
+        links(html, url).alias("links"),
         html.alias("raw_html"),
     )
     title, content, own_number, authority = (F.get("texts", F.lit(i)) for i in range(len(TEXT_RULES)))
@@ -85,8 +80,8 @@ def document_records(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         F.lit("").alias("implement_date"),
         content.alias("content"),
         authority.alias("issuing_authority"),
-        "attachments",
-        "images",
+        F.get("links", F.lit(0)).alias("attachments"),
+        F.get("links", F.lit(1)).alias("images"),
         "raw_html",
     )
 

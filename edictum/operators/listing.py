@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from edictum.functions.dates import first_valid_date, is_recent
 from edictum.functions.text import clean_html_text, first_nonblank, trim_u
 from edictum.functions.urls import resolve_url, url_path
+from edictum.operators.numbering import number_rows
 from edictum.operators.registry import ANCHOR, LI, NOISE_TITLES, PAGE_HREF, with_keep_paths
 from edictum.session import bounded
 
@@ -114,18 +115,21 @@ def recent_items(items: DataFrame, days: int, as_of) -> DataFrame:
 def first_items(items: DataFrame, n: int = 50) -> DataFrame:
     """First ``n`` items of each source, in page order.
 
-    Small ``n`` is cut before the shuffle by Spark's group limit. Beyond that each source is first
-    cut in 64 parts, so a source with most of the rows is not sorted in one task.
+    Small ``n`` is cut before the shuffle by Spark's group limit. A larger ``n`` goes by row
+    numbers, so a source with most of the items is not sorted in one task; ``items`` is then read
+    twice, stage it first.
     """
-    order = ["page_id", "pos"]
+    if n > _RANK_PUSHDOWN:
+        placed = items.withColumn("_seq", item_order())
+        numbered = number_rows(placed, "_seq", groups=["source"], out="_rank")
+        return numbered.where(F.col("_rank") <= n).select(*items.columns)
+    rank = F.row_number().over(Window.partitionBy("source").orderBy("page_id", "pos"))
+    return items.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
-    def top(df: DataFrame, *keys) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-        return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
-    if n > _RANK_PUSHDOWN:
-        items = top(items, "source", F.pmod(F.xxhash64(*order), F.lit(64)))
-    return top(items, "source")
+def item_order() -> Column:
+    """Position of an item over all pages; a page has fewer than a million entries."""
+    return F.col("page_id") * F.lit(1 << 20) + F.col("pos")
 
 
 def tsv_lines(items: DataFrame) -> DataFrame:

@@ -12,11 +12,11 @@ from edictum.operators.details import parse_documents
 from edictum.operators.enrichment import enrich_content, prepare_policies
 from edictum.operators.feed import merge_feed
 from edictum.operators.linkage import link_by_url
-from edictum.operators.listing import first_items, parse_list_pages, recent_items
+from edictum.operators.listing import first_items, item_order, parse_list_pages, recent_items
 from edictum.operators.requests import without_blocked_runs
 from edictum.operators.robots import allowed_only
 from edictum.operators.upsert import assign_ids, run_log, upsert
-from edictum.session import stage
+from edictum.session import bounded, stage
 
 
 @dataclass
@@ -45,19 +45,21 @@ def crawl_batch(
     """Policy rows of a run, ready to merge, with ``seq``.
 
     Pages of blocked runs and URLs that robots rules deny are left out before any page is parsed.
-    Narrow up to the link by URL, which is the only shuffle of page content.
+    The items, thin rows, are staged: they say which documents to read and are linked to them, and
+    list pages should be parsed once. Page content moves in the joins on run, host and URL only.
     """
+    sources = bounded(sources)
     if requests is not None:
         list_pages = without_blocked_runs(list_pages, requests)
         document_pages = without_blocked_runs(document_pages, requests)
     if robots is not None:
         list_pages = allowed_only(list_pages, robots)
         document_pages = allowed_only(document_pages, robots)
-    items = first_items(recent_items(parse_list_pages(list_pages, sources, **list_options), days, as_of), limit)
+    recent = stage(recent_items(parse_list_pages(list_pages, sources, **list_options), days, as_of))
+    items = first_items(recent, limit)
     wanted = document_pages.join(items.select("url").distinct(), "url", "left_semi")
     linked = link_by_url(items, parse_documents(wanted, sources).drop("source"), sources)
-    seq = (F.col("page_id") * F.lit(1 << 20) + F.col("pos")).alias("seq")
-    batch = linked.select("*", seq)
+    batch = linked.select("*", item_order().alias("seq"))
     if attachment_text is not None:
         batch = enrich_content(batch, attachment_text, key="seq")
     return prepare_policies(batch, as_of, scrub)

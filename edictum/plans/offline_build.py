@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from edictum.operators.details import parse_documents
 from edictum.operators.linkage import link_by_title, match_titles
-from edictum.operators.listing import list_items, pages_with_source
+from edictum.operators.listing import item_order, list_items, pages_with_source
 from edictum.operators.stats import build_report
-from edictum.session import stage
+from edictum.session import bounded, stage
 
 
 def list_documents(list_pages: DataFrame, document_pages: DataFrame, sources: DataFrame, **options):
@@ -18,6 +18,7 @@ def list_documents(list_pages: DataFrame, document_pages: DataFrame, sources: Da
     Both are staged: matching, linking and the report read them again and again, and the pages
     should be parsed once.
     """
+    sources = bounded(sources)
     items = list_items(pages_with_source(list_pages, sources), **options)
     documents = parse_documents(document_pages, sources, keep=("page_id",))
     return stage(items), stage(documents.drop("raw_html"))
@@ -26,8 +27,7 @@ def list_documents(list_pages: DataFrame, document_pages: DataFrame, sources: Da
 def build_policies(items: DataFrame, documents: DataFrame, sources: DataFrame) -> DataFrame:
     """Policy rows of all items, in page order, ready to merge."""
     linked = link_by_title(items, documents, sources)
-    order = (F.col("page_id") * F.lit(1 << 20) + F.col("pos")).alias("seq")
-    return linked.select("*", order, F.lit("").alias("implement_date"), F.lit("").alias("raw_html"))
+    return linked.select("*", item_order().alias("seq"), F.lit("").alias("implement_date"), F.lit("").alias("raw_html"))
 
 
 def build_summary(items: DataFrame, documents: DataFrame, sources: DataFrame) -> DataFrame:
