@@ -162,7 +162,7 @@ def _(t: Tables):
 
 @query("list_first_items_many", f"WITH {ITEMS} {FIRST} 1200")
 def _(t: Tables):
-    """More than Spark cuts before its shuffle: sources are cut in parts first."""
+    """A large cut goes by row numbers instead of one sort per source."""
     return listing.first_items(listing.list_items(list_pages(t)), 1200).select("page_id", "pos", "source")
 
 

@@ -12,7 +12,9 @@ from edictum.operators.numbering import number_rows
 from edictum.operators.registry import ANCHOR, LI, NOISE_TITLES, PAGE_HREF, with_keep_paths
 from edictum.session import bounded
 
-_RANK_PUSHDOWN = 1000  # up to here Spark keeps only the first rows of a group before its shuffle
+# Spark cuts a ranked group in every task before its shuffle; with many tasks that is only little
+# to bring together for small ranks.
+_RANK_PUSHDOWN = 100
 
 
 def pages_with_source(pages: DataFrame, sources: DataFrame) -> DataFrame:
@@ -65,11 +67,13 @@ def list_items(
     href_re: str = PAGE_HREF,
     min_title: int = 4,
     noise=NOISE_TITLES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Items of list pages: (page_id, pos, source, url, title, date).
 
     Reads page_id, source, base, html and, where present, keep_paths and item_url_re. Works on
-    arrays within the page row and explodes only what is kept; no shuffle.
+    arrays within the page row and explodes only what is kept; no shuffle. ``keep`` names further
+    page columns to pass through.
     """
     base = F.col("base")
     entries = F.filter(list_entries(F.col("html")), lambda e: e["href"].rlike(href_re))
@@ -98,9 +102,8 @@ def list_items(
     if "item_url_re" in pages.columns:
         pattern = F.col("item_url_re")
         items = F.filter(items, lambda e: pattern.isNull() | F.regexp_like(e["url"], pattern))
-    return pages.select("page_id", "source", F.inline(items)).select(
-        "page_id", "pos", "source", "url", "title", "date"
-    )
+    found = pages.select("page_id", "source", *keep, F.inline(items))
+    return found.select("page_id", "pos", "source", "url", "title", "date", *keep)
 
 
 def parse_list_pages(pages: DataFrame, sources: DataFrame, **options) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from edictum.functions.dates import as_date
 from edictum.functions.urls import url_host
 from edictum.operators.registry import enabled_sources
+from edictum.operators.skew import lookup
 
 # Fixed values of the crawl rules.
 BLOCKED = 403
@@ -33,23 +34,27 @@ def blocked_runs(log: DataFrame) -> DataFrame:
 
 def without_blocked_runs(rows: DataFrame, log: DataFrame) -> DataFrame:
     """Rows of runs that met no block: a blocked run publishes nothing."""
-    return rows.join(blocked_runs(log).select("run_id"), "run_id", "left_anti")
+    return lookup(rows, blocked_runs(log).select("run_id"), "run_id", "left_anti")
 
 
 def until_block(log: DataFrame) -> DataFrame:
     """Requests up to and including the first block of their run.
 
-    The block is found by a pre-aggregated minimum per run, not by sorting the run.
+    The block is found by a pre-aggregated minimum per run, not by sorting the run, and the rows
+    of one run are spread over several tasks to meet it.
     """
     return (
-        log.join(blocked_runs(log), "run_id", "left")
+        lookup(log, blocked_runs(log), "run_id")
         .where(F.col("blocked_at").isNull() | (F.col("seq") <= F.col("blocked_at")))
-        .drop("blocked_at")
+        .select(*log.columns)
     )
 
 
 def retained(log: DataFrame, as_of, days: int = RETENTION_DAYS) -> DataFrame:
-    return log.where(F.col("ts") >= F.date_sub(as_date(as_of), days).cast("timestamp"))
+    """Requests of the last ``days`` days; a log stored by day is read only from there on."""
+    first = F.date_sub(as_date(as_of), days)
+    kept = log.where(F.col("ts") >= first.cast("timestamp"))
+    return kept.where(F.col("day") >= first) if "day" in log.columns else kept
 
 
 def politeness(log: DataFrame, min_gap: float = MIN_GAP_SECONDS) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from edictum.functions.text import trim_u
 from edictum.functions.urls import url_host, url_path
+from edictum.operators.skew import lookup
 
 AGENT = "edictum"
 _LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
@@ -79,18 +80,20 @@ def _decide(rules: Column, path: Column, mode: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["kind"] == "allow"
 
 
-def check_urls(urls: DataFrame, robots: DataFrame, agent: str = AGENT, mode: str = "last") -> DataFrame:
+def check_urls(
+    urls: DataFrame, robots: DataFrame, agent: str = AGENT, mode: str = "last", url: str = "url"
+) -> DataFrame:
     """``urls`` with ``allowed``: the last matching rule of the host decides, none means yes.
 
     ``mode="longest"`` lets the longest prefix decide instead; ``mode="any_disallow"`` lets any
-    Disallow line deny. Rules stay one array per host, so a URL meets its host's rules in one row
-    and a host with most of the URLs only makes a skewed lookup, which adaptive execution splits.
+    Disallow line deny. Rules stay one array per host, so a URL meets its host's rules in one row,
+    and the URLs of one host are spread over several tasks.
     """
     body = F.col("body")
     compiled = disallowed_prefixes(body) if mode == "any_disallow" else rule_list(body, agent)
     rules = robots.select(F.col("host").alias("_host"), compiled.alias("_rules"))
-    joined = urls.withColumn("_h", url_host(F.col("url"))).join(rules, F.col("_h") == F.col("_host"), "left")
-    path = url_path(F.col("url"), root=True)
+    joined = lookup(urls.withColumn("_host", url_host(F.col(url))), rules, "_host")
+    path = url_path(F.col(url), root=True)
     if mode == "any_disallow":
         decided = ~F.exists(F.col("_rules"), lambda p: F.startswith(path, p))
     else:
@@ -98,5 +101,7 @@ def check_urls(urls: DataFrame, robots: DataFrame, agent: str = AGENT, mode: str
     return joined.select(*urls.columns, F.coalesce(decided, F.lit(True)).alias("allowed"))
 
 
-def allowed_only(urls: DataFrame, robots: DataFrame, agent: str = AGENT, mode: str = "last") -> DataFrame:
-    return check_urls(urls, robots, agent, mode).where("allowed").drop("allowed")
+def allowed_only(
+    urls: DataFrame, robots: DataFrame, agent: str = AGENT, mode: str = "last", url: str = "url"
+) -> DataFrame:
+    return check_urls(urls, robots, agent, mode, url).where("allowed").drop("allowed")

@@ -44,21 +44,29 @@ def crawl_batch(
 ) -> DataFrame:
     """Policy rows of a run, ready to merge, with ``seq``.
 
-    Pages of blocked runs and URLs that robots rules deny are left out before any page is parsed.
-    The items, thin rows, are staged: they say which documents to read and are linked to them, and
-    list pages should be parsed once. Page content moves in the joins on run, host and URL only.
+    Runs that met a block leave nothing; list pages and items that robots rules deny are left out.
+    All that is decided on thin rows. The items are staged: they say which documents to read and
+    are linked to them, and list pages should be parsed once. A raw document page moves at most
+    once, to meet the URLs that are wanted.
     """
     sources = bounded(sources)
+    lists = list_pages.withColumnRenamed("url", "page_url")
+    keep = tuple(c for c, used in (("run_id", requests), ("page_url", robots)) if used is not None)
+    items = parse_list_pages(lists, sources, keep=keep, **list_options)
     if requests is not None:
-        list_pages = without_blocked_runs(list_pages, requests)
-        document_pages = without_blocked_runs(document_pages, requests)
+        items = without_blocked_runs(items, requests)
     if robots is not None:
-        list_pages = allowed_only(list_pages, robots)
-        document_pages = allowed_only(document_pages, robots)
-    recent = stage(recent_items(parse_list_pages(list_pages, sources, **list_options), days, as_of))
-    items = first_items(recent, limit)
-    wanted = document_pages.join(items.select("url").distinct(), "url", "left_semi")
-    linked = link_by_url(items, parse_documents(wanted, sources).drop("source"), sources)
+        items = allowed_only(allowed_only(items, robots, url="page_url"), robots)
+    items = first_items(stage(recent_items(items, days, as_of).drop(*keep)), limit)
+
+    wanted = items.select("url").distinct()
+    on = ["url"]
+    if requests is not None:
+        read = document_pages.select("url", "run_id").distinct()
+        wanted = without_blocked_runs(read, requests).join(wanted, "url", "left_semi")
+        on = ["url", "run_id"]
+    documents = parse_documents(document_pages.join(wanted, on, "left_semi"), sources).drop("source")
+    linked = link_by_url(items, documents, sources)
     batch = linked.select("*", item_order().alias("seq"))
     if attachment_text is not None:
         batch = enrich_content(batch, attachment_text, key="seq")

@@ -87,6 +87,11 @@ def write_policies(policies: DataFrame, path: str) -> None:
     policies.repartitionByRange(month, F.xxhash64("source_url")).write.mode("overwrite").parquet(path)
 
 
+def append_requests(log: DataFrame, path: str) -> None:
+    """Append to the request log, stored by day: old days go by dropping their folder."""
+    log.withColumn("day", F.to_date("ts")).write.mode("append").partitionBy("day").parquet(path)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str = "policies", **options: str) -> DataFrame:
     """Policies kept in a database; needs its driver on the classpath.
 

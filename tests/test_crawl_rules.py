@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from edictum.operators import registry, requests, robots
 from edictum.schemas import REQUEST_LOG, ROBOTS
-from edictum.sources import navigation
+from edictum.sources import navigation, tables
 
 BODY = "User-agent: *\nDisallow: /xxgk/search\nDisallow: /data\nAllow: /xxgk/fgwj\n"
 
@@ -70,6 +70,23 @@ def test_outcomes_and_blocks(spark):
     assert requests.retained(log, "2027-02-04").count() == 6 and requests.retained(log, "2027-02-05").count() == 0
 
 
+def test_one_run_with_most_requests_is_spread(spark):
+    log = log_rows(spark, [("hot", f"u{i}", 403 if i == 700 else 200, i) for i in range(1000)] + [("r", "u", 200, 0)])
+    assert requests.until_block(log).where("run_id = 'hot'").count() == 701
+    assert requests.without_blocked_runs(log, log).count() == 1
+    assert requests.until_block(log).columns == log.columns
+    plan = requests.until_block(log)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
+
+def test_log_stored_by_day(spark, tmp_path):
+    path = str(tmp_path / "log")
+    tables.append_requests(log_rows(spark, [("r", "u", 200, 0), ("r", "u", 200, 86400 * 3)]), path)
+    kept = requests.retained(spark.read.parquet(path), "2026-08-12", days=2)
+    assert kept.count() == 1
+    assert "PartitionFilters: [isnotnull(day" in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_politeness_against_a_plain_walk(spark):
     rng = random.Random(4)
     rows = [("r", f"https://h{rng.choice([1, 1, 1, 2])}.cn/p", 200, rng.choice([rng.randint(0, 900), rng.randint(0, 90000) / 10])) for _ in range(400)]

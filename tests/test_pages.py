@@ -61,7 +61,7 @@ def test_relative_links_need_their_page_as_base(spark, sources):
 def test_first_items_agree_on_both_ways(spark):
     rows = [(p, i, "hot" if p % 3 else "cold", "u", "t", "") for p in range(120) for i in range(12)]
     items = spark.createDataFrame(rows, "page_id bigint, pos int, source string, url string, title string, date string")
-    for n in (7, 1001):
+    for n in (7, 101, 1001):
         want = []
         for s in ("hot", "cold"):
             want += sorted((r[0], r[1], s) for r in rows if r[2] == s)[:n]
