@@ -58,7 +58,9 @@ def unread_items(items: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def _gram_len(text: Column) -> Column:
-    return F.least(F.length(text), F.lit(_GRAM))
+    """8 or 4 characters, less for a shorter text: few lengths, so few passes over the long texts."""
+    n = F.length(text)
+    return F.when(n >= _GRAM, _GRAM).when(n >= _GRAM // 2, _GRAM // 2).otherwise(n)
 
 
 def _contained(longer: DataFrame, shorter: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left", salts
     broadcasts it when it is small. For tables that carry page content use a plain join and leave
     the splitting to adaptive execution, which repeats only what is skewed.
     """
-    # The salt depends on the whole row, so that equal keys part.
+    # The salt depends on the row's values, so that equal keys part and a retried task agrees;
+    # rows equal in all of them are left to adaptive execution.
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(rows)), F.lit(salts)).cast("int"))
     spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(spread, [key, "_salt"], how).drop("_salt")
