@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from edictum.functions.dates import VALID, clamp
 from edictum.functions.text import contains_ci, like_contains
 from edictum.operators.numbering import CHUNK, number_rows
+from edictum.session import stage
 
 BRIEF = ["id", "title", "doc_number", "issuing_authority", "publish_date", "validity_status", "source_url", "tags"]
 MAX_PAGE, MAX_SIZE, DEFAULT_SIZE = 1_000_000, 100, 20
@@ -136,18 +137,17 @@ def page(
     """One page of results, in order; empty past the end.
 
     A shallow page is a top-k over (offset + size) rows. A deep one would make every task hold its
-    whole offset, so there rows are numbered in bounded chunks and the page is a range of numbers.
+    whole offset, so there the matches, without their content, are staged and numbered in bounded
+    chunks, and the page is a range of numbers.
     """
     number = clamp(page, 1, 1, MAX_PAGE)
     rows = clamp(size, DEFAULT_SIZE, 1, MAX_SIZE)
     skip = (number - 1) * rows
     if skip + rows <= top_rows:
         return newest_first(brief(found)).offset(skip).limit(rows)
-    thin = found.select("id", "publish_date", (-F.col("id")).alias("_back"))
-    places = number_rows(thin, "_back", out="_n", descending=["publish_date"], chunk=chunk)
-    # At most ``size`` rows: a bounded side by construction.
-    wanted = places.where(F.col("_n").between(skip + 1, skip + rows)).select("id").limit(rows)
-    return newest_first(brief(found).join(F.broadcast(wanted), "id", "left_semi"))
+    matches = stage(brief(found).withColumn("_back", -F.col("id")))
+    places = number_rows(matches, "_back", out="_n", descending=["publish_date"], chunk=chunk)
+    return newest_first(places.where(F.col("_n").between(skip + 1, skip + rows)).select(*BRIEF))
 
 
 def page_after(found: DataFrame, publish_date: str, last_id: int, size: int = DEFAULT_SIZE) -> DataFrame:
