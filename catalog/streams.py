@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog import Tables, query
+from catalog import AS_OF, Tables, query
+from catalog.documents import FIELDS
+from catalog.jobs import SCRUBBED
 from catalog.merge import LATEST, scratch
+from catalog.views import cte
+from edictum.operators.registry import source_table
 from edictum.streaming import ingest
 
 
@@ -44,6 +48,24 @@ def _(t: Tables):
     return rows.select("source_url", "title", "content", "doc_number", "first_seq")
 
 
+@query(
+    "stream_documents",
+    f"""WITH {FIELDS} SELECT url AS source_url, title, doc_number, CASE WHEN issuing_authority = '' THEN '国家药品监督管理局' ELSE issuing_authority END AS issuing_authority,
+    publish_date, CASE WHEN CAST(publish_date AS DATE) > DATE '{AS_OF}' THEN '未生效' ELSE '有效' END AS validity_status, md5({SCRUBBED.replace("r.content", "content")}) AS content FROM records""",
+)
+def _(t: Tables):
+    """Document pages as a stream, parsed, prepared and kept as changes."""
+    stream(t, "documents").createOrReplaceTempView("documents")
+    pages = t.spark.sql(cte("SELECT * FROM v_document_pages"))
+    t.spark.catalog.dropTempView("documents")
+    path = scratch(t, "documents")
+    rows = ingest.document_rows(pages, source_table(t.spark), AS_OF)
+    ingest.start_ingest(rows, path, scratch(t, "documents-state")).awaitTermination()
+    return ingest.current_rows(ingest.read_changes(t.spark, path)).select(
+        "source_url", "title", "doc_number", "issuing_authority", "publish_date", "validity_status", F.md5("content").alias("content")
+    )
+
+
 @query("stream_distinct_urls", "SELECT DISTINCT url AS source_url FROM v_request_log")
 def _(t: Tables):
     """The log spans 30 days; the watermark allows all of it."""

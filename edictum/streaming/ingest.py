@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from edictum.functions.dates import parse_date
+from edictum.functions.text import first_nonblank
+from edictum.operators.details import parse_documents
+from edictum.operators.enrichment import prepare_policies
 from edictum.operators.upsert import accepted, latest_per_key
+from edictum.session import bounded
 from edictum.sources.tables import path_exists
 
 
@@ -63,6 +67,28 @@ def compact(spark: SparkSession, path: str, target: str) -> None:
     current_rows(read_changes(spark, path)).write.mode("overwrite").parquet(target)
 
 
+def document_rows(pages: DataFrame, sources: DataFrame, as_of, scrub: bool = True) -> DataFrame:
+    """Policy rows of document pages (page_id, source, url, html), ready for :func:`start_ingest`.
+
+    Parsing is stateless, so ``pages`` may be a stream or a table. ``seq`` is the page id.
+    """
+    sources = bounded(sources)
+    names = sources.select(F.col("id").alias("source"), F.col("name").alias("source_name"))
+    records = parse_documents(pages, sources, keep=("page_id",)).join(names, "source")
+    rows = records.select(
+        F.col("page_id").alias("seq"),
+        F.col("url").alias("source_url"),
+        "title",
+        "doc_number",
+        first_nonblank(F.col("issuing_authority"), F.col("source_name")).alias("issuing_authority"),
+        "publish_date",
+        "content",
+        "attachments",
+        "images",
+    )
+    return prepare_policies(rows, as_of, scrub)
+
+
 # ---------------------------------------------------------------- event-time operators
 
 

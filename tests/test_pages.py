@@ -130,3 +130,11 @@ def test_titles_of_items_as_text(spark):
     assert [r.title for r in listing.list_items(pages).collect()] == ["通知 & 公告"]
     assert listing.tsv_lines(listing.list_items(pages)).columns == ["date", "title", "url"]
     assert listing.list_items(pages).select(F.size(F.array("url"))).count() == 1
+
+
+def test_small_cut_happens_before_the_shuffle(spark):
+    items = spark.createDataFrame([(0, 0, "s", "u", "t", "")], "page_id bigint, pos int, source string, url string, title string, date string")
+    plan = listing.first_items(items, 50)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning") < plan.index("WindowGroupLimit [source") or plan.count("WindowGroupLimit") == 2
+    numbered = listing.first_items(items, 5000)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in numbered
