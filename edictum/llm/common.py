@@ -18,12 +18,14 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 
 # Rows of a batch handed to Python: bounds what a worker holds when texts are long.
 BATCH_ROWS = 256
+BATCH_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings the operators rely on; Python workers find this package where the driver found it."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     paths = spark.sparkContext.environment
     known = paths.get("PYTHONPATH", "")
     if ROOT not in known.split(os.pathsep):
@@ -31,14 +33,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a result that is read more than once as Parquet into the shared folder, and read it back.
 
     The folder goes away with the application. A lost executor costs no more than a new read.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     staged = spark.read.schema(df.schema).parquet(path)

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edictum.llm import mixing
-from edictum.llm.common import prepare
+from edictum.llm import mixing, tokens
+from edictum.llm.common import prepare, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,10 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(least(flo
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Systematic sampling of all documents to source targets."""
     return mixing.mix_report(read(spark, sf_dir, "documents"))
+
+
+@query("op5_token_shards")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token shards of all documents, written and read back."""
+    shards = stage(tokens.encode_shards(read(spark, sf_dir, "documents")), "shards", compression="none")
+    return tokens.token_report(shards)
