@@ -18,7 +18,7 @@ from edictum.llm.wavelet import Shard, WaveletMatrix
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
-KNOWN_CHUNKS = 400_000  # chunks of text whose ids a worker remembers
+KNOWN_CHUNKS = 300_000  # a worker remembers the ids of up to twice as many chunks of text
 
 SHARDS = "part int, seq int, n_docs bigint, n_tokens bigint, data binary"
 _SHARDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("data", pa.binary())])
@@ -37,35 +37,90 @@ class Encoder:
 
     The vocabulary named in the contract drops white space and no rule of it reaches across, so a
     text's ids are those of its chunks in order; the chunks' ids come from the tokenizers library
-    and are remembered. ``str.split`` also parts at four control characters that the library does
-    not count as white space: a text that has one is encoded whole.
+    and are remembered, the latest in ``known`` and those before in ``older``. ``str.split`` also
+    parts at four control characters that the library does not count as white space: a text that
+    has one is encoded whole.
     """
 
     _controls = re.compile("[\x1c-\x1f]")
+    _marks = '.,!?;:|%&*$#"()[]{}+-=/_~^@'
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
-
-    def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > KNOWN_CHUNKS:
-            self.known.clear()
-            new = list(chunks)
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(new, found))
+        self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.marks: dict[str, bytes] = {}
+
+    def _single(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters alone, many to a call: each ends with a token that ends a word.
+
+        Where lower-casing makes something else of a letter the number of ends differs; the words
+        of that call are then encoded one by one.
+        """
+        out, step = [], 64
+        groups = [words[i : i + step] for i in range(0, len(words), step)]
+        found = self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)
+        for group, encoding in zip(groups, found):
+            ids = np.array(encoding.ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(group) or cuts[-1] != len(ids):
+                out += map(self._single, group)
+                continue
+            raw, at = ids.tobytes(), 0
+            for cut in (4 * cuts).tolist():
+                out.append(raw[at:cut])
+                at = cut
+        return out
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Chunks not known yet: letters with marks after them by way of the letters, others as they are."""
+        plain: dict[str, list[tuple[str, str]]] = {}
+        for chunk in chunks:
+            if (ids := self.older.get(chunk)) is not None:
+                self.known[chunk] = ids
+                continue
+            word = chunk.rstrip(self._marks)
+            if not word.isalpha():
+                self.known[chunk] = self._single(chunk)
+                continue
+            tail = chunk[len(word) :]
+            if word.isascii():
+                word = word.lower()
+            if (ids := self.known.get(word)) is not None:
+                self.known[chunk] = ids + self._mark(tail)
+            else:
+                plain.setdefault(word, []).append((chunk, tail))
+        for (word, uses), ids in zip(plain.items(), self._words(list(plain))):
+            self.known[word] = ids
+            for chunk, tail in uses:
+                self.known[chunk] = ids + self._mark(tail) if tail else ids
+
+    def _mark(self, tail: str) -> bytes:
+        if tail not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            self.marks[tail] = self._single(tail) if tail else b""
+        return self.marks[tail]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
         if self._controls.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._single(text)
         chunks = text.split()
         try:
             return b"".join(map(self.known.__getitem__, chunks))
         except KeyError:
-            self.learn(set(chunks))
+            missing = {c for c in chunks if c not in self.known}
+            if len(self.known) + len(missing) > KNOWN_CHUNKS:
+                self.older, self.known, missing = self.known, {}, set(chunks)
+            self._learn(missing)
             return b"".join(map(self.known.__getitem__, chunks))
 
 
