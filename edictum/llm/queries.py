@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edictum.llm import mixing, tokens
+from edictum.llm import licenses, mixing, tokens
 from edictum.llm.common import prepare, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token shards of all documents, written and read back."""
     shards = stage(tokens.encode_shards(read(spark, sf_dir, "documents")), "shards", compression="none")
     return tokens.token_report(shards)
+
+
+@query("op7_licenses")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licenses.scan_licenses(read(spark, sf_dir, "documents")).drop("spans")
