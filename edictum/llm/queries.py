@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edictum.llm import licenses, mixing, tokens
-from edictum.llm.common import prepare, stage
+from edictum.llm import language, licenses, mixing, tokens, toxicity
+from edictum.llm.common import held, prepare, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -62,3 +62,19 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in all documents."""
     return licenses.scan_licenses(read(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op1_toxicity")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from four fifths of them."""
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", held("doc_id", 5, 0))
+    labels = read(spark, sf_dir, "labels").where(~held("doc_id", 5, 0))
+    model = toxicity.learn(docs.where("NOT held_out"), labels)
+    return toxicity.score_documents(docs, model)
+
+
+@query("op2_language")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents, learned from three quarters of them."""
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", held("doc_id", 4, 2))
+    return language.predict_languages(docs, language.learn(docs.where("NOT held_out")))
