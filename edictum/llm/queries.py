@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edictum.llm import language, licenses, mixing, tokens, toxicity
+from edictum.llm import language, licenses, mixing, simhash, tokens, toxicity
 from edictum.llm.common import held, prepare, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of all documents, learned from three quarters of them."""
     docs = read(spark, sf_dir, "documents").withColumn("held_out", held("doc_id", 4, 2))
     return language.predict_languages(docs, language.learn(docs.where("NOT held_out")))
+
+
+@query("op3_simhash")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents by SimHash."""
+    return simhash.report(read(spark, sf_dir, "documents"))
