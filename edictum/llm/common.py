@@ -33,6 +33,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a result that is read more than once as Parquet into the shared folder, and read it back.
 
@@ -40,7 +43,12 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.options(**options).parquet(path)
+    # What the write shuffled is not read again: its files go when it ends.
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     staged = spark.read.schema(df.schema).parquet(path)

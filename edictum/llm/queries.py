@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from edictum.llm import language, licenses, mixing, simhash, tokens, toxicity
+from edictum.llm import chunks, decontaminate, language, licenses, mixing, simhash, tokens, topk, toxicity
 from edictum.llm.common import held, prepare, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +85,31 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents by SimHash."""
     return simhash.report(read(spark, sf_dir, "documents"))
+
+
+@query("op4_repeated_passages")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of all documents that another document has too."""
+    return chunks.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+@query("op6_decontamination")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold copies of test items."""
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+TOPK_SQL = """
+WITH ok AS (SELECT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+ AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+v AS (SELECT vec_id, list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS v FROM ok),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query("op8_top_k", TOPK_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best inner products of every fiftieth vector among all."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
