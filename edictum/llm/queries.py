@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edictum.llm import chunks, decontaminate, language, licenses, mixing, simhash, tokens, topk, toxicity
+from edictum.llm import chunks, decontaminate, language, licenses, lm, mixing, simhash, tokens, topk, toxicity
 from edictum.llm.common import held, prepare, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,10 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five best inner products of every fiftieth vector among all."""
     return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op9_lm_score")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of all documents under a model of six sevenths of them."""
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", held("doc_id", 7, 2))
+    return lm.score_documents(docs)
