@@ -39,7 +39,7 @@ c AS (SELECT arg_min(level, bound / w) AS level FROM l WHERE bound >= level * w)
 t AS (SELECT l.source, l.source_size, CASE WHEN c.level IS NULL THEN l.bound ELSE least(l.bound, c.level * l.w) END AS target FROM l, c),
 r AS (SELECT doc_id, source, size, row_number() OVER (PARTITION BY source ORDER BY size, coalesce(md5(CAST(doc_id AS VARCHAR)), ''), doc_id) AS rank FROM d),
 p AS (SELECT r.doc_id, r.size, t.source_size, t.target, r.rank, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS ratio,
- CAST(concat('0x', substr(md5(concat('mix:', coalesce(concat('=', CAST(t.source AS VARCHAR)), 'null'))), 1, 8)) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE AS u
+ CAST(concat('0x', substr(md5(concat('mix:', coalesce('=' || CAST(t.source AS VARCHAR), 'null'))), 1, 8)) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE AS u
  FROM r JOIN t ON r.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(least(floor(ratio * rank + u) - floor(ratio * (rank - 1) + u), 2) AS BIGINT) * size AS taken,
  CAST(least(floor(ratio * rank + u) - floor(ratio * (rank - 1) + u), 2) AS INTEGER) AS copies FROM p
