@@ -6,11 +6,9 @@ import os
 import uuid
 from collections.abc import Iterable, Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from edictum.session import configure, shared_dir
 
@@ -79,29 +77,27 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string").cast("binary"), F.lit(b""))
 
 
-def bounded_sample(df: DataFrame, by: str, key: str, k: int, seed: int = 17) -> DataFrame:
+def bounded_sample(df: DataFrame, by: str | None, key: str, k: int, seed: int = 17) -> DataFrame:
     """About the ``k`` rows of each value of ``by`` whose hashed ``key`` is smallest, never more than ``2 k``.
 
     Counts come first, so a map task only passes rows below a threshold that fits its group: what
     meets in a task is about ``k`` rows however large the group is. Rows equal in ``key`` go in or
-    stay out together up to the bound. Rows with a NULL group are left out.
+    stay out together up to the bound. Rows with a NULL group are left out; without ``by`` all rows
+    are one group.
     """
+    spot = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    share = F.lit(1.25 * k + 8)
+    if by is None:
+        near = df.withColumn("_spot", spot).where(F.col("_spot") * F.lit(df.count()) <= share)
+        return near.orderBy("_spot", key).limit(2 * k).drop("_spot")
     rows = df.where(F.col(by).isNotNull())
     counts = rows.groupBy(F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
-    spot = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    from pyspark.sql import Window
-
     near = rows.join(counts, F.col(by) == F.col("_by")).withColumn("_spot", spot)
-    near = near.where(F.col("_spot") * F.col("_n") <= F.lit(1.25 * k + 8))
+    near = near.where(F.col("_spot") * F.col("_n") <= share)
     first = Window.partitionBy("_by").orderBy("_spot", key)
     return near.withColumn("_i", F.row_number().over(first)).where(F.col("_i") <= 2 * k).drop("_by", "_n", "_spot", "_i")
 
 
-def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``mapInArrow`` for a function of an iterator of batches."""
-    return df.mapInArrow(fn, schema)
-
-
 def table(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
@@ -144,11 +140,3 @@ WORD_BYTES = fold_table(lambda b: 48 <= b <= 57 or 97 <= b <= 122 or b >= 128)
 
 def words_of(text: bytes) -> list[bytes]:
     return text.translate(WORD_BYTES).split()
-
-
-def sparse_sum(index: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
-    return np.bincount(index, weights=weight, minlength=size)
-
-
-def struct_of(schema: str) -> T.StructType:
-    return T.StructType.fromDDL(schema)

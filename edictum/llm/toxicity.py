@@ -76,8 +76,8 @@ def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
     known = marks.join(ids, "doc_id", "left_semi")
     share = known.agg(F.count(F.lit(1)).alias("n"), F.count_if("toxic").alias("k")).first()
     prior = min(0.9, max(0.001, share.k / share.n)) if share.n else 0.001
-    toxic = bounded_sample(known.where("toxic").select("doc_id", F.lit(True).alias("positive")), "positive", "doc_id", positives)
-    other = bounded_sample(ids.select("doc_id", F.lit(False).alias("positive")), "positive", "doc_id", unlabelled, seed=29)
+    toxic = bounded_sample(known.where("toxic").select("doc_id"), None, "doc_id", positives).select("doc_id", F.lit(True).alias("positive"))
+    other = bounded_sample(ids.select("doc_id"), None, "doc_id", unlabelled, seed=29).select("doc_id", F.lit(False).alias("positive"))
     chosen = stage(toxic.unionByName(other).distinct(), "tox-ids")
     # At most 2 * (positives + unlabelled) ids.
     texts = docs.select("doc_id", utf8().alias("text")).join(F.broadcast(chosen), "doc_id").select("positive", "text")
