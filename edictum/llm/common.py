@@ -17,6 +17,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 # Rows of a batch handed to Python: bounds what a worker holds when texts are long.
 BATCH_ROWS = 256
 BATCH_BYTES = 32 << 20
+MOST_GROUPS = 10_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -83,7 +84,7 @@ def bounded_sample(df: DataFrame, by: str | None, key: str, k: int, seed: int =
     Counts come first, so a map task only passes rows below a threshold that fits its group: what
     meets in a task is about ``k`` rows however large the group is. Rows equal in ``key`` go in or
     stay out together up to the bound. Rows with a NULL group are left out; without ``by`` all rows
-    are one group.
+    are one group. More than ten thousand groups are refused, so the counts can be broadcast.
     """
     spot = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     share = F.lit(1.25 * k + 8)
@@ -92,7 +93,11 @@ def bounded_sample(df: DataFrame, by: str | None, key: str, k: int, seed: int =
         return near.orderBy("_spot", key).limit(2 * k).drop("_spot")
     rows = df.where(F.col(by).isNotNull())
     counts = rows.groupBy(F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias("_n"))
-    near = rows.join(counts, F.col(by) == F.col("_by")).withColumn("_spot", spot)
+    found = counts.limit(MOST_GROUPS + 1).collect()
+    if len(found) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} different values of {by} to sample from")
+    counts = df.sparkSession.createDataFrame(found, counts.schema)
+    near = rows.join(F.broadcast(counts), F.col(by) == F.col("_by")).withColumn("_spot", spot)
     near = near.where(F.col("_spot") * F.col("_n") <= share)
     first = Window.partitionBy("_by").orderBy("_spot", key)
     return near.withColumn("_i", F.row_number().over(first)).where(F.col("_i") <= 2 * k).drop("_by", "_n", "_spot", "_i")

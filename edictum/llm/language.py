@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edictum.llm.common import bounded_sample, table
+from edictum.llm.common import bounded_sample, stage, table, unstage
 
 # Bounds of what is learned from, per language: documents, letters of each; and letters of all languages.
 SAMPLE_DOCS = 80
@@ -177,14 +177,17 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, piece: int = PIECE) -
     """Per language, text of a bounded sample of its documents, from rows of (doc_id, text, lang).
 
     About ``sample_docs`` documents of each language by hashed id, ``piece`` letters of each from a
-    place that the id decides; less where there are many languages. Rows without text or language
-    are not learned from.
+    place that the id decides; less where there are many languages. Rows without id, text or
+    language are not learned from.
     """
-    rows = docs.where("text IS NOT NULL AND lang IS NOT NULL AND length(text) > 0").select("doc_id", "text", "lang")
-    chosen = bounded_sample(rows, "lang", "doc_id", sample_docs)
+    rows = docs.where("text IS NOT NULL AND doc_id IS NOT NULL AND lang IS NOT NULL AND length(text) > 0")
+    ids = stage(bounded_sample(rows.select("doc_id", "lang"), "lang", "doc_id", sample_docs).distinct(), "lang-ids")
+    # Only ids were moved; the texts are picked by them, a few for each language.
+    chosen = rows.select("doc_id", "lang", "text").join(ids, ["doc_id", "lang"])
     spot = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.greatest(F.length("text") - F.lit(2 * piece), F.lit(1)))
     part = F.substring(F.col("text"), (spot + 1).cast("int"), F.lit(2 * piece))
     found = chosen.select("lang", "doc_id", part.alias("part")).orderBy("lang", "doc_id", "part").collect()
+    unstage(ids)
     samples: dict[str, list[str]] = {}
     for r in found:
         samples.setdefault(r.lang, []).append("".join(chr(c) if c else " " for c in points_of(r.part)[:piece]))
