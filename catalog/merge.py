@@ -149,7 +149,7 @@ both_sides AS (SELECT id, title, url, publish_date, content_preview, source_site
 last_old AS (SELECT url, id FROM (SELECT url, id, row_number() OVER (PARTITION BY url ORDER BY pos DESC) AS n FROM v_feed) x WHERE n = 1),
 last_row AS (SELECT *, first_value(side) OVER w AS first_side, first_value(ord) OVER w AS first_ord, row_number() OVER (PARTITION BY url ORDER BY side DESC, ord DESC) AS n
  FROM both_sides WINDOW w AS (PARTITION BY url ORDER BY side, ord)),
-merged_feed AS (SELECT CASE WHEN o.id <> '' THEN o.id ELSE concat('p_', substr(sha256(r.url), 1, 12)) END AS id, r.title, r.url, r.publish_date, r.content_preview,
+merged_feed AS (SELECT CASE WHEN r.side = 0 OR o.id <> '' THEN o.id ELSE concat('p_', substr(sha256(r.url), 1, 12)) END AS id, r.title, r.url, r.publish_date, r.content_preview,
  r.source_site, r.created_at, r.first_side = 1 AS is_added, row_number() OVER (ORDER BY r.publish_date DESC, r.first_side, r.first_ord) - 1 AS pos
  FROM last_row r LEFT JOIN last_old o ON r.url = o.url WHERE r.n = 1)"""
 FEED_COLS = "id, title, url, publish_date, content_preview, source_site, created_at"

@@ -260,6 +260,18 @@ def _(t: Tables):
     return scenarios.scenario_policies(t.view("v_policies"), "sc_vbp").select("id")
 
 
+@query("search_impossible_date", "SELECT id FROM v_policies WHERE CAST(publish_date AS VARCHAR) >= '2025-02-30'")
+def _(t: Tables):
+    """A bound that is no day of the calendar is compared as text."""
+    return search.search(t.view("v_policies"), date_from="2025-02-30").select("id")
+
+
+@query("search_page_after_undated", "SELECT id FROM v_policies WHERE publish_date IS NULL AND id < 1000000 ORDER BY id DESC LIMIT 20")
+def _(t: Tables):
+    """The page after an undated row goes on among the undated ones."""
+    return search.page_after(t.view("v_policies"), None, 1000000).select("id")
+
+
 @query("scenario_unknown", "SELECT id FROM v_policies WHERE false")
 def _(t: Tables):
     return scenarios.scenario_policies(t.view("v_policies"), "sc_unknown").select("id")

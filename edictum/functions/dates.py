@@ -73,7 +73,14 @@ def validity_status(title: Column, publish_date: Column, as_of) -> Column:
 
 def clamp_int(c: Column, default: int, low: int, high: int) -> Column:
     """Integer held in text, kept within bounds; unreadable text gives the default."""
-    return F.greatest(F.lit(low), F.least(F.lit(high), F.coalesce(F.trim(c).try_cast("int"), F.lit(default))))
+
+    def within(text: Column) -> Column:
+        digits = F.regexp_replace(text, "^([+-]?)0+(?=[0-9])", "$1")
+        far = F.when(F.startswith(text, F.lit("-")), F.lit(low)).otherwise(F.lit(high))
+        near = F.greatest(F.lit(low), F.least(F.lit(high), digits.try_cast("decimal(38,0)"))).cast("int")
+        return F.when(text.rlike("^[+-]?[0-9]+$"), F.when(F.length(digits) > 38, far).otherwise(near))
+
+    return F.coalesce(let(F.trim(c), within), F.lit(max(low, min(high, default))))
 
 
 def clamp(value, default: int, low: int, high: int) -> int:

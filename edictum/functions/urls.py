@@ -88,9 +88,13 @@ def _resolve(base: Column, href: Column) -> Column:
 
 
 def resolve_url(base: Column, href: Column) -> Column:
-    """Absolute URL of ``href`` found on the page ``base``."""
+    """Absolute URL of ``href`` found on the page ``base``.
+
+    Blanks and controls before it and line breaks and tabs within do not count.
+    """
+    clean = F.regexp_replace(F.regexp_replace(href, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
     return let(
-        F.struct(base.alias("base"), href.alias("href")),
+        F.struct(base.alias("base"), clean.alias("href")),
         lambda u: F.when(u["href"].rlike(_ABSOLUTE) | (u["base"] == ""), u["href"])
         .when(u["href"] == "", u["base"])
         .otherwise(_resolve(u["base"], u["href"])),

@@ -52,9 +52,12 @@ def merge_feed(existing: DataFrame, policies: DataFrame, as_of: Column) -> DataF
         F.max_by(F.struct(*body), "ord").alias("row"),
         F.max_by("id", F.when(is_old, F.col("ord"))).alias("old_id"),
         F.min("ord").alias("ord"),
+        F.max("ord").alias("last"),
     )
+    # A record the run does not touch keeps its id, be it blank.
+    own = F.when(F.col("last") >= _NEW, feed_id(F.col("url"), F.col("old_id"))).otherwise(F.col("old_id"))
     return merged.select(
-        feed_id(F.col("url"), F.col("old_id")).alias("id"),
+        own.alias("id"),
         "row.title",
         "url",
         "row.publish_date",

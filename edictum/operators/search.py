@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from functools import reduce
 
@@ -27,23 +28,26 @@ def tags_text(policies: DataFrame) -> Column:
     return F.col("tags")
 
 
-def _bound(value: str) -> Column:
-    """A date bound; a full ISO date is compared as a date so that it reaches the scan."""
-    return F.lit(value).cast("date") if re.fullmatch(r"\d{4}-\d\d-\d\d", value) else F.lit(value)
-
-
-def _date_column(value: str) -> Column:
+def _sides(value: str) -> tuple[Column, Column]:
+    """(date column, bound): as dates where the bound is one, so that it reaches the scan; else as text."""
     day = F.col("publish_date")
-    return day if re.fullmatch(r"\d{4}-\d\d-\d\d", value) else day.cast("string")
+    try:
+        if re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", value):
+            return day, F.lit(dt.date.fromisoformat(value))
+    except ValueError:  # no such day in the calendar
+        pass
+    return day.cast("string"), F.lit(value)
 
 
 def from_date(value: str) -> Column:
-    return _date_column(value) >= _bound(value)
+    day, bound = _sides(value)
+    return day >= bound
 
 
 def to_date(value: str) -> Column:
     """Undated policies pass an upper bound."""
-    return (_date_column(value) <= _bound(value)) | F.col("publish_date").isNull()
+    day, bound = _sides(value)
+    return (day <= bound) | F.col("publish_date").isNull()
 
 
 def predicates(
@@ -150,14 +154,15 @@ def page(
     return newest_first(places.where(F.col("_n").between(skip + 1, skip + rows)).select(*BRIEF))
 
 
-def page_after(found: DataFrame, publish_date: str, last_id: int, size: int = DEFAULT_SIZE) -> DataFrame:
-    """The page that follows a given last row; any depth costs the same."""
-    day = F.lit(publish_date).cast("date")
-    after = (
-        (F.col("publish_date") < day)
-        | ((F.col("publish_date") == day) & (F.col("id") < last_id))
-        | F.col("publish_date").isNull()
-    )
+def page_after(found: DataFrame, publish_date: str | None, last_id: int, size: int = DEFAULT_SIZE) -> DataFrame:
+    """The page that follows a given last row, dated or not; any depth costs the same."""
+    undated = F.col("publish_date").isNull()
+    if publish_date:
+        day = F.lit(publish_date).cast("date")
+        same = (F.col("publish_date") == day) & (F.col("id") < last_id)
+        after = (F.col("publish_date") < day) | same | undated
+    else:
+        after = undated & (F.col("id") < last_id)
     return newest_first(brief(found.where(after))).limit(clamp(size, DEFAULT_SIZE, 1, MAX_SIZE))
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from edictum import schemas
+from edictum.session import stage
 
 NAMED = {
     "policies": schemas.POLICIES,
@@ -69,16 +70,17 @@ def decode_text(content: Column) -> Column:
 def append_log(log: DataFrame, path: str) -> None:
     """Append run-log rows, numbered after those that are there.
 
-    A run writes one row, so ids are taken from the table's highest.
+    Ids go on from the table's highest, in order of start and name. A run writes a few rows; two
+    runs that append at the same time must be kept apart by the caller.
     """
     spark = log.sparkSession
     stored = read_table(spark, path, schemas.CRAWLER_LOGS)
     top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
     columns = [c for c in stored.columns if c != "id"]
-    numbered = log.select((top + 1).alias("id"), *columns)
-    # The new row depends on the table it goes to: settle it before writing.
-    rows = spark.createDataFrame(numbered.take(1), stored.schema)
-    rows.write.mode("append").parquet(path)
+    place = F.row_number().over(Window.orderBy("start_time", "task_name"))
+    numbered = log.select((top + place).cast("bigint").alias("id"), *columns)
+    # The new rows depend on the table they go to: settle them before writing.
+    stage(numbered).write.mode("append").parquet(path)
 
 
 def write_policies(policies: DataFrame, path: str) -> None:

@@ -10,7 +10,7 @@ from edictum.operators import registry, requests, robots
 from edictum.schemas import REQUEST_LOG, ROBOTS
 from edictum.sources import navigation, tables
 
-BODY = "User-agent: *\nDisallow: /xxgk/search\nDisallow: /data\nAllow: /xxgk/fgwj\n"
+BODY = "User-agent: *\nDisallow: /archive/tmp\nDisallow: /feeds\nAllow: /archive/rules\n"
 
 
 def check(spark, body, paths, **options):
@@ -20,7 +20,7 @@ def check(spark, body, paths, **options):
 
 
 def test_rules_by_prefix(spark):
-    paths = ["/xxgk/fgwj/a.html", "/data/abc.html", "/xxgk/search?q=1", "/other", ""]
+    paths = ["/archive/rules/7.html", "/feeds/all.xml", "/archive/tmp?x=1", "/home", ""]
     assert check(spark, BODY, paths) == [True, False, False, True, True]
 
 

