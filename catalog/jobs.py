@@ -48,7 +48,7 @@ def crawl_batch(t: Tables) -> DataFrame:
     base = F.concat(F.lit("https://www."), F.col("source"), F.lit(".example.org/col/index.html"))
     list_pages = t.view("v_list_pages").withColumn("base", base)
     return crawl.crawl_batch(
-        list_pages, t.view("v_document_pages"), site_registry(t), AS_OF, days=DAYS, limit=1_000_000
+        list_pages, t.view("v_document_pages"), site_registry(t), AS_OF, days=DAYS, limit=None
     )
 
 
@@ -102,6 +102,57 @@ def _(t: Tables):
     return crawl_ingest(t).feed.select("id", "title", "url", "publish_date", "content_preview", "source_site")
 
 
+# ---------------------------------------------------------------- a crawl with all its inputs
+
+RUN = "CASE WHEN page_id % 10 = 9 THEN 'x' WHEN page_id % 10 = 8 THEN 'b' ELSE 'a' END"
+AGAIN = "page_id % 10 < 8 AND page_id % 3 = 0"
+# Run a reads every second page twice; run b lists and reads some pages of run a again, in another wording.
+LISTS_OF_RUNS = f"""WITH l AS (SELECT page_id, source, concat('https://www.', source, '.example.org/col/index.html') AS base, html FROM v_list_pages)
+SELECT page_id, source, base AS url, base, html, {RUN} AS run_id FROM l UNION ALL SELECT page_id + 3000000000, source, base, base, html, 'b' FROM l WHERE {AGAIN}"""
+PAGES_OF_RUNS = f"""SELECT page_id, source, url, html, {RUN} AS run_id FROM v_document_pages
+ UNION ALL SELECT page_id + 1000000000, source, url, replace(html, '标题 ', '再题 '), {RUN} FROM v_document_pages WHERE page_id % 2 = 0
+ UNION ALL SELECT page_id + 2000000000, source, url, replace(html, '标题 ', '外题 '), 'b' FROM v_document_pages WHERE {AGAIN}"""
+REQUESTS_OF_RUNS = """SELECT CASE WHEN event_id % 10 = 9 THEN 'x' WHEN event_id % 10 = 8 THEN 'b' ELSE 'a' END AS run_id, event_id AS seq,
+ CASE WHEN event_type <> 'error' THEN 200 WHEN event_id % 10 = 9 THEN 403 ELSE 500 END AS status FROM events"""
+ROBOTS_OF_SITES = """SELECT concat('www.', id, '.example.org') AS host, CASE CAST(substr(id, 4) AS INT) % 4
+ WHEN 0 THEN concat('User-agent: *', chr(10), 'Disallow: /doc/', chr(10)) WHEN 1 THEN concat('User-agent: *', chr(10), 'Disallow: /col/', chr(10))
+ ELSE concat('# open', chr(10), 'User-agent: *', chr(10), 'Allow: /', chr(10)) END AS body FROM v_sources WHERE CAST(substr(id, 4) AS INT) % 4 <> 3"""
+FILES_OF_SITES = """SELECT concat('https://www.', source, '.example.org/art/att/', CAST(doc_id AS STRING), '.pdf') AS url, 'doc' AS kind, concat('  附 ', CAST(doc_id AS STRING), ' ') AS text
+ FROM documents WHERE doc_id % 3 <> 0
+ UNION ALL SELECT concat('https://cdn.example.org/', CAST(doc_id AS STRING), '.gif'), 'image', concat('图 ', CAST(doc_id AS STRING)) FROM documents WHERE doc_id % 2 = 0"""
+WITH_FILE = strip("concat(r.content, chr(10), '[附件] 附 ', CAST(r.id AS STRING))")
+WITH_IMAGE = strip("concat(r.with_file, chr(10), '[图片OCR] 图 ', CAST(r.id AS STRING))")
+
+
+@query(
+    "crawl_batch_full",
+    f"""WITH {SITE_ITEMS}, {FIELDS}, run_items AS (SELECT *, {RUN} AS run_id FROM site_items UNION ALL
+     SELECT page_id + 3000000000, pos, source, title, date, url, 'b' FROM site_items WHERE {AGAIN}),
+    allowed AS (SELECT *, row_number() OVER (PARTITION BY run_id, source ORDER BY page_id, pos) AS n FROM run_items
+     WHERE run_id NOT IN (SELECT run_id FROM ({REQUESTS_OF_RUNS}) q WHERE status = 403) AND DATE '{AS_OF}' - CAST(date AS DATE) <= {DAYS}
+     AND CAST(substr(source, 4) AS INT) % 4 <> 1 AND NOT (CAST(substr(source, 4) AS INT) % 4 = 0 AND contains(url, '/doc/'))),
+    reads AS (SELECT *, page_id AS id, {RUN} AS run_id, CASE WHEN page_id % 2 = 0 THEN '再题 ' ELSE '标题 ' END AS wording FROM records
+     UNION ALL SELECT *, page_id, 'b', '外题 ' FROM records WHERE {AGAIN}),
+    worded AS (SELECT run_id, id, url, replace(title, '标题 ', wording) AS title, doc_number, issuing_authority, publish_date, replace(content, '标题 ', wording) AS content FROM reads),
+    filed AS (SELECT *, CASE WHEN length(content) < 100 AND id % 3 <> 0 THEN {WITH_FILE} ELSE content END AS with_file FROM worded r),
+    imaged AS (SELECT * REPLACE (CASE WHEN length(content) < 100 AND length(with_file) < 100 AND id % 2 = 0 THEN {WITH_IMAGE} ELSE with_file END AS content) FROM filed r)
+    SELECT i.run_id, CAST(CAST(i.page_id AS HUGEINT) * 2147483648 + i.pos AS STRING) AS seq, i.url AS source_url, r.title, r.doc_number, r.publish_date,
+     CASE WHEN r.issuing_authority = '' THEN concat('机构 ', i.source) ELSE r.issuing_authority END AS issuing_authority,
+     CASE WHEN CAST(r.publish_date AS DATE) > DATE '{AS_OF}' THEN '未生效' ELSE '有效' END AS validity_status, md5({SCRUBBED}) AS content
+    FROM allowed i JOIN imaged r ON i.run_id = r.run_id AND i.url = r.url WHERE i.n <= 50""",
+)
+def _(t: Tables):
+    """Three runs, one of them blocked, with robots files, attachment text and the default limit."""
+    batch = crawl.crawl_batch(
+        t.sql(cte(LISTS_OF_RUNS), parse=True), t.sql(cte(PAGES_OF_RUNS), parse=True), site_registry(t), AS_OF, days=DAYS,
+        robots=t.sql(cte(ROBOTS_OF_SITES)), requests=t.sql(REQUESTS_OF_RUNS), attachment_text=t.sql(FILES_OF_SITES),
+    )
+    return batch.select(
+        "run_id", F.col("seq").cast("string").alias("seq"), "source_url", "title", "doc_number", "publish_date",
+        "issuing_authority", "validity_status", F.md5("content").alias("content"),
+    )
+
+
 # ---------------------------------------------------------------- offline build
 
 KIND = "CASE page_id % 3 WHEN 0 THEN 'nmpa' WHEN 1 THEN 'nhsa' ELSE 'nhc' END"

@@ -9,7 +9,6 @@ from edictum.functions.dates import iso_date
 from edictum.functions.text import clean_html_text, doc_number, first_nonblank, let, trim_u, unescape
 from edictum.functions.urls import resolve_url
 from edictum.operators.registry import ATTACHMENT, DOWNLOAD, IMAGE, RULE_COLUMNS, with_profile
-from edictum.session import bounded
 
 TEXT_RULES = ["title_rules", "content_rules", "doc_number_rules", "authority_rules"]
 
@@ -89,10 +88,10 @@ def document_records(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def parse_documents(pages: DataFrame, sources: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Document records, each page read with the rules of its own source in one pass.
 
-    ``keep`` names further columns to pass through. The registry is broadcast if it is small, so
-    pages stay where they are.
+    ``keep`` names further columns to pass through. Pages stay where they are if Spark knows the
+    registry to be small; stage one that comes out of a query.
     """
-    rules = bounded(sources.select(F.col("id").alias("source"), *RULE_COLUMNS))
+    rules = sources.select(F.col("id").alias("source"), *RULE_COLUMNS)
     return document_records(pages.join(rules, "source"), keep=("source", *keep))
 
 

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edictum.functions.text import first_nonblank, trim_u
-from edictum.session import bounded
 
 _GRAM = 8
 
 
-def link_by_url(items: DataFrame, documents: DataFrame, sources: DataFrame) -> DataFrame:
+def link_by_url(items: DataFrame, documents: DataFrame, sources: DataFrame, runs: Iterable[str] = ()) -> DataFrame:
     """Policy rows of items whose page was read; blank document fields fall back to the item.
 
     A URL that appears on several list pages gives one row per appearance, told apart by
-    (page_id, pos); the merge keeps the last.
+    (page_id, pos); the merge keeps the last. ``runs`` names columns both sides carry that must
+    agree besides the URL, such as ``run_id``.
     """
-    names = bounded(sources.select(F.col("id").alias("source"), F.col("name").alias("source_name")))
+    names = sources.select(F.col("id").alias("source"), F.col("name").alias("source_name"))
     doc = documents.select(
+        *runs,
         "url",
         *[F.col(c).alias(f"doc_{c}") for c in ("title", "publish_date", "issuing_authority")],
         "doc_number",
@@ -29,9 +32,10 @@ def link_by_url(items: DataFrame, documents: DataFrame, sources: DataFrame) -> D
         "images",
     )
     return (
-        items.join(doc, "url")
+        items.join(doc, [*runs, "url"])
         .join(names, "source", "left")
         .select(
+            *runs,
             "page_id",
             "pos",
             "source",
@@ -152,7 +156,7 @@ def link_by_title(items: DataFrame, documents: DataFrame, sources: DataFrame) ->
     authority = documents.groupBy("source").agg(
         F.min_by("issuing_authority", F.struct("page_id", "url")).alias("doc_authority")
     )
-    names = bounded(sources.select(F.col("id").alias("source"), F.col("name").alias("source_name")))
+    names = sources.select(F.col("id").alias("source"), F.col("name").alias("source_name"))
     no_links = F.from_json(F.lit("[]"), "array<struct<url:string>>")
     return (
         items.join(matched, ["source", "url"], "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edictum.functions.dates import first_valid_date, is_recent
@@ -10,16 +10,15 @@ from edictum.functions.text import clean_html_text, first_nonblank, trim_u
 from edictum.functions.urls import resolve_url, url_path
 from edictum.operators.numbering import number_rows
 from edictum.operators.registry import ANCHOR, LI, NOISE_TITLES, PAGE_HREF, with_keep_paths
-from edictum.session import bounded
-
-# Spark cuts a ranked group in every task before its shuffle; with many tasks that is only little
-# to bring together for small ranks.
-_RANK_PUSHDOWN = 100
+from edictum.session import stage
 
 
 def pages_with_source(pages: DataFrame, sources: DataFrame) -> DataFrame:
-    """Attach the registry row, without moving the pages if the registry is small."""
-    rows = bounded(sources).withColumnsRenamed({"id": "source", "base": "source_base"})
+    """Attach the registry row. Pages stay where they are if Spark knows the registry to be small.
+
+    A registry that comes out of a query has no known size: stage it first.
+    """
+    rows = sources.withColumnsRenamed({"id": "source", "base": "source_base"})
     return pages.join(rows, "source").withColumn(
         "base", first_nonblank(F.col("base"), F.col("source_base"))
     )
@@ -115,24 +114,21 @@ def recent_items(items: DataFrame, days: int, as_of) -> DataFrame:
     return items.where(is_recent(F.col("date"), days, as_of))
 
 
-def first_items(items: DataFrame, n: int = 50) -> DataFrame:
-    """First ``n`` items of each source, in page order.
+def first_items(items: DataFrame, n: int = 50, groups: tuple[str, ...] = ("source",)) -> DataFrame:
+    """First ``n`` items of each source, or of each of ``groups``, in page order.
 
-    Small ``n`` is cut before the shuffle by Spark's group limit. A larger ``n`` goes by row
-    numbers, so a source with most of the items is not sorted in one task; ``items`` is then read
-    twice, stage it first.
+    Goes by row numbers, so a group with most of the items is never sorted in one task. The items
+    are staged, as numbering reads them twice and pages should be parsed once.
     """
-    if n > _RANK_PUSHDOWN:
-        placed = items.withColumn("_seq", item_order())
-        numbered = number_rows(placed, "_seq", groups=["source"], out="_rank")
-        return numbered.where(F.col("_rank") <= n).select(*items.columns)
-    rank = F.row_number().over(Window.partitionBy("source").orderBy("page_id", "pos"))
-    return items.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    placed = stage(items).withColumn("_seq", item_order())
+    numbered = number_rows(placed, "_seq", groups=list(groups), out="_rank")
+    return numbered.where(F.col("_rank") <= n).select(*items.columns)
 
 
 def item_order() -> Column:
-    """Position of an item over all pages; a page has fewer than a million entries."""
-    return F.col("page_id") * F.lit(1 << 20) + F.col("pos")
+    """Position of an item over all pages: a decimal of 32 digits, so any page id and any entry fits."""
+    page, pos = F.col("page_id").cast("decimal(20,0)"), F.col("pos").cast("decimal(10,0)")
+    return page * F.lit(1 << 31).cast("decimal(10,0)") + pos
 
 
 def tsv_lines(items: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from edictum.operators.listing import first_items, item_order, parse_list_pages,
 from edictum.operators.requests import without_blocked_runs
 from edictum.operators.robots import allowed_only
 from edictum.operators.upsert import assign_ids, run_log, upsert
-from edictum.session import bounded, stage
+from edictum.session import stage
 
 
 @dataclass
@@ -35,41 +35,47 @@ def crawl_batch(
     sources: DataFrame,
     as_of,
     days: int = 7,
-    limit: int = 50,
+    limit: int | None = 50,
     robots: DataFrame | None = None,
     requests: DataFrame | None = None,
     attachment_text: DataFrame | None = None,
     scrub: bool = True,
     **list_options,
 ) -> DataFrame:
-    """Policy rows of a run, ready to merge, with ``seq``.
+    """Policy rows of crawl runs, ready to merge, with ``seq`` and, where pages carry it, ``run_id``.
 
-    Runs that met a block leave nothing; list pages and items that robots rules deny are left out.
-    All that is decided on thin rows. The items are staged: they say which documents to read and
-    are linked to them, and list pages should be parsed once. A raw document page moves at most
-    once, to meet the URLs that are wanted.
+    An item is linked to the page its own run read of that URL, the one with the largest page_id if
+    there are several, and ``limit`` holds for each source of each run. Pages without ``run_id`` are
+    one run; ``limit=None`` takes all items. Runs that met a block leave nothing; list pages and items that robots rules deny are left out.
+    All that is decided on thin rows, and the items are staged, so list pages are parsed once. A
+    raw document page moves at most once, to meet the pages that are wanted, and is parsed once.
     """
-    sources = bounded(sources)
+    sources = stage(sources)
+    runs = [c for c in ("run_id",) if c in list_pages.columns and c in document_pages.columns]
+    if requests is not None and not runs:
+        raise ValueError("a request log goes with pages that carry run_id")
+    if runs:
+        run = F.coalesce("run_id", F.lit(""))
+        list_pages, document_pages = list_pages.withColumn("run_id", run), document_pages.withColumn("run_id", run)
     lists = list_pages.withColumnRenamed("url", "page_url")
-    keep = tuple(c for c, used in (("run_id", requests), ("page_url", robots)) if used is not None)
-    items = parse_list_pages(lists, sources, keep=keep, **list_options)
+    checked = ["page_url"] if robots is not None else []
+    items = parse_list_pages(lists, sources, keep=(*runs, *checked), **list_options)
     if requests is not None:
         items = without_blocked_runs(items, requests)
     if robots is not None:
         items = allowed_only(allowed_only(items, robots, url="page_url"), robots)
-    items = first_items(stage(recent_items(items, days, as_of).drop(*keep)), limit)
-
-    wanted = items.select("url").distinct()
-    on = ["url"]
-    if requests is not None:
-        read = document_pages.select("url", "run_id").distinct()
-        wanted = without_blocked_runs(read, requests).join(wanted, "url", "left_semi")
-        on = ["url", "run_id"]
-    documents = parse_documents(document_pages.join(wanted, on, "left_semi"), sources).drop("source")
-    linked = link_by_url(items, documents, sources)
+    recent = recent_items(items, days, as_of).drop(*checked)
+    items = stage(recent if limit is None else first_items(recent, limit, groups=(*runs, "source")))
+
+    on = [*runs, "url"]
+    saved = document_pages.select(*on, "page_id").join(items.select(*on).distinct(), on, "left_semi")
+    wanted = saved.groupBy(*on).agg(F.max("page_id").alias("page_id"))
+    pages = document_pages.join(wanted, [*on, "page_id"], "left_semi")
+    documents = parse_documents(pages, sources, keep=tuple(runs)).drop("source")
+    linked = link_by_url(items, documents, sources, runs)
     batch = linked.select("*", item_order().alias("seq"))
     if attachment_text is not None:
-        batch = enrich_content(batch, attachment_text, key="seq")
+        batch = enrich_content(stage(batch), attachment_text, key="seq")
     return prepare_policies(batch, as_of, scrub)
 
 

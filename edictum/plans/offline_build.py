@@ -9,7 +9,7 @@ from edictum.operators.details import parse_documents
 from edictum.operators.linkage import link_by_title, match_titles
 from edictum.operators.listing import item_order, list_items, pages_with_source
 from edictum.operators.stats import build_report
-from edictum.session import bounded, stage
+from edictum.session import stage
 
 
 def list_documents(list_pages: DataFrame, document_pages: DataFrame, sources: DataFrame, **options):
@@ -18,7 +18,7 @@ def list_documents(list_pages: DataFrame, document_pages: DataFrame, sources: Da
     Both are staged: matching, linking and the report read them again and again, and the pages
     should be parsed once.
     """
-    sources = bounded(sources)
+    sources = stage(sources)
     items = list_items(pages_with_source(list_pages, sources), **options)
     documents = parse_documents(document_pages, sources, keep=("page_id",))
     return stage(items), stage(documents.drop("raw_html"))

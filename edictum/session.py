@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,25 +39,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise an expensive result that several later steps read.
+    """Write an expensive result that several later steps read, as Parquet, and read it back.
 
-    A reliable checkpoint, so a lost executor costs a re-read and not a re-extraction.
+    A later step that needs two columns reads two columns, sizes are known to the planner, and a
+    lost executor costs a new read and not a new extraction. The folder goes with the application.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
-
-
-SMALL_ROWS = 50_000
-
-
-def bounded(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """A dimension whose size has been checked.
-
-    Up to ``max_rows`` rows it becomes a local relation, whose size Spark knows and broadcasts by
-    its own threshold; beyond that it stays as it is and is joined by a shuffle. Without this a
-    registry that comes out of a query has no known size, and the pages would be shuffled to it.
-    """
-    rows = df.limit(max_rows + 1).toArrow()
-    return df if rows.num_rows > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
+    path = f"{shared_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return spark.read.schema(df.schema).parquet(path)

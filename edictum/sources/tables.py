@@ -34,10 +34,12 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores before work that costs more than moving them.
 
-    Only a table of fewer files than cores is moved; one that has a file per core is left as it is.
+    Only a table that Spark reads in fewer tasks than there are cores is moved. Spark splits files
+    by ``spark.sql.files.maxPartitionBytes``, so such a table is at most that size times the cores;
+    a larger one stays where it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def create_tables(spark: SparkSession, root: str) -> list[str]:

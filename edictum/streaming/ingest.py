@@ -16,7 +16,7 @@ from edictum.functions.text import first_nonblank
 from edictum.operators.details import parse_documents
 from edictum.operators.enrichment import prepare_policies
 from edictum.operators.upsert import accepted, latest_per_key
-from edictum.session import bounded
+from edictum.session import stage
 from edictum.sources.tables import path_exists
 
 
@@ -72,7 +72,7 @@ def document_rows(pages: DataFrame, sources: DataFrame, as_of, scrub: bool = Tru
 
     Parsing is stateless, so ``pages`` may be a stream or a table. ``seq`` is the page id.
     """
-    sources = bounded(sources)
+    sources = stage(sources)
     names = sources.select(F.col("id").alias("source"), F.col("name").alias("source_name"))
     records = parse_documents(pages, sources, keep=("page_id",)).join(names, "source")
     rows = records.select(

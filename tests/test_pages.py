@@ -58,7 +58,7 @@ def test_relative_links_need_their_page_as_base(spark, sources):
     assert [(r.url[-11:], r.date) for r in got] == [("/lk17a.html", "2025-11-06"), ("/lk17b.html", "2025-10-09")]
 
 
-def test_first_items_agree_on_both_ways(spark):
+def test_first_items_of_a_hot_source(spark):
     rows = [(p, i, "hot" if p % 3 else "cold", "u", "t", "") for p in range(120) for i in range(12)]
     items = spark.createDataFrame(rows, "page_id bigint, pos int, source string, url string, title string, date string")
     for n in (7, 101, 1001):
@@ -132,9 +132,7 @@ def test_titles_of_items_as_text(spark):
     assert listing.list_items(pages).select(F.size(F.array("url"))).count() == 1
 
 
-def test_small_cut_happens_before_the_shuffle(spark):
-    items = spark.createDataFrame([(0, 0, "s", "u", "t", "")], "page_id bigint, pos int, source string, url string, title string, date string")
-    plan = listing.first_items(items, 50)._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("Exchange hashpartitioning") < plan.index("WindowGroupLimit [source") or plan.count("WindowGroupLimit") == 2
-    numbered = listing.first_items(items, 5000)._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" not in numbered
+def test_item_order_takes_any_page_id_and_any_position(spark):
+    rows = [(2**62 + 1, 0), (2**62, 3_000_000), (-5, 1), (2**62, 2)]
+    df = spark.createDataFrame(rows, "page_id bigint, pos int").withColumn("seq", listing.item_order())
+    assert [tuple(r)[:2] for r in df.orderBy("seq").collect()] == sorted(rows)
