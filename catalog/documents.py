@@ -157,10 +157,11 @@ def _(t: Tables):
 
 FIRST_LINE = "trim(split_part(text, chr(10), 1))"
 TITLE_DOCS = f"""SELECT doc_id AS page_id, source, concat('https://d.example.org/', CAST(doc_id AS STRING)) AS url,
- CASE doc_id % 15 WHEN 0 THEN {FIRST_LINE} WHEN 5 THEN concat('关于 ', {FIRST_LINE}, ' 的通知') ELSE substr({FIRST_LINE}, 1 + CAST(doc_id % 7 AS INT), 6 + CAST(doc_id % 25 AS INT)) END AS title,
+ CASE WHEN doc_id % 3 = 0 THEN concat('关于 转发 ', {FIRST_LINE}, ' 全文 的通知') ELSE {FIRST_LINE} END AS title,
  '2024-05-05' AS publish_date, concat(source, '号', CAST(doc_id AS STRING)) AS doc_number, CASE WHEN doc_id % 2 = 0 THEN '' ELSE concat('局 ', CAST(doc_id AS STRING)) END AS issuing_authority, text AS content
- FROM documents WHERE doc_id % 5 = 0"""
-TITLE_ITEMS = f"""SELECT doc_id AS page_id, 0 AS pos, source, concat('https://i.example.org/', CAST(doc_id AS STRING)) AS url, {FIRST_LINE} AS title, '2024-01-01' AS date FROM documents"""
+ FROM documents"""
+TITLE_ITEMS = f"""SELECT doc_id AS page_id, 0 AS pos, source, concat('https://i.example.org/', CAST(doc_id AS STRING)) AS url,
+ CASE WHEN doc_id % 3 = 2 THEN {FIRST_LINE} ELSE concat('转发 ', {FIRST_LINE}, ' 全文') END AS title, '2024-01-01' AS date FROM documents"""
 MATCHED = f"""t_items AS ({TITLE_ITEMS}), t_docs AS ({TITLE_DOCS}),
 pairs AS (SELECT d.page_id AS d_id, d.url AS d_url, d.source, i.page_id AS item_page_id, i.url AS item_url, i.title AS item_title,
   row_number() OVER (PARTITION BY d.page_id ORDER BY i.page_id, i.pos) AS n
@@ -203,14 +204,18 @@ def _(t: Tables):
 @query(
     "build_report",
     f"""WITH {MATCHED}, lead AS (SELECT source, min(page_id) AS page_id FROM t_docs GROUP BY source),
-    listed AS (SELECT source, count(*) AS list_items FROM t_items GROUP BY source)
-    SELECT l.source, l.list_items, coalesce(d.title, '') AS detail_title, coalesce(d.doc_number, '') AS detail_doc_number,
-     coalesce(length(d.content), 0) AS detail_content_len, CASE WHEN d.issuing_authority <> '' THEN d.issuing_authority ELSE concat('机构 ', l.source) END AS detail_authority,
+    listed AS (SELECT source, count(*) AS list_items FROM t_items GROUP BY source),
+    registered AS (SELECT id, name FROM v_sources UNION ALL SELECT concat('none_', n_name), concat('机构 none_', n_name) FROM nation)
+    SELECT l.id AS source, coalesce(c.list_items, 0) AS list_items, coalesce(d.title, '') AS detail_title, coalesce(d.doc_number, '') AS detail_doc_number,
+     coalesce(length(d.content), 0) AS detail_content_len, CASE WHEN d.issuing_authority <> '' THEN d.issuing_authority ELSE l.name END AS detail_authority,
      CASE WHEN d.url IS NULL THEN 0 ELSE 1 END AS attachments, f.item_title AS matched_item
-    FROM listed l LEFT JOIN lead USING (source) LEFT JOIN t_docs d ON d.page_id = lead.page_id LEFT JOIN firsts f ON f.d_id = d.page_id""",
+    FROM registered l LEFT JOIN listed c ON c.source = l.id LEFT JOIN lead ON lead.source = l.id LEFT JOIN t_docs d ON d.page_id = lead.page_id LEFT JOIN firsts f ON f.d_id = d.page_id""",
 )
 def _(t: Tables):
-    report = offline_build.build_summary(title_items(t), title_documents(t), site_sources(t))
+    """Sources named after nations have neither items nor documents."""
+    idle = t.table("nation").selectExpr("concat('none_', n_name) AS id", "concat('机构 none_', n_name) AS name")
+    sources = site_sources(t).select("id", "name").unionByName(idle)
+    report = offline_build.build_summary(title_items(t), title_documents(t), sources)
     return report.select(
         "source", "list_items", "detail_title", "detail_doc_number", "detail_content_len", "detail_authority",
         "attachments", "matched_item",
@@ -219,17 +224,18 @@ def _(t: Tables):
 
 # ---------------------------------------------------------------- enrichment
 
-ENRICHED = f"""SELECT id, source_url, CASE WHEN id % 4 = 0 THEN content ELSE substr(content, 1, CAST(id % 120 AS INT)) END AS content,
- concat('https://a.example.org/', CAST(id AS STRING)) AS stem FROM v_policies"""
+# Every policy with its whole content, and once more with nothing but its number and office.
+ENRICHED = """SELECT id, id AS k, source_url, content, concat('https://a.example.org/', CAST(id AS STRING)) AS stem FROM v_policies
+ UNION ALL SELECT id + 1000000000, id, concat(source_url, '#short'), concat(doc_number, ' ', issuing_authority), concat('https://a.example.org/', CAST(id AS STRING)) FROM v_policies"""
 
 
 @query(
     "enrich_content",
     f"""WITH p AS ({ENRICHED}),
-    docs AS (SELECT id, stem, source_url, content, CASE WHEN length(content) >= 100 THEN content ELSE
-      CASE WHEN id % 3 <> 0 OR (id % 2 = 0 AND id % 7 < 3) THEN {strip("concat(content, CASE WHEN id % 3 <> 0 THEN concat(chr(10), '[附件] 附 ', CAST(id AS STRING)) ELSE '' END, CASE WHEN id % 2 = 0 AND id % 7 < 3 THEN concat(chr(10), '[附件] W', CAST(id AS STRING)) ELSE '' END)")}
+    docs AS (SELECT id, k, content, CASE WHEN length(content) >= 100 THEN content ELSE
+      CASE WHEN k % 3 <> 0 OR (k % 2 = 0 AND k % 7 < 3) THEN {strip("concat(content, CASE WHEN k % 3 <> 0 THEN concat(chr(10), '[附件] 附 ', CAST(k AS STRING)) ELSE '' END, CASE WHEN k % 2 = 0 AND k % 7 < 3 THEN concat(chr(10), '[附件] W', CAST(k AS STRING)) ELSE '' END)")}
       ELSE content END END AS c FROM p)
-    SELECT id, CASE WHEN length(content) < 100 AND length(c) < 100 AND id % 5 <> 0 THEN {strip("concat(c, chr(10), '[图片OCR] 图 ', CAST(id AS STRING))")} ELSE c END AS content FROM docs""",
+    SELECT id, CASE WHEN length(content) < 100 AND length(c) < 100 AND k % 5 <> 0 THEN {strip("concat(c, chr(10), '[图片OCR] 图 ', CAST(k AS STRING))")} ELSE c END AS content FROM docs""",
 )
 def _(t: Tables):
     """A PDF always counts, a Word file only with a local file; the first image has no text in the table."""
@@ -238,7 +244,7 @@ def _(t: Tables):
         "source_url",
         "content",
         """array(named_struct('url', concat(stem, '.pdf'), 'file', ''),
-           named_struct('url', concat(stem, '.docx'), 'file', if(id % 7 < 3, 'f', '')),
+           named_struct('url', concat(stem, '.docx'), 'file', if(k % 7 < 3, 'f', '')),
            named_struct('url', concat(stem, '.xls'), 'file', 'f')) AS attachments""",
         "array(named_struct('url', concat(stem, '.none.png')), named_struct('url', concat(stem, '.png'))) AS images",
     )

@@ -187,6 +187,14 @@ def _(t: Tables):
     return feed_files.read_feed(t.spark, path)
 
 
+@query("feed_array", f"WITH {FEED} SELECT {FEED_COLS} FROM merged_feed")
+def _(t: Tables):
+    """Written as parts that join to one JSON array, and read back."""
+    path = scratch(t, "feed-array")
+    feed_files.write_feed_array(merged_feed(t), path)
+    return feed_files.read_feed_array_parts(t.spark, path)
+
+
 @query("feed_audit", "SELECT count(*) AS records, count(*) AS complete, count(*) - count(DISTINCT url) AS duplicate_urls, (SELECT count(*) FROM (SELECT publish_date > lag(publish_date) OVER (ORDER BY pos) AS bad FROM v_feed) x WHERE bad) AS out_of_order FROM v_feed")
 def _(t: Tables):
     """Records out of order are counted in chunks; positions with gaps are numbered first."""

@@ -29,6 +29,18 @@ def _(t: Tables):
     return found.select("id", "name", "area", "base", "parser", "enabled")
 
 
+@query("navigation_files", "SELECT category, name, area, portal_url FROM v_navigation")
+def _(t: Tables):
+    """Navigation files of up to a thousand entries, each with a byte-order mark, written and read back."""
+    path = scratch(t, "navigation")
+    entry = F.struct("pos", "name", "area", "portal_url")
+    part = F.concat_ws("-", F.hex(F.encode("category", "UTF-8")), F.floor(F.col("pos") / 1000).cast("string"))
+    files = t.view("v_navigation").groupBy("category", part.alias("part")).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    whole = F.concat(F.lit("\ufeff"), F.to_json(F.create_map("category", "entries")))
+    files.select("part", whole.alias("value")).write.partitionBy("part").text(path)
+    return navigation.read_navigation(t.spark, path).select("category", "name", "area", "portal_url")
+
+
 @query(
     "registry_merge",
     f"""WITH {REGIONAL}, national AS (SELECT id, concat('national ', id) AS name FROM regional WHERE length(name) % 2 = 0 OR substr(id, 1, 3) = 'nhc' UNION ALL SELECT DISTINCT source, source FROM documents)

@@ -156,11 +156,23 @@ def _(t: Tables):
     return requests.source_health(t.view("v_sources"), t.view("v_request_log"))
 
 
+ENTRIES = """string_agg(concat('{"source":"', source, '","url":"', url, '","ok":', CAST(ok AS STRING), ',"detail":"', detail, '"}'), ',' ORDER BY source)"""
+
+
 @query(
     "health_report",
     f"""SELECT bool_and(ok) AS ok, concat('{{"ok":', CAST(bool_and(ok) AS STRING), ',"checked_at":"{AS_OF}","db":{{"ok":true,"detail":"数据库正常，政策 ',
-    (SELECT CAST(count(*) AS STRING) FROM v_policies), ' 条"}},"sources":[', string_agg(concat('{{"source":"', source, '","url":"', url, '","ok":', CAST(ok AS STRING),
-    ',"detail":"', detail, '"}}'), ',' ORDER BY source), ']}}') AS report FROM ({HEALTH}) h""",
+    (SELECT CAST(count(*) AS STRING) FROM v_policies), ' 条"}},"sources":[', {ENTRIES}, ']}}') AS report FROM ({HEALTH}) h""",
 )
 def _(t: Tables):
     return requests.health_report(t.view("v_sources"), t.view("v_request_log"), t.view("v_policies"), F.lit(AS_OF))
+
+
+@query(
+    "health_report_no_store",
+    f"""SELECT false AS ok, concat('{{"ok":false,"checked_at":"{AS_OF}","db":{{"ok":false,"detail":"数据库异常: no such table"}},"sources":[',
+    {ENTRIES}, ']}}') AS report FROM ({HEALTH}) h""",
+)
+def _(t: Tables):
+    """The store cannot be read; the sources are reported all the same."""
+    return requests.health_report(t.view("v_sources"), t.view("v_request_log"), None, F.lit(AS_OF), "no such table")

@@ -100,3 +100,20 @@ def _(t: Tables):
     )
     found = ingest.recent_distinct(rows, 30)
     return ingest.run_to_files(found, scratch(t, "recent"), scratch(t, "recent-state"))
+
+
+LATE = """SELECT concat('u', CAST(doc_id AS STRING)) AS source_url, CAST(doc_id % 3 AS INT) AS part,
+ CASE WHEN doc_id % 3 = 0 THEN CAST(DATE '2024-01-01' + CAST(doc_id % 10 AS INT) AS STRING) WHEN doc_id % 3 = 1 THEN CAST(DATE '2024-03-01' + CAST(doc_id % 10 AS INT) AS STRING)
+  WHEN doc_id % 4 = 0 THEN '' WHEN doc_id % 4 = 1 THEN '2024-01-20' ELSE '2024-02-28' END AS date FROM documents"""
+
+
+@query("stream_late_rows", f"SELECT source_url, date FROM ({LATE}) x WHERE part <> 2 OR date <> '2024-01-20'")
+def _(t: Tables):
+    """Three micro-batches over the same state: in the third, rows behind the watermark of the first two are dropped."""
+    source, out, state = (scratch(t, n) for n in ("late-in", "late-out", "late-state"))
+    rows = t.sql(LATE)
+    for part in range(3):
+        rows.where(F.col("part") == part).select("source_url", "date").write.mode("append").parquet(source)
+        arriving = t.spark.readStream.schema("source_url string, date string").parquet(source)
+        found = ingest.run_to_files(ingest.recent_distinct(arriving, 30), out, state)
+    return found

@@ -27,13 +27,14 @@ def _(t: Tables):
     return t.pages().select("page_id", clean_html_text(F.col("html")).alias("text"))
 
 
-BODY = "substr(html, instr(html, '<article>'))"
+SCRIPT = "regexp_extract(html, '(?s)<script>(.*?)</script>', 1)"
+SHIELDED = f"CASE WHEN {SCRIPT} = '' THEN html ELSE replace(html, {SCRIPT}, replace({SCRIPT}, '<', chr(3))) END"
 
 
-@query("page_text_with_scripts", f"SELECT page_id, {clean(BODY, drop_script=False)} AS text FROM pages")
+@query("page_text_with_scripts", f"SELECT page_id, replace({clean(SHIELDED, drop_script=False)}, chr(3), '<') AS text FROM pages")
 def _(t: Tables):
-    """Script text kept; from the article on, where no script holds markup."""
-    return t.pages().select("page_id", clean_html_text(F.expr(BODY), drop_script=False).alias("text"))
+    """Whole pages, script and style text kept; tags within a script's strings are its text."""
+    return t.pages().select("page_id", clean_html_text(F.col("html"), drop_script=False).alias("text"))
 
 
 @query(

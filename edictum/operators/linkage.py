@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edictum.functions.text import first_nonblank, trim_u
+from edictum.session import stage
 
 _GRAM = 8
 
@@ -108,13 +109,16 @@ def match_titles(items: DataFrame, documents: DataFrame) -> DataFrame:
     Returns (url, source, title, item_page_id, item_pos, item_url, item_title) for the documents
     that have a match. "First" is by (page_id, pos).
     """
-    item_titles = (
+    # Only titles are compared, each once: staged, so that no step reads the documents again for them.
+    item_titles = stage(
         items.select(F.col("source").alias("grp"), trim_u(F.col("title")).alias("t"), "page_id", "pos", "url", "title")
         .where("t <> ''")
         .groupBy("grp", "t")
         .agg(F.min_by(F.struct("page_id", "pos", "url", "title"), F.struct("page_id", "pos")).alias("item"))
     )
-    doc_titles = documents.select(F.col("source").alias("grp"), trim_u(F.col("title")).alias("d")).where("d <> ''").distinct()
+    doc_titles = stage(
+        documents.select(F.col("source").alias("grp"), trim_u(F.col("title")).alias("d")).where("d <> ''").distinct()
+    )
     t, d = item_titles.select("grp", "t"), doc_titles
     inside_doc = _contained(d.withColumnRenamed("d", "long"), t.withColumnRenamed("t", "short")).select(
         "grp", F.col("long").alias("d"), F.col("short").alias("t")

@@ -134,14 +134,24 @@ def source_health(sources: DataFrame, log: DataFrame) -> DataFrame:
     )
 
 
-def health_report(sources: DataFrame, log: DataFrame, policies: DataFrame, now: Column) -> DataFrame:
-    """One row with the whole report as JSON, and the overall verdict."""
+def health_report(
+    sources: DataFrame, log: DataFrame, policies: DataFrame | None, now: Column, problem: str = ""
+) -> DataFrame:
+    """One row with the whole report as JSON, and the overall verdict.
+
+    Without ``policies`` the store could not be read: ``problem`` says why, and the verdict is no.
+    """
     health = source_health(sources, log)
     entries = health.agg(
-        F.coalesce(F.bool_and("ok"), F.lit(True)).alias("ok"),
+        (F.coalesce(F.bool_and("ok"), F.lit(True)) & F.lit(policies is not None)).alias("ok"),
         F.array_sort(F.collect_list(F.struct("source", "url", "ok", "detail"))).alias("sources"),  # small registry
     )
-    count = policies.agg(F.count(F.lit(1)).alias("n")).scalar()
-    db = F.struct(F.lit(True).alias("ok"), F.concat(F.lit("数据库正常，政策 "), count.cast("string"), F.lit(" 条")).alias("detail"))
+    # The wording about the store.
+    if policies is None:
+        detail = F.lit(f"数据库异常: {problem}")
+    else:
+        count = policies.agg(F.count(F.lit(1)).alias("n")).scalar()
+        detail = F.concat(F.lit("数据库正常，政策 "), count.cast("string"), F.lit(" 条"))
+    db = F.struct(F.lit(policies is not None).alias("ok"), detail.alias("detail"))
     report = F.struct("ok", now.cast("string").alias("checked_at"), db.alias("db"), "sources")
     return entries.select("ok", F.to_json(report).alias("report"))

@@ -39,8 +39,9 @@ def health_summary(policies: DataFrame, sources: DataFrame, now: Column) -> Data
 
 
 def build_report(items: DataFrame, documents: DataFrame, matches: DataFrame, sources: DataFrame) -> DataFrame:
-    """One row per source: items listed, its first document's fields, the title it was matched to.
+    """One row per registered source: items listed, its first document's fields, the title it was matched to.
 
+    A source without items or documents has its row too, with zeros and blanks.
     ``documents`` carries source and page_id; ``matches`` comes from ``match_titles``.
     """
     listed = items.groupBy("source").agg(F.count(F.lit(1)).alias("list_items"))
@@ -55,11 +56,11 @@ def build_report(items: DataFrame, documents: DataFrame, matches: DataFrame, sou
     )
     first = first.select("source", "d.*")
     hits = matches.select("source", "url", F.col("item_title").alias("matched_item"))
-    report = listed.join(first, "source", "left").join(hits, ["source", "url"], "left")
     names = sources.select(F.col("id").alias("source"), F.col("name").alias("source_name"))
-    return report.join(names, "source", "left").select(
+    report = names.join(listed, "source", "left").join(first, "source", "left").join(hits, ["source", "url"], "left")
+    return report.select(
         "source",
-        "list_items",
+        F.coalesce("list_items", F.lit(0)).alias("list_items"),
         F.coalesce("title", F.lit("")).alias("detail_title"),
         F.coalesce("publish_date", F.lit("")).alias("detail_date"),
         F.coalesce("doc_number", F.lit("")).alias("detail_doc_number"),

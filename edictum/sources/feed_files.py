@@ -41,6 +41,15 @@ def read_feed_array(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_feed_array_parts(spark: SparkSession, path: str) -> DataFrame:
+    """Records of a feed written by :func:`write_feed_array`, line by line, so its parts are read in parallel."""
+    if not path_exists(spark, path):
+        return empty(spark, schemas.FEED)
+    record = F.regexp_replace("value", r"^[\[,]|\]$", "")
+    parsed = spark.read.text(path).select(record.alias("value")).where(F.json_object_keys("value").isNotNull())
+    return parsed.select(F.from_json("value", schemas.FEED).alias("r")).select("r.*")
+
+
 def _nested(schema: str) -> str:
     return ",".join(":".join(f.split()) for f in schema.split(","))
 

@@ -55,7 +55,10 @@ def test_offline_build(spark):
     items, documents = offline_build.list_documents(spark.createDataFrame(lists, PAGES), spark.createDataFrame(docs, PAGES), sources)
     rows = offline_build.build_policies(items, documents, sources).orderBy("pos").collect()
     assert [(r.content, r.issuing_authority) for r in rows] == [("文" * 30, "国家医疗保障局"), ("", "国家医疗保障局")]
-    report = offline_build.build_summary(items, documents, sources).collect()[0]
+    reports = {r.source: r for r in offline_build.build_summary(items, documents, sources).collect()}
+    assert sorted(reports) == sorted(r.id for r in sources.collect())
+    assert (reports["nmpa"].list_items, reports["nmpa"].detail_title, reports["nmpa"].matched_item) == (0, "", None)
+    report = reports["nhsa"]
     assert (report.list_items, report.detail_content_len, report.matched_item) == (2, 30, "关于某事的通知")
 
 
