@@ -191,6 +191,32 @@ def _(t: Tables):
     )
 
 
+def stored_listings(t: Tables) -> DataFrame:
+    """Stored policies under the URLs of the saved list pages; every fourth is missing."""
+    return stored_policies(t).withColumn("source_url", F.format_string("https://www.example.org/art/%d.html", "id"))
+
+
+@query(
+    "offline_upsert",
+    f"""{OFFLINE}, built AS (SELECT i.page_id, i.pos, i.url, i.title, i.date, coalesce(d.doc_number, '') AS doc_number, coalesce(d.content, '') AS content,
+     CASE WHEN a.issuing_authority <> '' THEN a.issuing_authority ELSE '国家药品监督管理局' END AS issuing_authority
+     FROM listed i LEFT JOIN chosen c ON c.source = i.source AND c.item_url = i.url LEFT JOIN docs d ON d.page_id = c.d_id
+     JOIN lead l ON l.source = i.source JOIN docs a ON a.page_id = l.page_id),
+    kept AS (SELECT *, concat('https://www.example.org/art/', CAST(id AS STRING), '.html') AS k_url FROM v_policies WHERE id % 4 <> 0)
+    SELECT coalesce(k.id, (SELECT max(id) FROM kept) + row_number() OVER (PARTITION BY k.id IS NULL ORDER BY b.page_id, b.pos)) AS id, coalesce(b.url, k.k_url) AS source_url,
+     coalesce(b.title, k.title) AS title, coalesce(b.doc_number, k.doc_number) AS doc_number, coalesce(b.issuing_authority, k.issuing_authority) AS issuing_authority,
+     coalesce(b.date, CAST(k.publish_date AS STRING)) AS publish_date, CASE WHEN b.url IS NULL THEN k.validity_status ELSE '有效' END AS validity_status,
+     md5(coalesce(b.content, k.content)) AS content, k.id IS NULL AS added FROM built b FULL JOIN kept k ON k.k_url = b.url""",
+)
+def _(t: Tables):
+    """The policy table after an offline build: listed rows updated or added with the next ids, others as they were."""
+    after = offline_build.store_policies(offline(t), stored_listings(t), now())
+    return after.select(
+        "id", "source_url", "title", "doc_number", "issuing_authority", F.col("publish_date").cast("string").alias("publish_date"),
+        "validity_status", F.md5("content").alias("content"), (F.col("created_at") == now()).alias("added"),
+    )
+
+
 @query("offline_feed", f"{OFFLINE} SELECT url, count(*) AS entries, max(date) AS publish_date FROM listed GROUP BY url")
 def _(t: Tables):
     """The feed of an offline build holds every listed URL once."""

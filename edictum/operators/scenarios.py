@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,31 +38,17 @@ def searched_text(policies: DataFrame) -> Column:
     return F.lower(F.concat_ws(" ", *[F.coalesce(p, F.lit("")) for p in parts]))
 
 
-def _literal(scenarios: Iterable[dict]) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(s["id"]).alias("id"),
-                F.array(*[F.lit(k.lower()) for k in s["keywords"]]).alias("keywords"),
-            )
-            for s in scenarios
-        ]
-    )
-
-
-def scenario_ids(policies: DataFrame, scenarios: Iterable[dict] = SCENARIOS) -> Column:
-    """Ids of all scenarios a policy belongs to. One pass over the text, no join."""
-
-    def hits(text: Column) -> Column:
-        hit = F.filter(_literal(scenarios), lambda s: F.exists(s["keywords"], lambda k: F.contains(text, k)))
-        return F.transform(hit, lambda s: s["id"])
-
-    return let(searched_text(policies), hits)
+def _holds(text: Column, keywords: Iterable[str]) -> Column:
+    """One comparison with a constant per keyword, so that all of them are compiled."""
+    return reduce(or_, [F.contains(text, F.lit(k.lower())) for k in keywords], F.lit(False))
 
 
 def tag_scenarios(policies: DataFrame, scenarios: Iterable[dict] = SCENARIOS) -> DataFrame:
-    """One row per policy and scenario it belongs to: the policy's columns and ``scenario``."""
-    return policies.select("*", F.explode(scenario_ids(policies, scenarios)).alias("scenario"))
+    """One row per policy and scenario it belongs to: the policy's columns and ``scenario``. No join."""
+    text = F.col("_searched")
+    ids = F.array_compact(F.array(*[F.when(_holds(text, s["keywords"]), F.lit(s["id"])) for s in scenarios]))
+    searched = policies.withColumn("_searched", searched_text(policies))
+    return searched.select(*policies.columns, F.explode(ids).alias("scenario"))
 
 
 def scenario_policies(policies: DataFrame, scenario_id: str, scenarios: Iterable[dict] = SCENARIOS) -> DataFrame:

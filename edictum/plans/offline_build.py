@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edictum.functions.dates import VALID
 from edictum.operators.details import parse_documents
 from edictum.operators.linkage import link_by_title, match_titles
 from edictum.operators.listing import item_order, list_items, pages_with_source
 from edictum.operators.stats import build_report
+from edictum.operators.upsert import assign_ids, upsert
+from edictum.plans.ingest import table_columns
 from edictum.session import stage
 
 
@@ -30,5 +33,11 @@ def build_policies(items: DataFrame, documents: DataFrame, sources: DataFrame) -
     return linked.select("*", item_order().alias("seq"), F.lit("").alias("implement_date"), F.lit("").alias("raw_html"))
 
 
+def store_policies(batch: DataFrame, stored: DataFrame, now: Column) -> DataFrame:
+    """The policy table after an offline build: its rows, all in force, merged by URL."""
+    rows = stage(table_columns(batch.withColumn("validity_status", F.lit(VALID))))
+    return assign_ids(upsert(stored, rows, now), stored)
+
+
 def build_summary(items: DataFrame, documents: DataFrame, sources: DataFrame) -> DataFrame:
     return build_report(items, documents, match_titles(items, documents), sources)

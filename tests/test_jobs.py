@@ -10,6 +10,7 @@ from edictum.operators import upsert
 from edictum.operators.registry import source_table
 from edictum.plans import ingest, offline_build
 from edictum.schemas import FEED, POLICIES, REQUEST_LOG
+from edictum.session import stage
 from edictum.streaming import ingest as streaming
 from tests.oracle import compare, connect
 
@@ -48,6 +49,32 @@ def test_crawl_job_twice(spark):
     assert ingest.raw_pages(batch).count() == 2
 
 
+def test_runs_are_kept_apart(spark):
+    base = "https://www.nhc.gov.cn/fzs/c/202607"
+    item = lambda n: f'<li><a href="/fzs/c/202607/p{n}.shtml">关于第{n}项的说明</a>2026-07-29</li>'
+    page = lambda words: f'<meta name="ArticleTitle" content="{words}"><div id="xw_box">{"文" * 30}</div>'
+    lists = [(1, "nhc", f"{base}/l.shtml", "", item(1) + item(2) + item(3), "r1"), (2, "nhc", f"{base}/l.shtml", "", item(1) + item(2), "r2"),
+             (3, "nhc", f"{base}/l.shtml", "", item(1), None)]
+    docs = [(11, "nhc", f"{base}/p1.shtml", "", page("甲"), "r1"), (12, "nhc", f"{base}/p1.shtml", "", page("乙"), "r1"),
+            (13, "nhc", f"{base}/p1.shtml", "", page("丙"), "r2"), (14, "nhc", f"{base}/p3.shtml", "", page("丁"), "r1"),
+            (15, "nhc", f"{base}/p2.shtml", "", page("戊"), "r3"), (16, "nhc", f"{base}/p1.shtml", "", page("己"), None)]
+    lists, docs = spark.createDataFrame(lists, PAGES), spark.createDataFrame(docs, PAGES)
+    sources = source_table(spark)
+    titles = lambda **o: sorted((r.run_id, r.title) for r in ingest.crawl_batch(lists, docs, sources, "2026-08-01", **o).collect())
+    assert titles(limit=None) == [("", "己"), ("r1", "丁"), ("r1", "乙"), ("r2", "丙")]
+    assert titles(limit=2) == [("", "己"), ("r1", "乙"), ("r2", "丙")]
+    one = ingest.crawl_batch(lists.drop("run_id"), docs.drop("run_id"), sources, "2026-08-01", limit=None)
+    assert sorted(r.title for r in one.collect()) == ["丁", "己", "己", "己", "戊", "戊"]
+    with pytest.raises(ValueError):
+        ingest.crawl_batch(lists.drop("run_id"), docs, sources, "2026-08-01", requests=spark.createDataFrame([], REQUEST_LOG))
+
+
+def test_staged_columns_are_read_alone(spark):
+    staged = stage(spark.createDataFrame([(1, "x", "long")], "id int, title string, content string"))
+    plan = staged.select("title")._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan[plan.index("ReadSchema") :] and staged.count() == 1
+
+
 def test_offline_build(spark):
     lists = [(1, "nhsa", "l", "", '<li><a href="/art/2026/7/17/art_1_2.html">关于某事的通知</a>2026-07-17</li><li><a href="/art/2026/7/16/art_1_3.html">另外的通知</a></li>', "")]
     docs = [(2, "nhsa", "https://www.nhsa.gov.cn/art/2026/7/17/art_1_2.html", "", "<h1>国家局关于某事的通知</h1><div class='text'>" + "文" * 30 + "</div>", "")]
