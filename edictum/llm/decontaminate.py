@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Benchmark decontamination: n-gram seeds, the frequent ones behind a bound, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
@@ -22,12 +22,13 @@ LEAST = 0.4  # of the score a whole copy of the item has
 
 
 class Block(NamedTuple):
-    """Some test items: their words as numbers, and the n-grams that are looked for."""
+    """Some test items: their words as numbers, the n-grams that are looked for, and which of them are rare."""
 
     numbers: dict[bytes, int]  # from 1; 0 is any other word
     items: list[tuple[object, np.ndarray]]
     grams: np.ndarray  # sorted keys
     places: list[list[tuple[int, int]]]  # per key: (item, position in it)
+    rare: np.ndarray  # per key
 
     def key(self, ids: np.ndarray) -> np.ndarray:
         """Keys of all n-grams of a sequence; -1 where a word is none of the items'."""
@@ -65,13 +66,13 @@ def block_of(items: list[tuple[object, list[bytes]]]) -> Block:
         for w in words:
             numbers.setdefault(w, len(numbers) + 1)
     coded = [(item, np.array([numbers[w] for w in words], np.int64)) for item, words in items]
-    empty = Block(numbers, coded, np.zeros(0, np.int64), [])
+    empty = Block(numbers, coded, np.zeros(0, np.int64), [], np.zeros(0, bool))
     where: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for i, (_, ids) in enumerate(coded):
         for at, key in enumerate(empty.key(ids).tolist()):
             where[key].append((i, at))
     keys = sorted(where)
-    return empty._replace(grams=np.array(keys, np.int64), places=[where[k] for k in keys])
+    return empty._replace(grams=np.array(keys, np.int64), places=[where[k] for k in keys], rare=np.ones(len(keys), bool))
 
 
 def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
@@ -95,11 +96,10 @@ def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Blo
 
 
 def rare_seeds(block: Block, docs: DataFrame, rare: float = RARE, rare_docs: int = RARE_DOCS) -> Block:
-    """The block with only its rare n-grams, by the number of documents that have them.
+    """The block with the n-grams that occur, and which of them are rare by the number of documents that have them.
 
-    Counts cover all documents. All n-grams of an item that leaked into very many documents are
-    frequent, but about as frequent as each other; those up to twice the lower quartile of the
-    item's own n-grams serve all the same.
+    Counts cover all documents. Frequent n-grams stay: a copy, or a part of one, that leaked into
+    very many documents may have no others.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,19 +119,16 @@ def rare_seeds(block: Block, docs: DataFrame, rare: float = RARE, rare_docs: int
         else:
             frequency[row.gram] = row.n
     occurs = np.flatnonzero(frequency)
-    by_item: dict[int, set[int]] = defaultdict(set)
-    for g in occurs.tolist():
-        for i, _ in block.places[g]:
-            by_item[i].add(g)
-    chosen: dict[int, set[int]] = defaultdict(set)
-    for i, grams in by_item.items():
-        quartile = sorted(frequency[g] for g in grams)[len(grams) // 4]
-        most = max(rare_docs, rare * n_docs, 2 * quartile)
-        for g in grams:
-            if frequency[g] <= most:
-                chosen[g].add(i)
-    kept = sorted(chosen)
-    return block._replace(grams=block.grams[kept], places=[[p for p in block.places[g] if p[0] in chosen[g]] for g in kept])
+    rare_ones = frequency[occurs] <= max(rare_docs, rare * n_docs)
+    return block._replace(grams=block.grams[occurs], places=[block.places[g] for g in occurs.tolist()], rare=rare_ones)
+
+
+def most_shared(item: np.ndarray, ids: np.ndarray) -> int:
+    """The words that an alignment of the two can match, at most."""
+    words, n = np.unique(item, return_counts=True)
+    place = np.minimum(np.searchsorted(words, ids), len(words) - 1)
+    found = np.bincount(place[words[place] == ids], minlength=len(words))
+    return int(np.minimum(n, found).sum())
 
 
 def best_cell(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
@@ -157,23 +154,29 @@ def matches(block: Block, text: bytes, least: float = LEAST) -> list[tuple[objec
     """(item_id, score, first word, last word) for each item that the text holds a copy of.
 
     Seeds say where an item may begin; what lies around, wide enough for inserted words, is aligned
-    with the whole item. Places that overlap are one. The best place of an item counts.
+    with the whole item. A place without a rare seed is left out if too few of its words are the
+    item's for any alignment to reach ``least``. Places that overlap are one. The best place of an
+    item counts.
     """
     ids = block.ids(text)
     at, seed = block.hits(ids)
     if not len(at):
         return []
-    spots: dict[int, set[int]] = defaultdict(set)
+    spots: dict[int, dict[int, bool]] = defaultdict(dict)
     for p, s in zip(at.tolist(), seed.tolist()):
         for i, inside in block.places[s]:
-            spots[i].add(p - inside)
+            spots[i][p - inside] = spots[i].get(p - inside, False) or bool(block.rare[s])
     found = []
     for i, starts in spots.items():
         item_id, item = block.items[i]
         pad = len(item) // 3 + 4
+        if not any(starts.values()) and most_shared(item, ids) / len(item) < least:
+            continue
         windows: list[list[int]] = []
         for s in sorted(starts):
             a, b = max(0, s - pad), min(len(ids), s + len(item) + pad)
+            if not starts[s] and most_shared(item, ids[a:b]) / len(item) < least:
+                continue
             if windows and a <= windows[-1][1]:
                 windows[-1][1] = max(b, windows[-1][1])
             else:
@@ -194,8 +197,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, bl
     """(doc_id, item_id, score, first_word, last_word): documents that hold a copy of a test item.
 
     Score is the alignment's share of what an unchanged copy would have; at least ``least``. Copies
-    whose words were changed, left out or added are found as long as one seed, three words that are
-    rare, is whole. NULL or empty texts and NULL or very short items match nothing.
+    whose words were changed, left out or added are found as long as one seed, three neighbouring
+    words, is whole, however many documents have it. NULL or empty texts and NULL or very short items match nothing.
     """
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id bigint, item_id {item_type}, score double, first_word bigint, last_word bigint"

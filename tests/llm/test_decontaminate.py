@@ -102,3 +102,24 @@ def test_empty_tables(spark):
     none = benchmark(spark).limit(0)
     assert dc.contaminated(docs, none).collect() == [] and dc.without_leaks(docs, none).count() == 3
     assert dc.contaminated(docs.limit(0), benchmark(spark)).collect() == [] and dc.without_leaks(docs.limit(0), benchmark(spark)).count() == 0
+
+
+def test_partial_copies_in_a_group_beside_a_full_copy(spark):
+    """All n-grams of the half copies are frequent; those of the rest of the item are in one document."""
+    prepare(spark)
+    item = words(38, 5000)
+    group = [(i, " ".join([*words(60, 6000 + i), *item[8:30], *words(40, 7000 + i)]), None, None) for i in range(100)]
+    found = [*group, (900, " ".join(item), None, None), (901, " ".join(item[8:20]), None, None), (902, " ".join(item[9:12] * 30), None, None)]
+    assert len(group) > dc.RARE_DOCS
+    docs = spark.createDataFrame(found, SCHEMA)
+    items = [(1, " ".join(item))]
+    got = dc.contaminated(docs, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r.doc_id, r.item_id, round(r.score, 9)) for r in got} == brute(found, items, dc.LEAST)
+    assert {r.doc_id for r in got} == {*range(100), 900}
+
+
+def test_no_alignment_matches_more_than_the_bound():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a, b = rng.integers(1, 9, rng.integers(1, 20)), rng.integers(0, 9, rng.integers(1, 40))
+        assert dc.best_cell(a, b)[0] <= dc.MATCH * dc.most_shared(a, b)
