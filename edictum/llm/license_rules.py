@@ -74,7 +74,7 @@ eupl | 1 | european union public | european union public licen[sc]e
 artistic-2.0 | 2 | artistic | artistic license (?:version |v ?)?2(?: 0)?
 artistic-1.0 | 2 | artistic | artistic license (?:version |v ?)?1(?: 0)?
 artistic | 1 | artistic | artistic licen[sc]e
-perl | 2 | perl itself | (?:under )?the same terms as perl(?: 5)? itself
+perl | 2 | the same terms as perl | (?:under )?the same terms as perl(?: 5)? itself
 zlib | 3 | express or implied warranty | this software is provided as is without any express or implied warranty in no event will the authors be held liable
 zlib | 2 | zlib | (?:the )?zlib(?: libpng)? licen[sc]e
 zlib | 2 | zlib | spdx license identifier zlib
@@ -124,7 +124,7 @@ cecill-2.1 | 2 | cecill | cecill(?: free software license agreement)?(?: version
 bsl-ijg | 2 | independent jpeg group | (?:based in part on )?the work of the independent jpeg group
 unicode | 2 | unicode | unicode (?:inc )?license agreement
 vim | 2 | vim license | (?:the )?vim license
-beerware | 3 | beer ware | the beer ?ware license
+beerware | 3 | beer | the beer ?ware license
 json | 3 | good not evil | the software shall be used for good not evil
 proprietary | 2 | all rights reserved | all rights reserved
 proprietary | 2 | proprietary | proprietary and confidential

@@ -79,3 +79,29 @@ def test_base_against_brute_force(spark):
         assert set(filter(None, row.base_labels.split(","))) <= set(row.labels.split(","))
         assert 0 <= row.score <= 1 and (row.score > 0) == bool(row.labels)
     assert scan_licenses(df.limit(0)).collect() == []
+
+
+def spelled(parsed):
+    """Texts of a pattern: every branch, every optional part left out and put in."""
+    out = [""]
+    for op, value in parsed:
+        if op is re._constants.LITERAL:
+            more = [chr(value)]
+        elif op is re._constants.IN:
+            more = [chr(c if kind is re._constants.LITERAL else c[0]) for kind, c in value if kind in (re._constants.LITERAL, re._constants.RANGE)] or ["x"]
+        elif op is re._constants.BRANCH:
+            more = [t for branch in value[1] for t in spelled(branch)]
+        elif op is re._constants.SUBPATTERN:
+            more = spelled(value[-1])
+        elif op in (re._constants.MAX_REPEAT, re._constants.MIN_REPEAT):
+            more = [t * n for n in {value[0], value[0] + 1} for t in spelled(value[2])]
+        else:
+            raise AssertionError(op)
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_every_spelling_of_a_pattern_has_its_keyword():
+    lost = [(key, text) for _, _, key, pattern in license_rules.rules() for text in spelled(re._parser.parse(pattern)) if key not in text]
+    assert lost == []
+    assert labels("Under the Beerware License.") == ["beerware"] and labels("the same terms as Perl 5 itself") == ["perl"]
