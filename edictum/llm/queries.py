@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edictum.llm import chunks, decontaminate, language, licenses, lm, mixing, simhash, tokens, topk, toxicity
+from edictum.llm import chunks, decontaminate, divergence, language, licenses, lm, mixing, simhash, tokens, topk, toxicity
 from edictum.llm.common import held, prepare, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,29 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability of all documents under a model of six sevenths of them."""
     docs = read(spark, sf_dir, "documents").withColumn("held_out", held("doc_id", 7, 2))
     return lm.score_documents(docs)
+
+
+AUDIT_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+ translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+v AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM v GROUP BY lang),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN v ON w.lang = v.lang AND w.term = v.term GROUP BY w.lang, w.source, w.term),
+g AS (SELECT x.lang, x.source, coalesce(sum(c.n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN c ON x.lang = c.lang AND x.source = c.source GROUP BY x.lang, x.source),
+p AS (SELECT g.lang, g.source, v.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + l.v)::HUGEINT AS p,
+ 1 + (1000000000::HUGEINT * (v.n + 1)) // (l.total + l.v)::HUGEINT AS q
+ FROM g JOIN v ON g.lang = v.lang JOIN l ON l.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s.value, 0) AS BIGINT) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+ LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query("op13_source_divergence", AUDIT_SQL)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ, over all documents."""
+    return divergence.audit_sources(read(spark, sf_dir, "documents"))
