@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edictum.llm import chunks, decontaminate, divergence, language, licenses, lm, mixing, simhash, tokens, topk, toxicity
+from edictum.llm import alignment, chunks, decontaminate, divergence, language, licenses, lm, mixing, simhash, tokens, topk, toxicity
 from edictum.llm.common import held, prepare, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,9 @@ SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the sources of each language differ, over all documents."""
     return divergence.audit_sources(read(spark, sf_dir, "documents"))
+
+
+@query("op11_token_alignment")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in all documents, and how their ids go together."""
+    return alignment.alignment_report(read(spark, sf_dir, "documents"))
