@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edictum.llm import alignment, chunks, decontaminate, divergence, language, licenses, lm, mixing, simhash, tokens, topk, toxicity
+from edictum.llm import alignment, chunks, decontaminate, divergence, language, licenses, lm, mixing, secrets, simhash, tokens, topk, toxicity
 from edictum.llm.common import held, prepare, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,9 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers aligned in all documents, and how their ids go together."""
     return alignment.alignment_report(read(spark, sf_dir, "documents"))
+
+
+@query("op12_secrets")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents: assignments, known shapes and random strings."""
+    return secrets.secret_report(read(spark, sf_dir, "documents"))
