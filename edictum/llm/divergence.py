@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edictum.llm.common import stage
+from edictum.llm.common import stage, unstage
 
 #: Letters of ASCII and all characters beyond it.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+LOWER_TERM = r"^[^\x00-\x60\x7B-\x7F]+$"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 LEAST_DOCS = 3
 SCALE = 1_000_000_000
 TOP = 200
+HELD = 500_000  # chunks a task counts before it passes them on
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -21,45 +29,88 @@ def _named(docs: DataFrame) -> DataFrame:
     return docs.select(blank("lang"), blank("source"), blank("text"))
 
 
-def chunk_counts(docs: DataFrame) -> DataFrame:
+CHUNKS = "lang string, source string, chunk binary, n bigint, docs bigint, first bigint, last bigint"
+_CHUNKS = pa.schema([("lang", pa.string()), ("source", pa.string()), ("chunk", pa.binary()), *[(c, pa.int64()) for c in ("n", "docs", "first", "last")]])
+
+
+def chunk_counts(docs: DataFrame, held: int = HELD) -> DataFrame:
     """(lang, source, chunk, n, docs, first, last): places and documents of each chunk between white space.
 
-    ``first`` and ``last`` are the smallest and largest of those documents, so they are all of them where
-    ``docs`` is one or two. Documents are rows: each gets a number of its own. A document sends its
-    chunks twice, once all and once the different ones, and both are added up before the shuffle.
+    ``first`` and ``last`` are two of those documents, so they are all of them where ``docs`` is one or
+    two. Documents are rows, numbered by partition and place, so a task that runs again has to see its
+    rows in the same order, as from a table. Chunks are counted per document; a task adds up to ``held``
+    of them before they are shuffled.
     """
-    rows = _named(docs).withColumn("row", F.monotonically_increasing_id())
-    chunks = rows.select("lang", "source", "row", F.split("text", r"\s+").alias("chunks"))
-    both = F.array(
-        F.struct(F.col("chunks").alias("c"), F.lit(0).alias("one")),
-        F.struct(F.array_distinct("chunks").alias("c"), F.lit(1).alias("one")),
-    )
-    each = chunks.select("lang", "source", "row", F.inline(both)).select("lang", "source", "row", "one", F.explode("c").alias("chunk"))
-    return each.where("chunk <> ''").groupBy("lang", "source", "chunk").agg(
-        F.sum(1 - F.col("one")).alias("n"), F.sum("one").alias("docs"), F.min("row").alias("first"), F.max("row").alias("last")
-    )
-
 
-def chunk_terms(counts: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        tables: dict[tuple[str, str], dict[bytes, list[int]]] = defaultdict(dict)
+        entries = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for (lang, source), table in tables.items():
+                n = len(table)
+                numbers = np.array(list(table.values()), np.int64).reshape(n, 4)
+                same = lambda value: pa.array([value]).take(pa.array(np.zeros(n, np.int32)))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([same(lang), same(source), pa.array(list(table), pa.binary()), *[pa.array(c) for c in numbers.T]], schema=_CHUNKS)
+
+        for batch in batches:
+            for lang, source, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                table = tables[lang, source]
+                before = len(table)
+                for chunk, n in Counter(text.split()).items():
+                    entry = table.get(chunk)
+                    if entry is None:
+                        table[chunk] = [n, 1, row, row]
+                    else:
+                        entry[0] += n
+                        entry[1] += 1
+                        entry[3] = row
+                entries += len(table) - before
+                row += 1
+                if entries >= held:
+                    yield from counted()
+                    tables.clear()
+                    entries = 0
+        yield from counted()
+
+    rows = _named(docs).withColumn("text", F.col("text").cast("binary"))
+    key = ["lang", "source", "chunk"]
+    sums = rows.mapInArrow(run, CHUNKS).repartition(*key).groupBy(*key)
+    sums = sums.agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("first").alias("first"), F.max("last").alias("last"))
+    return sums.withColumn("chunk", F.col("chunk").cast("string"))
+
+
+def chunk_terms(chunks: DataFrame) -> DataFrame:
     """(t_chunk, term): the terms of each different chunk, A-Z in lower case, as often as they stand in it."""
-    chunks = counts.select(F.col("chunk").alias("t_chunk")).distinct()
-    terms = F.regexp_extract_all(F.translate("t_chunk", _UPPER, _LOWER), F.lit(TERM), F.lit(0))
-    return chunks.select("t_chunk", F.explode(terms).alias("term"))
+    terms = F.regexp_extract_all(F.translate("chunk", _UPPER, _LOWER), F.lit(TERM), F.lit(0))
+    return chunks.select("chunk").distinct().select(F.col("chunk").alias("t_chunk"), F.explode(terms).alias("term"))
 
 
 def term_counts(counts: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs) from chunk counts.
+    """(lang, source, term, n, docs) from chunk counts; ``docs`` is 1, 2, or more for more than two.
 
-    ``n`` is exact. ``docs`` is exact up to two documents a chunk, where the chunks of a term name their
-    documents and those are counted once; beyond, it is the most documents any chunk has, a lower bound.
+    A chunk that is a term already stands for itself; the others are tokenized once each and meet their
+    terms by a join. A term is in more than two documents if one of its chunks is, or if more than two are
+    named as ``first`` or ``last``. The latter shows without keeping them: of two documents, the common
+    bits of any number of their 128-bit digests are those of the smallest and the largest one.
     """
-    found = counts.join(chunk_terms(counts), F.col("chunk") == F.col("t_chunk"))
-    named = F.when(F.col("docs") > 2, F.array(F.lit(None).cast("bigint"))).otherwise(F.array_distinct(F.array("first", "last")))
-    each = found.select("lang", "source", "term", "n", "docs", F.posexplode(named).alias("at", "row"))
-    places = F.sum(F.when(F.col("at") == 0, F.col("n")).otherwise(F.lit(0)))
-    return each.groupBy("lang", "source", "term").agg(
-        places.alias("n"), F.greatest(F.max("docs"), F.count_distinct("row")).alias("docs")
+    known = F.regexp_like("chunk", F.lit(LOWER_TERM))
+    rest = counts.where(~known).repartition("chunk")
+    found = rest.join(chunk_terms(rest).hint("shuffle_hash"), F.col("chunk") == F.col("t_chunk"))
+    thin = ["lang", "source", "term", "n", "docs", "first", "last"]
+    each = counts.where(known).withColumn("term", F.col("chunk")).select(*thin).unionByName(found.select(*thin))
+    digests = {k: lambda c, k=k: F.xxhash64(F.lit(k), F.col(c)) for k in (1, 2)}
+    masks = [f(d("first").bitwiseOR(d("last")) if name == "any" else d("first").bitwiseAND(d("last"))).alias(f"{name}{k}")
+             for k, d in digests.items() for name, f in (("any", F.bit_or), ("all", F.bit_and))]
+    sums = each.groupBy("lang", "source", "term").agg(
+        F.sum("n").alias("n"), F.max("docs").alias("most"), F.min("first").alias("first"), F.max("last").alias("last"), *masks
     )
+    two = F.lit(True)
+    for k, d in digests.items():
+        two &= (F.col(f"any{k}") == d("first").bitwiseOR(d("last"))) & (F.col(f"all{k}") == d("first").bitwiseAND(d("last")))
+    docs = F.when(F.col("most") > 2, F.col("most")).when(F.col("first") == F.col("last"), F.lit(1)).when(two, F.lit(2)).otherwise(F.lit(3))
+    return sums.select("lang", "source", "term", "n", docs.cast("bigint").alias("docs"))
 
 
 def _share(n: Column, total: Column, terms: Column) -> Column:
@@ -84,11 +135,14 @@ class Audit:
     def __init__(self, docs: DataFrame, least_docs: int = LEAST_DOCS):
         counts = stage(chunk_counts(docs), "chunks")
         terms = stage(term_counts(counts), "terms")
-        vocabulary = terms.groupBy("lang", "term").agg(F.sum("n").alias("all"), F.sum("docs").alias("docs"))
-        vocabulary = stage(vocabulary.where(F.col("docs") >= least_docs).select(F.col("lang").alias("v_lang"), F.col("term").alias("v_term"), "all"), "vocabulary")
-        same = (F.col("lang") == F.col("v_lang")) & (F.col("term") == F.col("v_term"))
-        kept = stage(terms.join(vocabulary, same).select("lang", "source", "term", "n", "all"), "kept")
-        langs = vocabulary.groupBy(F.col("v_lang").alias("l_lang")).agg(F.count(F.lit(1)).alias("terms"), F.sum("all").alias("lang_total"))
+        unstage(counts)
+        one = Window.partitionBy("lang", "term")
+        first = F.row_number().over(one.orderBy("source")) == 1
+        marked = terms.select("lang", "source", "term", "n", F.sum("n").over(one).alias("all"), F.sum("docs").over(one).alias("docs"), first.alias("one"))
+        kept = stage(marked.where(F.col("docs") >= least_docs).drop("docs"), "kept")
+        unstage(terms)
+        once = F.when(F.col("one"), F.col("all")).otherwise(F.lit(0))
+        langs = kept.groupBy(F.col("lang").alias("l_lang")).agg(F.count_if("one").alias("terms"), F.sum(once).alias("lang_total"))
         own = kept.groupBy(F.col("lang").alias("o_lang"), F.col("source").alias("o_source")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("own"))
         groups = _named(docs).select("lang", "source").distinct()
         groups = groups.join(langs, F.col("lang") == F.col("l_lang"), "left")
