@@ -15,7 +15,7 @@ from edictum.operators import feed
 from edictum.operators.registry import source_table, with_profile
 from edictum.plans import ingest as crawl
 from edictum.plans import offline_build
-from edictum.schemas import FEED
+from edictum.schemas import FEED, FEED_COLUMNS
 from edictum.sources.tables import empty
 
 SCRUBBED = """regexp_replace(regexp_replace(r.content, '(^|[^0-9])[0-9]{17}[0-9Xx]($|[^0-9])', '\\1[身份证号已脱敏]\\2', 'g'),
@@ -158,12 +158,17 @@ def _(t: Tables):
 KIND = "CASE page_id % 3 WHEN 0 THEN 'nmpa' WHEN 1 THEN 'nhsa' ELSE 'nhc' END"
 OFFLINE_DOCS = "SELECT page_id, source, url, replace(html, '标题 ', '文件 ') AS html FROM v_document_pages"
 OFFLINE = f"""WITH {ITEMS}, {FIELDS}, listed AS (SELECT page_id, pos, {KIND} AS source, url, title, date FROM items),
-docs AS (SELECT page_id, source, url, replace(title, '标题 ', '文件 ') AS title, doc_number, content, issuing_authority, attachments FROM records),
+docs AS (SELECT page_id, source, url, replace(title, '标题 ', '文件 ') AS title, doc_number, replace(content, '标题 ', '文件 ') AS content, issuing_authority, attachments FROM records),
 pairs AS (SELECT d.page_id AS d_id, d.source, i.url AS item_url, row_number() OVER (PARTITION BY d.page_id ORDER BY i.page_id, i.pos) AS n
  FROM docs d JOIN listed i ON d.source = i.source AND (contains({strip('i.title')}, d.title) OR contains(d.title, {strip('i.title')}))),
 chosen AS (SELECT source, item_url, min(d_id) AS d_id FROM pairs WHERE n = 1 GROUP BY 1, 2),
 lead AS (SELECT source, min(page_id) AS page_id FROM docs GROUP BY source)"""
 
+BUILT = """built AS (SELECT i.page_id, i.pos, i.url, i.title, i.date, coalesce(d.doc_number, '') AS doc_number, coalesce(d.content, '') AS content,
+     CASE WHEN a.issuing_authority <> '' THEN a.issuing_authority ELSE '国家药品监督管理局' END AS issuing_authority
+     FROM listed i LEFT JOIN chosen c ON c.source = i.source AND c.item_url = i.url LEFT JOIN docs d ON d.page_id = c.d_id
+     JOIN lead l ON l.source = i.source JOIN docs a ON a.page_id = l.page_id)"""
+
 
 def offline(t: Tables):
     pages = t.view("v_list_pages").withColumn("source", F.expr(KIND))
@@ -178,7 +183,7 @@ def offline(t: Tables):
     "offline_build",
     f"""{OFFLINE} SELECT i.page_id, i.pos, i.url AS source_url, i.title, i.date AS publish_date, coalesce(d.doc_number, '') AS doc_number,
      CASE WHEN a.issuing_authority <> '' THEN a.issuing_authority ELSE '国家药品监督管理局' END AS issuing_authority,
-     coalesce(length(d.content), 0) AS n, coalesce(d.attachments, '') AS attachments
+     md5(coalesce(d.content, '')) AS content, coalesce(d.attachments, '') AS attachments
     FROM listed i LEFT JOIN chosen c ON c.source = i.source AND c.item_url = i.url LEFT JOIN docs d ON d.page_id = c.d_id
     JOIN lead l ON l.source = i.source JOIN docs a ON a.page_id = l.page_id""",
 )
@@ -187,7 +192,7 @@ def _(t: Tables):
     links = F.array_join(F.transform("attachments", lambda a: a["url"]), " ")
     return offline(t).select(
         "page_id", "pos", "source_url", "title", "publish_date", "doc_number", "issuing_authority",
-        F.length("content").alias("n"), links.alias("attachments"),
+        F.md5("content").alias("content"), links.alias("attachments"),
     )
 
 
@@ -198,10 +203,7 @@ def stored_listings(t: Tables) -> DataFrame:
 
 @query(
     "offline_upsert",
-    f"""{OFFLINE}, built AS (SELECT i.page_id, i.pos, i.url, i.title, i.date, coalesce(d.doc_number, '') AS doc_number, coalesce(d.content, '') AS content,
-     CASE WHEN a.issuing_authority <> '' THEN a.issuing_authority ELSE '国家药品监督管理局' END AS issuing_authority
-     FROM listed i LEFT JOIN chosen c ON c.source = i.source AND c.item_url = i.url LEFT JOIN docs d ON d.page_id = c.d_id
-     JOIN lead l ON l.source = i.source JOIN docs a ON a.page_id = l.page_id),
+    f"""{OFFLINE}, {BUILT},
     kept AS (SELECT *, concat('https://www.example.org/art/', CAST(id AS STRING), '.html') AS k_url FROM v_policies WHERE id % 4 <> 0)
     SELECT coalesce(k.id, (SELECT max(id) FROM kept) + row_number() OVER (PARTITION BY k.id IS NULL ORDER BY b.page_id, b.pos)) AS id, coalesce(b.url, k.k_url) AS source_url,
      coalesce(b.title, k.title) AS title, coalesce(b.doc_number, k.doc_number) AS doc_number, coalesce(b.issuing_authority, k.issuing_authority) AS issuing_authority,
@@ -217,8 +219,12 @@ def _(t: Tables):
     )
 
 
-@query("offline_feed", f"{OFFLINE} SELECT url, count(*) AS entries, max(date) AS publish_date FROM listed GROUP BY url")
+@query(
+    "offline_feed",
+    f"""{OFFLINE}, {BUILT}, last AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY page_id DESC, pos DESC) AS n FROM built)
+    SELECT concat('p_', substr(sha256(url), 1, 12)) AS id, {strip("title")} AS title, url, date AS publish_date, substr(content, 1, 200) AS content_preview,
+     {strip("issuing_authority")} AS source_site, '2025-01-01 00:00:00' AS created_at FROM last WHERE n = 1""",
+)
 def _(t: Tables):
-    """The feed of an offline build holds every listed URL once."""
-    merged = feed.merge_feed(empty(t.spark, FEED + ", pos bigint"), offline(t), now())
-    return merged.groupBy("url").agg(F.count(F.lit(1)).alias("entries"), F.max("publish_date").alias("publish_date"))
+    """The feed of an offline build: every listed URL once, with its document."""
+    return feed.merge_feed(empty(t.spark, FEED + ", pos bigint"), offline(t), now()).select(*FEED_COLUMNS)

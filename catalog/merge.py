@@ -166,7 +166,7 @@ def _(t: Tables):
 
 @query("feed_positions", f"WITH {FEED} SELECT url, publish_date, pos FROM merged_feed")
 def _(t: Tables):
-    return feed.positioned_feed(merged_feed(t), chunk=64).select("url", "publish_date", "pos")
+    return feed.positioned_feed(merged_feed(t), parts=8).select("url", "publish_date", "pos")
 
 
 @query("feed_ids", f"WITH {FEED} SELECT url, id FROM merged_feed")

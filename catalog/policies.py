@@ -10,6 +10,7 @@ from edictum.functions.text import json_list, preview, scrub_pii
 from edictum.functions.urls import attachment_name
 from edictum.operators import enrichment, scenarios, search, stats
 from edictum.operators.numbering import number_rows
+from edictum.session import stage
 from edictum.operators.registry import source_table
 
 DAY = "CAST(publish_date AS STRING) AS publish_date"
@@ -126,8 +127,10 @@ def _(t: Tables):
 
 @query("search_page_deep", f"SELECT * FROM ({PAGE}) p ORDER BY publish_date DESC, id DESC LIMIT 40 OFFSET 80")
 def _(t: Tables):
-    """The numbered path of deep pages, on a page that exists at every scale."""
-    return _page(t, page=3, size=40, top_rows=0, chunk=4096)
+    """A page from a directory kept with the table, in blocks of few ids."""
+    found = search.search(t.view("v_policies"), keyword="the")
+    directory = stage(search.rank_directory(found, 64))
+    return _page(t, page=3, size=40, directory=directory, block=64)
 
 
 @query(
@@ -140,6 +143,16 @@ def _(t: Tables):
     return found.select("id", F.col("publish_date").cast("string").alias("publish_date"))
 
 
+@query(
+    "search_page_after_impossible_day",
+    f"""SELECT id, {DAY} FROM v_policies WHERE CAST(v_policies.publish_date AS STRING) < '2025-02-30' OR (CAST(v_policies.publish_date AS STRING) = '2025-02-30' AND id < 3)
+    ORDER BY v_policies.publish_date DESC, id DESC LIMIT 20""",
+)
+def _(t: Tables):
+    found = search.page_after(t.view("v_policies"), "2025-02-30", 3)
+    return found.select("id", F.col("publish_date").cast("string").alias("publish_date"))
+
+
 @query("search_total", "SELECT count(*) AS total FROM v_policies WHERE content ILIKE '%the%' OR title ILIKE '%the%'")
 def _(t: Tables):
     return search.total(search.search(t.view("v_policies"), keyword="the"))
@@ -154,7 +167,7 @@ def _(t: Tables):
 def _(t: Tables):
     """Order of the whole table, shown as row numbers."""
     rows = t.view("v_policies").select("id", "publish_date", (-F.col("id")).alias("back"))
-    places = number_rows(rows, "back", out="place", descending=["publish_date"], chunk=128)
+    places = number_rows(rows, "back", out="place", descending=["publish_date"], parts=8)
     return places.select("id", F.col("publish_date").cast("string").alias("publish_date"), "place")
 
 

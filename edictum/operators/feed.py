@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edictum.functions.text import preview, trim_u
-from edictum.operators.numbering import CHUNK, number_rows
+from edictum.operators.numbering import number_rows
 from edictum.schemas import FEED_COLUMNS
 
+# Positions compared in one task by the order audit.
+CHUNK = 1 << 20
 # New records come after all stored ones when dates tie.
 _NEW = 1 << 50
 
@@ -73,10 +75,10 @@ def feed_order(feed: DataFrame) -> list[Column]:
     return [F.desc(F.coalesce("publish_date", F.lit(""))), F.asc("ord")]
 
 
-def positioned_feed(feed: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Feed columns and ``pos``, counting from 0 in published order. Stage ``feed`` first."""
+def positioned_feed(feed: DataFrame, parts: int | None = None) -> DataFrame:
+    """Feed columns and ``pos``, counting from 0 in published order."""
     dated = feed.withColumn("_date", F.coalesce("publish_date", F.lit("")))
-    numbered = number_rows(dated, "ord", out="pos", start=0, descending=["_date"], chunk=chunk)
+    numbered = number_rows(dated, "ord", out="pos", start=0, descending=["_date"], parts=parts)
     return numbered.select(*FEED_COLUMNS, "pos")
 
 

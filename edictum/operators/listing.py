@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from edictum.functions.dates import first_valid_date, is_recent
+from edictum.functions.names import fresh
 from edictum.functions.text import clean_html_text, first_nonblank, trim_u
 from edictum.functions.urls import resolve_url, url_path
-from edictum.operators.numbering import number_rows
 from edictum.operators.registry import ANCHOR, LI, NOISE_TITLES, PAGE_HREF, with_keep_paths
-from edictum.session import stage
+
+SALTS = 64
 
 
 def pages_with_source(pages: DataFrame, sources: DataFrame) -> DataFrame:
@@ -114,15 +115,18 @@ def recent_items(items: DataFrame, days: int, as_of) -> DataFrame:
     return items.where(is_recent(F.col("date"), days, as_of))
 
 
-def first_items(items: DataFrame, n: int = 50, groups: tuple[str, ...] = ("source",)) -> DataFrame:
+def first_items(items: DataFrame, n: int = 50, groups: tuple[str, ...] = ("source",), salts: int = SALTS) -> DataFrame:
     """First ``n`` items of each source, or of each of ``groups``, in page order.
 
-    Goes by row numbers, so a group with most of the items is never sorted in one task. The items
-    are staged, as numbering reads them twice and pages should be parsed once.
+    Each group is cut to ``n`` in every task that reads items, again in each of ``salts`` shares of its
+    pages, and then once more: a group with most of the items brings ``salts * n`` rows together.
     """
-    placed = stage(items).withColumn("_seq", item_order())
-    numbered = number_rows(placed, "_seq", groups=list(groups), out="_rank")
-    return numbered.where(F.col("_rank") <= n).select(*items.columns)
+    seq, salt, rank = fresh(items, "seq", "salt", "rank")
+    placed = items.withColumn(seq, item_order()).withColumn(salt, F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int"))
+    for share in ([*groups, salt], list(groups)):
+        first = F.row_number().over(Window.partitionBy(*share).orderBy(seq))
+        placed = placed.withColumn(rank, first).where(F.col(rank) <= n).drop(rank)
+    return placed.select(*items.columns)
 
 
 def item_order() -> Column:

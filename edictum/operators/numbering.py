@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK = 1 << 20
+from edictum.functions.names import fresh
+from edictum.session import stage
 
 
 def number_rows(
@@ -14,48 +15,33 @@ def number_rows(
     groups: list[str] | None = None,
     out: str = "n",
     start: int = 1,
-    chunk: int = CHUNK,
     descending: list[str] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
-    """Number rows ``start, start+1, ...`` by the integer column ``order``, unique within a group.
+    """Number rows ``start, start+1, ...`` by the column ``order``, unique within a group.
 
-    The order column is cut into chunks of fixed width, so no sort ever holds more than ``chunk``
-    rows however many share a group. Row counts are accumulated over chunks within a block of a
-    million chunks, and over the blocks; only the blocks of a group come together in one task.
-    The result depends on the values alone, so a retried task agrees.
+    Rows are dealt out by ranges of group and order, with bounds that Spark samples, and sorted within;
+    so a partition holds neighbours, and its size does not depend on how wide the values are or how many
+    rows a group has. The sorted rows are staged with their place in their partition. What is then added
+    up are counts per partition and group: one row per partition and one more per group, never rows.
 
     ``descending`` names columns that come before ``order`` in a single global numbering, largest
-    first and NULL last. ``df`` is read twice: stage it first if it is expensive.
+    first and NULL last. ``df`` is read once, if one leaves out that Spark samples it: pass thin rows.
+    ``parts`` fixes the number of ranges. The result is staged, so equal rows keep the number they got.
     """
     groups = groups or []
-    major = descending or []
-    chunk_id = F.floor(F.col(order) / F.lit(chunk))
-    rows = df.withColumn("_chunk", chunk_id).withColumn("_block", F.floor(F.col("_chunk") / F.lit(CHUNK)))
-    block = [*groups, *major, "_block"]
-    keys = [*block, "_chunk"]
-    earlier = (Window.unboundedPreceding, -1)
-
-    in_block = Window.partitionBy(*block).orderBy("_chunk").rowsBetween(*earlier)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    chunks = counts.withColumn("_before_chunk", F.coalesce(F.sum("_rows").over(in_block), F.lit(0)))
-
-    newest = [F.desc_nulls_last(m) for m in major]
-    in_group = Window.partitionBy(*groups).orderBy(*newest, "_block").rowsBetween(*earlier)
-    totals = counts.groupBy(*block).agg(F.sum("_rows").alias("_rows"))
-    blocks = totals.withColumn("_before_block", F.coalesce(F.sum("_rows").over(in_group), F.lit(0)))
-
-    def join(left: DataFrame, right: DataFrame, on: list[str], value: str) -> DataFrame:
-        right = right.select(*[F.col(k).alias(f"{value}_{k}") for k in on], value)
-        same = [
-            F.col(k).eqNullSafe(F.col(f"{value}_{k}")) if k in major else F.col(k) == F.col(f"{value}_{k}")
-            for k in on
-        ]
-        return left.join(right, same, "inner").drop(*[f"{value}_{k}" for k in on])
-
-    offsets = join(chunks.drop("_rows"), blocks, block, "_before_block").withColumn(
-        "_before", F.col("_before_block") + F.col("_before_chunk")
+    part, at, before, first = fresh(df, "part", "at", "before", "first")
+    keys = [*[F.col(g).asc_nulls_first() for g in groups], *[F.desc_nulls_last(d) for d in descending or []], F.col(order).asc()]
+    dealt = df.repartitionByRange(*([parts] if parts else []), *keys).sortWithinPartitions(*keys)
+    place = F.monotonically_increasing_id()
+    rows = stage(
+        dealt.select("*", F.shiftright(place, 33).cast("int").alias(part), place.bitwiseAND((1 << 33) - 1).alias(at))
     )
-    inside = Window.partitionBy(*keys).orderBy(order)
-    numbered = join(rows.withColumn("_inside", F.row_number().over(inside)), offsets, keys, "_before")
-    number = F.lit(start - 1) + F.col("_before") + F.col("_inside")
-    return numbered.select(*df.columns, number.cast("bigint").alias(out))
+    counts = rows.groupBy(part, *groups).agg(F.count(F.lit(1)).alias(before), F.min(at).alias(first))
+    earlier = Window.partitionBy(*groups).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
+    names = {g: n for g, n in zip([part, *groups], fresh([*rows.columns, before, first], *["of"] * (1 + len(groups))))}
+    counts = counts.select(*[F.col(g).alias(n) for g, n in names.items()], before, first)
+    same = [F.col(g).eqNullSafe(F.col(n)) for g, n in names.items()]
+    number = F.lit(start) + F.col(before) + F.col(at) - F.col(first)
+    return rows.join(counts, same).select(*df.columns, number.cast("bigint").alias(out))

@@ -6,19 +6,17 @@ import datetime as dt
 import re
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from edictum.functions.dates import VALID, clamp
 from edictum.functions.text import contains_ci, like_contains
-from edictum.operators.numbering import CHUNK, number_rows
-from edictum.session import stage
 
 BRIEF = ["id", "title", "doc_number", "issuing_authority", "publish_date", "validity_status", "source_url", "tags"]
 MAX_PAGE, MAX_SIZE, DEFAULT_SIZE = 1_000_000, 100, 20
-# Pages that end by here are cut from a top-k; deeper ones are read by row number.
-TOP_ROWS = 10_000
+# Ids of a block: what a page sorts at most of a day, for each block it reaches.
+BLOCK = 1 << 16
 
 
 def tags_text(policies: DataFrame) -> Column:
@@ -131,36 +129,59 @@ def total(found: DataFrame) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("total"))
 
 
+def rank_directory(found: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(publish_date, block, rows): how many rows each day and each range of ids holds.
+
+    Kept with a table, it answers at which place of the order a row stands without reading the table.
+    """
+    return found.groupBy("publish_date", F.floor(F.col("id") / F.lit(block)).alias("block")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def page(
     found: DataFrame,
     page: int | str = 1,
     size: int | str = DEFAULT_SIZE,
-    top_rows: int = TOP_ROWS,
-    chunk: int = CHUNK,
+    directory: DataFrame | None = None,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """One page of results, in order; empty past the end.
+    """One page of results, in order; empty past the end. Every depth goes the same way.
 
-    A shallow page is a top-k over (offset + size) rows. A deep one would make every task hold its
-    whole offset, so there the matches, without their content, are staged and numbered in bounded
-    chunks, and the page is a range of numbers.
+    The directory tells which days a page falls in, and which ranges of ids of those: no more than it
+    has rows, each of at most ``block`` rows, and only these are sorted. ``directory`` is that of
+    ``found`` where one is kept; else it is counted, from two thin columns next to those filtered by.
     """
     number = clamp(page, 1, 1, MAX_PAGE)
     rows = clamp(size, DEFAULT_SIZE, 1, MAX_SIZE)
     skip = (number - 1) * rows
-    if skip + rows <= top_rows:
-        return newest_first(brief(found)).offset(skip).limit(rows)
-    matches = stage(brief(found).withColumn("_back", -F.col("id")))
-    places = number_rows(matches, "_back", out="_n", descending=["publish_date"], chunk=chunk)
-    return newest_first(places.where(F.col("_n").between(skip + 1, skip + rows)).select(*BRIEF))
+    earlier = (Window.unboundedPreceding, -1)
+    in_page = (F.col("before") < skip + rows) & (F.col("before") + F.col("rows") > skip)
+
+    def reached(counts: DataFrame, order: Window, start: Column) -> DataFrame:
+        before = F.coalesce(F.sum("rows").over(order.rowsBetween(*earlier)), F.lit(0)) + start
+        return counts.withColumn("before", before).where(in_page)
+
+    counts = rank_directory(found, block) if directory is None else directory
+    days = counts.groupBy("publish_date").agg(F.sum("rows").alias("rows"))
+    days = reached(days, Window.orderBy(F.desc_nulls_last("publish_date")), F.lit(0))
+    days = days.select(F.col("publish_date").alias("day"), F.col("before").alias("day_before"))
+    blocks = counts.join(F.broadcast(days), F.col("publish_date").eqNullSafe(F.col("day")))
+    blocks = reached(blocks, Window.partitionBy("publish_date").orderBy(F.desc("block")), F.col("day_before"))
+    blocks = blocks.select(F.col("publish_date").alias("day"), F.col("block").alias("wanted"), "before")
+    thin = brief(found).withColumn("own", F.floor(F.col("id") / F.lit(block)))
+    near = thin.join(F.broadcast(blocks), F.col("publish_date").eqNullSafe(F.col("day")) & (F.col("own") == F.col("wanted")))
+    place = F.col("before") + F.row_number().over(Window.partitionBy("publish_date", "own").orderBy(F.desc("id")))
+    return newest_first(near.withColumn("place", place).where(F.col("place").between(skip + 1, skip + rows)).select(*BRIEF))
 
 
 def page_after(found: DataFrame, publish_date: str | None, last_id: int, size: int = DEFAULT_SIZE) -> DataFrame:
-    """The page that follows a given last row, dated or not; any depth costs the same."""
+    """The page that follows a given last row, dated or not; any depth costs the same.
+
+    A day that is not in the calendar is compared as text, as the date filters do.
+    """
     undated = F.col("publish_date").isNull()
     if publish_date:
-        day = F.lit(publish_date).cast("date")
-        same = (F.col("publish_date") == day) & (F.col("id") < last_id)
-        after = (F.col("publish_date") < day) | same | undated
+        day, bound = _sides(publish_date)
+        after = (day < bound) | ((day == bound) & (F.col("id") < last_id)) | undated
     else:
         after = undated & (F.col("id") < last_id)
     return newest_first(brief(found.where(after))).limit(clamp(size, DEFAULT_SIZE, 1, MAX_SIZE))

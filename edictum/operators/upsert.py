@@ -120,7 +120,7 @@ def upsert(
 def assign_ids(merged: DataFrame, stored: DataFrame, key: str = "source_url") -> DataFrame:
     """Give new rows the next ids, in the order they first appeared.
 
-    Only keys and positions are numbered; the ids then meet the new rows by key, content in place.
+    Only keys and positions are numbered; the ids then meet the new rows by key.
     """
     columns = stored.columns
     top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()

@@ -2,6 +2,7 @@
 
 import json
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,7 +99,7 @@ def test_numbering_with_one_big_group(spark):
     rows = [("hot" if i % 3 else f"g{i % 7}", i * rng.choice([1, 1, 50]) * 7919 % 100003) for i in range(1, 3000)]
     rows = list({(g, o): None for g, o in rows})
     df = spark.createDataFrame(rows, "g string, o bigint")
-    got = number_rows(df, "o", groups=["g"], chunk=128).collect()
+    got = number_rows(df, "o", groups=["g"], parts=7).collect()
     want = {}
     for g in {g for g, _ in rows}:
         for n, o in enumerate(sorted(o for gg, o in rows if gg == g), 1):
@@ -109,11 +110,21 @@ def test_numbering_with_one_big_group(spark):
 def test_numbering_newest_first_with_missing_dates(spark):
     rows = [(i, None if i % 5 == 0 else f"2024-01-0{1 + i % 3}") for i in range(300)]
     df = spark.createDataFrame(rows, "o bigint, d string")
-    got = {r.o: r.n for r in number_rows(df, "o", descending=["d"], start=0, chunk=32).collect()}
+    got = {r.o: r.n for r in number_rows(df, "o", descending=["d"], start=0, parts=7).collect()}
     want = sorted(rows, key=lambda r: (r[1] is None, tuple(-ord(c) for c in r[1] or ""), r[0]))
     assert got == {o: n for n, (o, _) in enumerate(want)}
 
 
+def test_numbering_keeps_columns_named_like_its_own_and_takes_wide_order(spark):
+    rows = [(Decimal(i * 10**20), "x" if i % 4 else None, i, -i, "b") for i in range(200)]
+    df = spark.createDataFrame(rows, "o decimal(30,0), g string, part bigint, at bigint, before string")
+    got = number_rows(df, "o", groups=["g"], out="first", parts=6).collect()
+    assert got[0].__fields__ == ["o", "g", "part", "at", "before", "first"]
+    want = {o: sum(1 for p, h, *_ in rows if h == g and p <= o) for o, g, *_ in rows}
+    assert {r.o: r.first for r in got} == want
+    assert number_rows(df.limit(0), "o").collect() == []
+
+
 # ---------------------------------------------------------------- feed
 
 INCOMING = "seq bigint, source_url string, title string, publish_date string, content string, issuing_authority string"
@@ -138,7 +149,7 @@ def test_feed_rounds_against_a_dictionary(spark):
             if url.strip():
                 truth[url.strip()] = (title.strip(), day, content[:200], site.strip(), now)
         truth = dict(sorted(truth.items(), key=lambda kv: kv[1][1], reverse=True))
-        after = feed.positioned_feed(merged(spark, existing, rows, now), chunk=8)
+        after = feed.positioned_feed(merged(spark, existing, rows, now), parts=5)
         got = after.orderBy("pos").collect()
         assert [r.pos for r in got] == list(range(len(truth)))
         assert [(r.url, (r.title, r.publish_date, r.content_preview, r.source_site, r.created_at)) for r in got] == list(truth.items())

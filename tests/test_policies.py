@@ -52,7 +52,7 @@ def test_pages(policies):
     assert ids(search.page(policies, "2", "2")) == [4, 5]
     assert ids(search.page(policies, 9, 2)) == []
     assert ids(search.page(policies, "abc", "999")) == [2, 1, 4, 5, 3]
-    assert ids(search.page(policies, 2, 2, top_rows=0)) == [4, 5]
+    assert ids(search.page(policies, 2, 2, block=1)) == [4, 5]
     assert search.page(policies).columns == search.BRIEF
     assert search.total(search.search(policies, authority="云州")).collect()[0].total == 4
 
@@ -68,14 +68,21 @@ def test_walk_from_page_to_page(policies):
     assert ids(search.page_after(policies, "", 5)) == [3]
 
 
-def test_deep_and_shallow_pages_agree(spark):
+def test_pages_at_every_depth(spark):
     rows = [(i, None if i % 11 == 0 else dt.date(2024, 1, 1 + i % 5)) for i in range(400)]
     df = spark.createDataFrame(rows, "id bigint, publish_date date")
     for c in search.BRIEF:
         if c not in df.columns:
             df = df.withColumn(c, F.lit(""))
-    for number in (1, 7, 40, 41):
-        assert ids(search.page(df, number, 10)) == ids(search.page(df, number, 10, top_rows=0, chunk=16))
+    order = [i for i, _ in sorted(rows, key=lambda r: (r[1] is None, -(r[1] or dt.date.min).toordinal(), -r[0]))]
+    kept = search.rank_directory(df, 16)
+    for number in (1, 7, 37, 40, 41):
+        want = order[10 * (number - 1) : 10 * number]
+        assert ids(search.page(df, number, 10)) == ids(search.page(df, number, 10, directory=kept, block=16)) == want
+
+
+def test_a_page_after_a_day_that_is_none(policies):
+    assert ids(search.page_after(policies, "2025-02-30", 9)) == [r.id for r in search.newest_first(policies).collect() if r.publish_date is None or str(r.publish_date) < "2025-02-30"]
 
 
 def test_lookups(policies):
