@@ -18,21 +18,22 @@ QUERIES = 8_192  # queries looked up in one pass
 FOCUS = 2  # coordinates a bucket is pruned by
 STEEP = 0.4  # from this cosine on coordinates prune better than lengths
 
-PACKED = "dim int, longest double, n int, ids binary, lengths binary, data binary"
-_PACKED = pa.schema([("dim", pa.int32()), ("longest", pa.float64()), ("n", pa.int32()), ("ids", pa.binary()), ("lengths", pa.binary()), ("data", pa.binary())])
+PACKED = "dim int, longest double, n int, ids binary, rows binary, lengths binary, data binary"
+_PACKED = pa.schema([("dim", pa.int32()), ("longest", pa.float64()), ("n", pa.int32()), *[(c, pa.binary()) for c in ("ids", "rows", "lengths", "data")]])
 
 
-def scaled(vectors: DataFrame, column: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, v array of integers, length) of the vectors that take part.
+def scaled(vectors: DataFrame, column: str = "embedding", scale: int = SCALE, is_query: Column | None = None) -> DataFrame:
+    """(vec_id, v array of integers, asks, row, length) of the vectors that take part.
 
     Vectors that are NULL, without an id, empty, or hold a NULL or non-finite component take none.
-    Components are taken as doubles; scores must fit 64 bits.
+    Components are taken as doubles. ``row`` tells rows apart, as long as the result is staged.
     """
+    asks = F.lit(False) if is_query is None else F.coalesce(is_query, F.lit(False))
     x = F.col(column).cast("array<double>")
     bad = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))))
     rows = vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & (F.size(x) > 0) & ~F.coalesce(bad, F.lit(True)))
     v = F.transform(x, lambda c: F.floor(c * F.lit(float(scale))))
-    rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v"))
+    rows = rows.select(F.col("vec_id").cast("bigint").alias("vec_id"), v.alias("v"), asks.alias("asks"), F.monotonically_increasing_id().alias("row"))
     square = F.aggregate("v", F.lit(0.0), lambda s, c: s + c.cast("double") * c.cast("double"))
     return rows.withColumn("length", F.sqrt(square))
 
@@ -45,6 +46,7 @@ def buckets(rows: DataFrame, size: int = BUCKET) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int] = []
+        own: list[int] = []
         lengths: list[float] = []
         data: list[bytes] = []
         dim = -1
@@ -52,29 +54,31 @@ def buckets(rows: DataFrame, size: int = BUCKET) -> DataFrame:
         def close() -> pa.RecordBatch:
             return table(
                 {"dim": [dim], "longest": [lengths[0]], "n": [len(ids)], "ids": [np.array(ids, "<i8").tobytes()],
-                 "lengths": [np.array(lengths, "<f8").tobytes()], "data": [b"".join(data)]}, _PACKED,
+                 "rows": [np.array(own, "<i8").tobytes()], "lengths": [np.array(lengths, "<f8").tobytes()], "data": [b"".join(data)]}, _PACKED,
             )
 
         for batch in batches:
-            for vec_id, v, length in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+            for vec_id, v, row, length in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 values = v.values.to_numpy(zero_copy_only=False)
                 if ids and (len(values) != dim or len(ids) >= size or length < SPREAD * lengths[0]):
                     yield close()
-                    ids, lengths, data = [], [], []
+                    ids, own, lengths, data = [], [], [], []
                 dim = len(values)
                 ids.append(vec_id)
+                own.append(row)
                 lengths.append(length)
                 data.append(values.astype("<i8").tobytes())
         if ids:
             yield close()
 
-    order = [F.size("v"), F.col("length").desc(), F.col("vec_id")]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(pack, PACKED)
+    order = [F.size("v"), F.col("length").desc(), F.col("vec_id"), F.col("row")]
+    return rows.select("vec_id", "v", "row", "length").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(pack, PACKED)
 
 
 class Bucket:
     def __init__(self, row: dict):
         self.ids = np.frombuffer(row["ids"], "<i8")
+        self.rows = np.frombuffer(row["rows"], "<i8")
         self.lengths = np.frombuffer(row["lengths"], "<f8")
         self.data = np.frombuffer(row["data"], "<i8").reshape(row["n"], row["dim"])
         self.exact = self.data.astype(np.float64)
@@ -83,19 +87,19 @@ class Bucket:
 
 
 class Search:
-    """Top ``k`` of a block of queries over buckets that come one after the other."""
+    """Top ``k`` of a block of queries, by their rows, over buckets that come one after the other."""
 
-    def __init__(self, ids: np.ndarray, data: np.ndarray, k: int, floor: np.ndarray | None = None):
-        self.ids, self.data, self.k = ids, data, k
+    def __init__(self, own: np.ndarray, data: np.ndarray, k: int, floor: np.ndarray | None = None):
+        self.own, self.data, self.k = own, data, k
         self.exact = data.astype(np.float64)
         self.lengths = np.sqrt((self.exact**2).sum(axis=1))
         # What a candidate must reach; the k-th best score so far, or a bound known beforehand.
-        self.floor = np.full(len(ids), -np.inf) if floor is None else floor.astype(np.float64)
-        self.scores = [np.zeros(0, np.int64) for _ in ids]
-        self.found = [np.zeros(0, np.int64) for _ in ids]
+        self.floor = np.full(len(own), -np.inf) if floor is None else floor.astype(np.float64)
+        self.scores = [np.zeros(0, np.int64) for _ in own]
+        self.found = [np.zeros(0, np.int64) for _ in own]
 
     def _take(self, j: int, bucket: Bucket, places: np.ndarray, scores: np.ndarray) -> None:
-        good = (scores >= self.floor[j]) & (bucket.ids[places] != self.ids[j])
+        good = (scores >= self.floor[j]) & (bucket.rows[places] != self.own[j])
         if not good.any():
             return
         all_scores = np.concatenate((self.scores[j], scores[good].astype(np.int64)))
@@ -152,67 +156,72 @@ class Search:
         n = [len(f) for f in self.found]
         if not sum(n):
             return (np.zeros(0, np.int64),) * 3
-        return np.repeat(self.ids, n), np.concatenate(self.found), np.concatenate(self.scores)
+        return np.repeat(self.own, n), np.concatenate(self.found), np.concatenate(self.scores)
 
 
-_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
+_FOUND = pa.schema([("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
-def _look_up(packed: DataFrame, ids: np.ndarray, data: np.ndarray, k: int) -> DataFrame:
+def _look_up(packed: DataFrame, own: np.ndarray, data: np.ndarray, k: int) -> DataFrame:
     """The best ``k`` of each task for one block of queries."""
     dim = data.shape[1]
-    floor = np.full(len(ids), -np.inf)
+    floor = np.full(len(own), -np.inf)
     # The longest bucket alone gives each query a floor to begin with.
     for row in packed.where(F.col("dim") == dim).orderBy(F.desc("longest"), F.desc("n")).limit(1).collect():
-        first = Search(ids, data, k)
+        first = Search(own, data, k)
         first.visit(Bucket(row.asDict()))
         floor = np.array([s[-1] if len(s) == k else -np.inf for s in first.scores], np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        search = Search(ids, data, k, floor.copy())
+        search = Search(own, data, k, floor.copy())
         for batch in batches:
             for i in range(batch.num_rows):
                 search.visit(Bucket(batch.slice(i, 1).to_pylist()[0]))
         queries, found, scores = search.rows()
-        yield table({"query_id": queries, "vec_id": found, "score": scores}, _FOUND)
+        yield table({"query": queries, "vec_id": found, "score": scores}, _FOUND)
 
-    return packed.where(F.col("dim") == dim).mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    return packed.where(F.col("dim") == dim).mapInArrow(run, "query bigint, vec_id bigint, score bigint")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, block: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` highest inner products, ties to smaller vec_id.
 
-    Queries go in blocks against all buckets; the driver holds one block. Candidates are all vectors
-    of the same number of components but those with the query's own id; rows that repeat another
-    are candidates of their own. A query's repeated rows ask once, different vectors of one id
-    together.
+    Queries go in blocks against all buckets; the driver holds one block. Each row that ``is_query`` asks
+    for itself, so an id with two rows gets two lists. Candidates are all other rows with as many
+    components, those that repeat its id or its vector too. No product is larger than that of the two
+    longest lengths; where this passes 64 bits the table is refused.
     """
     spark = vectors.sparkSession
-    packed = stage(buckets(scaled(vectors)), "buckets")
-    queries = scaled(vectors.where(is_query)).select("vec_id", "v").dropDuplicates(["vec_id", "v"]).orderBy(F.size("v"), "vec_id")
+    rows = stage(scaled(vectors, is_query=is_query), "vectors")
+    longest = rows.agg(F.max("length")).scalar()
+    queries = rows.where("asks").select("row", "vec_id", "v", (longest * longest).alias("most")).orderBy(F.size("v"), "vec_id", "row")
+    packed = stage(buckets(rows), "buckets")
     results: list[DataFrame] = []
     held: list = []
 
     def ask() -> None:
-        ids = np.array([r.vec_id for r in held], np.int64)
+        own = np.array([r.row for r in held], np.int64)
         data = np.array([list(r.v) for r in held], np.int64)
-        results.append(stage(_best(_look_up(packed, ids, data, k), k), "nearest"))
+        results.append(stage(_best(_look_up(packed, own, data, k), k), "nearest"))
 
     for row in queries.toLocalIterator():
+        if row.most >= 2.0**63:
+            raise ValueError(f"scores of vectors of length {row.most ** 0.5:.3g} (times {SCALE}) do not fit 64 bits")
         if held and (len(held) >= block or len(row.v) != len(held[0].v)):
             ask()
             held = []
         held.append(row)
     if held:
         ask()
-    out = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    out = spark.createDataFrame([], "query bigint, rank int, vec_id bigint, score bigint")
     for r in results:
         out = out.unionByName(r)
-    return out
+    named = rows.where("asks").select("row", F.col("vec_id").alias("query_id"))
+    return out.join(named, F.col("query") == F.col("row")).select("query_id", "rank", "vec_id", "score")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
     """The best ``k`` per query of what the tasks found: ``k`` rows per task and query at most."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return ranked.select("query", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -1,11 +1,13 @@
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from edictum.llm import topk
 from edictum.llm.common import prepare
+from edictum.llm.queries import ORACLES
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, length string, v string"
 
@@ -16,11 +18,12 @@ def brute(rows, k, is_query):
         for i, v, *_ in rows
         if i is not None and v and all(x is not None and math.isfinite(x) for x in v)
     ]
-    out = set()
-    for i, q in {(i, tuple(v)) for i, v in ok if is_query(i)}:
-        scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in ok if j != i and len(v) == len(q))
-        out |= {(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)}
-    return out
+    out = []
+    for n, (i, q) in enumerate(ok):
+        if is_query(i):
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for m, (j, v) in enumerate(ok) if m != n and len(v) == len(q))
+            out += [(i, r, j, -s) for r, (s, j) in enumerate(scored[:k], 1)]
+    return sorted(out)
 
 
 def rows(kind):
@@ -46,7 +49,7 @@ def test_against_all_products(spark, kind, monkeypatch):
     for block in (7, topk.QUERIES):
         got = topk.top_k(frame, F.col("vec_id") % 20 == 0, 5, block)
         assert got.columns == ["query_id", "rank", "vec_id", "score"]
-        assert {tuple(r) for r in got.collect()} == brute(rows(kind), 5, lambda i: i % 20 == 0)
+        assert sorted(map(tuple, got.collect())) == brute(rows(kind), 5, lambda i: i % 20 == 0)
 
 
 def test_coordinates_and_lengths_prune(spark):
@@ -65,7 +68,7 @@ def test_coordinates_and_lengths_prune(spark):
     search = Counting(np.arange(20), data[:20], 5)
     for a in range(0, 400, 25):
         part = order[a : a + 25]
-        search.visit(topk.Bucket({"ids": part.astype("<i8").tobytes(), "lengths": lengths[part].tobytes(), "data": data[part].astype("<i8").tobytes(), "n": len(part), "dim": 8}))
+        search.visit(topk.Bucket({"ids": part.astype("<i8").tobytes(), "rows": part.astype("<i8").tobytes(), "lengths": lengths[part].tobytes(), "data": data[part].astype("<i8").tobytes(), "n": len(part), "dim": 8}))
     assert sum(seen) < 0.5 * 20 * 400
     for j in range(20):
         products = data @ data[j]
@@ -73,6 +76,26 @@ def test_coordinates_and_lengths_prune(spark):
         assert [(-int(s), int(i)) for s, i in zip(search.scores[j], search.found[j])] == best
 
 
+def test_an_id_with_two_vectors_and_the_sql(spark):
+    prepare(spark)
+    vectors = [(0, [1.0, 0.5]), (0, [-1.0, 0.25]), (1, [2.0, 1.0]), (50, [1.0, 1.0]), (50, [1.0, 1.0]), (7, [-3.0, 0.0]), (8, [0.0, 0.0])]
+    got = sorted(map(tuple, topk.top_k(spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>"), F.col("vec_id") % 50 == 0).collect()))
+    assert got == brute(vectors, 5, lambda i: i % 50 == 0) and len(got) == 20
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    con.executemany("INSERT INTO embeddings VALUES (?, ?)", vectors)
+    assert sorted(con.execute(f"SELECT query_id, rank, vec_id, score FROM ({ORACLES['op8_top_k']})").fetchall()) == got
+
+
+def test_scores_beyond_64_bits_are_refused(spark):
+    prepare(spark)
+    for big in (1e30, 2.0**24):
+        with pytest.raises(ValueError, match="64 bits"):
+            topk.top_k(spark.createDataFrame([(0, [big, 0.0]), (1, [1.0, 1.0])], "vec_id bigint, embedding array<double>"), F.col("vec_id") == 0)
+    near = spark.createDataFrame([(0, [2.0**23, 0.0]), (1, [2.0**23, 1.0])], "vec_id bigint, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(near, F.col("vec_id") == 0).collect()] == [(0, 1, 1, 2**62)]
+
+
 def test_no_vectors(spark):
     prepare(spark)
     frame = spark.createDataFrame(rows("ties"), SCHEMA)
