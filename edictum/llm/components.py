@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from edictum.functions.names import fresh
 from edictum.llm.common import stage, unstage
 
 ROUNDS = 60
@@ -50,3 +51,23 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     if larger:
         return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.select(F.col("k").alias("a"), F.col("m").alias("b")))
+
+
+def keep_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with one of the ids, and all without an id; columns as they were, whatever their names.
+
+    Of rows that repeat an id and its text one stays, the same in every run; another text under an id is
+    another document. Only ids that repeat are looked at twice, and only their rows are sorted.
+    """
+    key, digest, place = fresh(docs, "keep", "digest", "place")
+    same = F.col("doc_id") == F.col(key)
+    keep = ids.select(F.col("doc_id").alias(key)).distinct()
+    named = docs.where("doc_id IS NOT NULL").join(keep, same, "left_semi")
+    counts = docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key)).agg(F.count(F.lit(1)).alias(digest))
+    repeated = stage(counts.where(F.col(digest) > 1).select(key), "repeated")
+    if not repeated.isEmpty():
+        order = Window.partitionBy("doc_id", digest).orderBy(F.xxhash64(F.to_json(F.struct(*docs.columns))))
+        again = named.join(repeated, same, "left_semi").withColumn(digest, F.md5(F.col("text").cast("string").cast("binary")))
+        one = again.withColumn(place, F.row_number().over(order)).where(F.col(place) == 1).select(*docs.columns)
+        named = named.join(repeated, same, "left_anti").unionByName(one)
+    return named.unionByName(docs.where("doc_id IS NULL"))

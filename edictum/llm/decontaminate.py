@@ -10,7 +10,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from edictum.functions.names import fresh
 from edictum.llm.common import utf8, words_of
 
 GRAM = 3  # words of a seed
@@ -202,6 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, bl
     """
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id bigint, item_id {item_type}, score double, first_word bigint, last_word bigint"
+    kinds = to_arrow_schema(docs.sparkSession.createDataFrame([], schema).schema)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("text"))
     out = docs.sparkSession.createDataFrame([], schema)
     for block in blocks(benchmark, block_words):
@@ -210,11 +213,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, bl
         def run(batches: Iterator[pa.RecordBatch], seeded=seeded) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [(d, *m) for d, t in zip(batch.column(0).to_pylist(), batch.column(1)) for m in matches(seeded, t.as_py(), least)]
-                names = ["doc_id", "item_id", "score", "first_word", "last_word"]
-                kinds = [pa.int64(), None, pa.float64(), pa.int64(), pa.int64()]
-                columns = [pa.array([f[k] for f in found], kinds[k]) for k in range(5)]
-                if found:
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind.type) for k, kind in enumerate(kinds)], schema=kinds)
 
         out = out.unionByName(rows.mapInArrow(run, schema))
     return out
@@ -231,7 +230,8 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, b
                 kept = batch.filter(pa.array(keep, pa.bool_()))
                 yield pa.RecordBatch.from_arrays(kept.columns[:-1], schema=pa.schema(list(kept.schema)[:-1]))
 
-        docs = docs.withColumn("_utf8", utf8()).mapInArrow(run, docs.schema)
+        (searched,) = fresh(docs, "utf8")
+        docs = docs.withColumn(searched, utf8()).mapInArrow(run, docs.schema)
     return docs
 
 

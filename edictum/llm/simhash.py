@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edictum.llm.common import stage, table, utf8
-from edictum.llm.components import connected
+from edictum.llm.components import connected, keep_ids
 
 SHINGLE = 4
 RADIUS = 4
@@ -276,12 +276,8 @@ def report(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The document with the smallest id of each component, columns as they were.
 
-    Rows that repeat that id are one document and leave one row. A document without an id cannot be
-    told from others and stays.
+    Rows that repeat that id and its text are one document and leave one row; other texts under that id
+    stay. A document without an id cannot be told from others and stays.
     """
     printed = components(docs.where("doc_id IS NOT NULL"))
-    keep = printed.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(keep, F.col("doc_id") == F.col("_keep")).drop("_keep")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
-
-
+    return keep_ids(docs, printed.where("doc_id = component_id").select("doc_id"))

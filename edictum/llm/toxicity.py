@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edictum.functions.names import fresh
 from edictum.llm.common import bounded_sample, stage, table, unstage, utf8, words_of
 
 # Bounds of what is learned from: documents confirmed toxic, unlabelled ones, words.
@@ -146,7 +147,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents whose score is under one half, all columns as they were."""
+    """The documents whose score is under one half, all columns as they were, whatever their names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = scorer(model)
@@ -155,4 +156,5 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays(kept.columns[:-1], schema=pa.schema(list(kept.schema)[:-1]))
 
-    return docs.withColumn("_utf8", utf8()).mapInArrow(run, docs.schema)
+    (scored,) = fresh(docs, "utf8")
+    return docs.withColumn(scored, utf8()).mapInArrow(run, docs.schema)
