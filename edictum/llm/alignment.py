@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edictum.llm.common import stage
+from edictum.llm.common import byte_letters, stage
 
 KNOWN_CHUNKS = 400_000  # a worker remembers the ids of up to twice as many stretches of text
 PART = 1 << 19  # characters of a text that are aligned at a time
@@ -34,13 +34,6 @@ def default_tokenizers() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
-def byte_letters() -> dict[str, int]:
-    """The character byte-level vocabularies write for each byte: printable ones as they are, others from U+0100 on."""
-    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in own]
-    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
-
-
 class Encoders:
     """Ids of both tokenizers for whole texts: blank and text by A, text by B, which adds the blank.
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,12 +15,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from edictum.llm.common import table
+from edictum.llm.common import byte_letters, table
 from edictum.llm.wavelet import Shard, WaveletMatrix
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
-KNOWN_CHUNKS = 300_000  # a worker remembers the ids of up to twice as many chunks of text
+KNOWN_CHUNKS = 600_000  # a worker remembers the ids of up to twice as many chunks of text
 
 SHARDS = "part int, seq int, n_docs bigint, n_tokens bigint, data binary"
 _SHARDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("data", pa.binary())])
@@ -32,17 +34,37 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def parted_by_blanks(spec: dict) -> bool:
+    """Whether a tokenizer file drops white space and joins nothing across it.
+
+    That is so where white space is made one blank, letters small, and what a pattern without white space
+    finds is all that is kept, as words with an end mark.
+    """
+    normalizer, split, model = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}, spec.get("model") or {}
+    split = (split.get("pretokenizers") or [split])[0]
+    pattern = split.get("pattern", {}).get("Regex", " ").replace(r"[^\s\p{L}\p{N}]", "")
+    return (
+        [n["type"] for n in normalizer.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        and (split.get("type"), split.get("behavior"), split.get("invert")) == ("Split", "Removed", True)
+        and not re.search(r"\s|\\s", pattern)
+        and (model.get("type"), model.get("end_of_word_suffix")) == ("BPE", "</w>")
+    )
+
+
 class Encoder:
-    """Ids of whole texts, by way of the chunks between white space.
+    """Ids of whole texts by the tokenizers library, for any of its files.
 
-    The vocabulary named in the contract drops white space and no rule of it reaches across, so a
-    text's ids are those of its chunks in order; the chunks' ids come from the tokenizers library
-    and are remembered, the latest in ``known`` and those before in ``older``. ``str.split`` also
+    For a file that :func:`parted_by_blanks` a text's ids are those of the chunks between white space,
+    in order. The chunks' ids come from the library and are remembered, the latest in ``known`` and
+    those before in ``older``; all new chunks of some texts are looked up together. ``str.split`` also
     parts at four control characters that the library does not count as white space: a text that
-    has one is encoded whole.
+    has one is encoded whole, as are all texts for other files.
     """
 
     _controls = re.compile("[\x1c-\x1f]")
+    #: Letters that are composed already and have one small form each.
+    _latin = re.compile("[A-Za-z\xc0-\u012f\u0131-\u017e]+")
+    _letters = {b: letter for letter, b in byte_letters().items()}
     _marks = '.,!?;:|%&*$#"()[]{}+-=/_~^@'
 
     def __init__(self, path: str):
@@ -50,6 +72,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.older = Tokenizer.from_file(path), {}, {}
+        with open(path, encoding="utf-8") as f:
+            self.parted = parted_by_blanks(json.load(f))
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -59,7 +83,7 @@ class Encoder:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters alone, many to a call: each ends with a token that ends a word.
+        """Ids of words of letters, many to a call: each ends with a token that ends a word.
 
         Where lower-casing makes something else of a letter the number of ends differs; the words
         of that call are then encoded one by one.
@@ -80,27 +104,34 @@ class Encoder:
         return out
 
     def _learn(self, chunks: set[str]) -> None:
-        """Chunks not known yet: letters with marks after them by way of the letters, others as they are."""
-        plain: dict[str, list[tuple[str, str]]] = {}
+        """Chunks not known yet: letters with marks after them by way of the letters, others as they are.
+
+        The model itself takes words of Latin letters, made small, in its own letters for their bytes.
+        """
+        known, older, tokenize = self.known, self.older, self.tokenizer.model.tokenize
+        others: dict[str, list[tuple[str, str]]] = {}
         for chunk in chunks:
-            if (ids := self.older.get(chunk)) is not None:
-                self.known[chunk] = ids
-                continue
-            word = chunk.rstrip(self._marks)
-            if not word.isalpha():
-                self.known[chunk] = self._single(chunk)
-                continue
-            tail = chunk[len(word) :]
-            if word.isascii():
-                word = word.lower()
-            if (ids := self.known.get(word)) is not None:
-                self.known[chunk] = ids + self._mark(tail)
-            else:
-                plain.setdefault(word, []).append((chunk, tail))
-        for (word, uses), ids in zip(plain.items(), self._words(list(plain))):
-            self.known[word] = ids
+            ids = older.get(chunk)
+            if ids is None:
+                word = chunk.rstrip(self._marks)
+                if not word.isalpha() or not (word.isascii() or word.lower().isalpha()):
+                    ids = self._single(chunk)
+                else:
+                    tail = chunk[len(word) :]
+                    if not word.isascii() and not self._latin.fullmatch(word):
+                        others.setdefault(word, []).append((chunk, tail))
+                        continue
+                    word = word.lower()
+                    ids = known.get(word) or older.get(word)
+                    if ids is None:
+                        own = word if word.isascii() else word.encode().decode("latin-1").translate(self._letters)
+                        known[word] = ids = array("I", [t.id for t in tokenize(own)]).tobytes()
+                    if tail:
+                        ids += self._mark(tail)
+            known[chunk] = ids
+        for uses, ids in zip(others.values(), self._words(list(others))):
             for chunk, tail in uses:
-                self.known[chunk] = ids + self._mark(tail) if tail else ids
+                known[chunk] = ids + self._mark(tail)
 
     def _mark(self, tail: str) -> bytes:
         if tail not in self.marks:
@@ -111,7 +142,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit integers."""
-        if self._controls.search(text):
+        if not self.parted or self._controls.search(text):
             return self._single(text)
         chunks = text.split()
         try:

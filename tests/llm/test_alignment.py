@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from edictum.llm import alignment
-from edictum.llm.common import prepare
+from edictum.llm.common import byte_letters, prepare
 
 SCHEMA = "doc_id bigint, text string, row int, pair bigint, links string"
 ODD = ["", " a", "a ", "x  y", "\tx\ny é ü", "▁a b", "日本 語 a", "<|endoftext|> <s> x", "a\x85 b", "a 　b", "a\0b", " ", "\n", "don't 'll 12 345", "nbsp\xa0here you", "ﬁ ① é é", "​zero width", "İstanbul straße", "🙂 👍🏽 ok"]
@@ -58,7 +58,7 @@ def test_ids_by_stretches_are_those_of_whole_texts(coders, monkeypatch):
 
 
 def test_bytes_of_tokens(coders):
-    assert len(alignment.byte_letters()) == 256 and sorted(alignment.byte_letters().values()) == list(range(256))
+    assert len(byte_letters()) == 256 and sorted(byte_letters().values()) == list(range(256))
     assert len(coders.a_bytes) == 50257 and len(coders.b_bytes) == 32000
     assert {b for x in coders.a_bytes[:256] for b in x} == set(range(256))
 

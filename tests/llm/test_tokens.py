@@ -85,3 +85,18 @@ def test_shards_against_one_by_one(spark, shard_tokens):
 def test_no_documents(spark):
     prepare(spark)
     assert tokens.token_report(tokens.encode_shards(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_any_tokenizer_file(name):
+    import public_tokenizers
+
+    path, rng = public_tokenizers.path(name), random.Random(8)
+    enc = tokens.Encoder(path)
+    assert enc.parted == (name == "word_bpe_49k.json")
+    letters = [chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xAA, 0x250), 0x1E9E, 0x3A3, 0x3C2, 0x130, 0xDF] if chr(c).isalpha()]
+    texts = ["", "a  b", "\x1cx y", "<|endoftext|>x", "A\u0301 \ufb01", "\u0130, \u01c5!"]
+    texts += [" ".join("".join(rng.choices(letters, k=rng.randint(1, 8))) + rng.choice(["", ",", "!?", ".", "'s"]) for _ in range(9)) for _ in range(400)]
+    for text in texts:
+        whole = enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc.encode(text), "<u4").tolist() == whole, text
