@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edictum.functions.names import fresh
+from edictum.llm.common import stage
+from edictum.operators.numbering import number_rows
+
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2.0
@@ -54,7 +58,7 @@ def mix(
     most: float = MOST,
     seed: str = SEED,
 ) -> DataFrame:
-    """Copies of each document: (doc_id, source, size, source_size, target, copies), thin.
+    """The place of each document in the mix: (doc_id, source, size, source_size, target, rows, before, ratio, offset).
 
     Within a source the documents stand in order of size, then of md5 of their id, then id. Each
     expects target / source_size copies; the running sum plus one offset per source, derived from
@@ -63,7 +67,8 @@ def mix(
 
     The running sum is a rank times a constant. Ranks are added up over sizes, over 4096 slices of
     the md5 and within a slice, so no source and no size is ever sorted in one task. Rows that agree
-    in id, source and size stand as one: all of them get the same copies. NULL ids stand first
+    in id, source and size are counted before they are ranked: ``rows`` of them have the ranks after
+    ``before``, one each, and :func:`copies` says how often each is taken. NULL ids stand first
     within their size; a NULL text has size 0; an empty table gives an empty result.
     """
     thin = docs.select("doc_id", "source", text_size().alias("size"))
@@ -74,7 +79,7 @@ def mix(
     digest = F.coalesce(F.md5(F.col("doc_id").cast("string").cast("binary")), F.lit(""))
     units = units.withColumn("digest", digest).withColumn("slice", F.substring("digest", 1, 3))
 
-    slices = units.groupBy("source", "size", "slice").agg(F.count(F.lit(1)).alias("n"))
+    slices = units.groupBy("source", "size", "slice").agg(F.sum("rows").alias("n"))
     before = (Window.unboundedPreceding, -1)
     in_size = Window.partitionBy("source", "size").orderBy("slice").rowsBetween(*before)
     in_source = Window.partitionBy("source").orderBy("size").rowsBetween(*before)
@@ -88,10 +93,10 @@ def mix(
         totals, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("size") == F.col("t_size"))
     ).select(
         F.col("source").alias("o_source"), F.col("size").alias("o_size"), F.col("slice").alias("o_slice"),
-        (F.col("before_size") + F.col("before_slice")).alias("before"),
+        (F.col("before_size") + F.col("before_slice")).alias("earlier"),
     )
-    inside = Window.partitionBy("source", "size", "slice").orderBy("digest", "doc_id")
-    ranked = units.withColumn("inside", F.row_number().over(inside)).join(
+    in_slice = Window.partitionBy("source", "size", "slice").orderBy("digest", "doc_id").rowsBetween(*before)
+    ranked = units.withColumn("inside", F.coalesce(F.sum("rows").over(in_slice), F.lit(0))).join(
         offsets,
         F.col("source").eqNullSafe(F.col("o_source"))
         & (F.col("size") == F.col("o_size"))
@@ -99,12 +104,18 @@ def mix(
     )
     targets = targets.withColumnRenamed("source", "s_source")
     placed = ranked.join(targets, F.col("source").eqNullSafe(F.col("s_source")))
-    rank = F.col("before") + F.col("inside")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    offset = offset_of(F.col("source"), seed)
+    return placed.select(
+        "doc_id", "source", "size", "source_size", "target", "rows", (F.col("earlier") + F.col("inside")).alias("before"),
+        ratio.alias("ratio"), offset_of(F.col("source"), seed).alias("offset"),
+    )
+
+
+def copies(before: Column, nth: Column | int, ratio: Column, offset: Column, most: float = MOST) -> Column:
+    """How often the ``nth`` document after ``before`` others is taken: the integers its share of the running sum passes."""
+    rank = before + nth
     passed = F.floor(ratio * rank + offset) - F.floor(ratio * (rank - 1) + offset)
-    copies = F.least(passed, F.ceil(F.lit(most))).cast("int")
-    return placed.select("doc_id", "source", "size", "source_size", "target", "rows", copies.alias("copies"))
+    return F.least(passed, F.ceil(F.lit(most))).cast("int")
 
 
 def offset_of(source: Column, seed: str) -> Column:
@@ -116,26 +127,41 @@ def offset_of(source: Column, seed: str) -> Column:
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each as often as the mix takes it, columns unchanged.
 
-    The decision is joined back by id, source and size, NULLs included. Extra columns stay, whatever
-    their names.
+    The decision is joined back by id, source and size, NULLs included. Of rows that agree in these, each
+    has a rank of its own, in order of their texts' hashes; they are numbered without bringing them
+    together. Extra columns stay, whatever their names.
     """
-    decided = mix(docs, **options).where("copies > 0").select(
-        F.col("doc_id").alias("_m_doc"), F.col("source").alias("_m_source"), F.col("size").alias("_m_size"),
-        F.col("copies").alias("_m_copies"),
+    most = options.get("most", MOST)
+    size, doc, source, words, times, place, nth = fresh(docs, "m_size", "m_doc", "m_source", "m_words", "m_times", "m_place", "m_nth")
+    plan = stage(mix(docs, **options), "mix")
+    decided = plan.select(
+        F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("size").alias(words),
+        F.when(F.col("rows") == 1, copies(F.col("before"), 1, F.col("ratio"), F.col("offset"), most)).alias(times),
     )
-    sized = docs.withColumn("_size", text_size())
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("_m_doc"))
-        & F.col("source").eqNullSafe(F.col("_m_source"))
-        & (F.col("_size") == F.col("_m_size"))
-    )
-    taken = sized.join(decided, same)
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_m_copies")))).select(*docs.columns)
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & F.col("source").eqNullSafe(F.col(source)) & (F.col(size) == F.col(words))
+    sized = docs.withColumn(size, text_size())
+    out = sized.join(decided.where(F.col(times) > 0), same).select(*docs.columns, times)
+    repeated = plan.where("rows > 1")
+    if not repeated.isEmpty():
+        keys = repeated.select(F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("size").alias(words))
+        alike = sized.join(keys, same).withColumn(place, F.struct(F.xxhash64(F.col("text").cast("string")), F.monotonically_increasing_id()))
+        alike = number_rows(alike.select(*docs.columns, doc, source, words, place), place, groups=[doc, source, words], out=nth)
+        ranks = repeated.select(F.col("doc_id").alias("r_doc"), F.col("source").alias("r_source"), F.col("size").alias("r_size"), "before", "ratio", "offset")
+        ranks = ranks.select(F.struct("r_doc", "r_source", "r_size").alias(size), F.struct("before", "ratio", "offset").alias(times))
+        ranked = alike.join(ranks, F.struct(doc, source, words).eqNullSafe(F.col(size)))
+        taken = copies(F.col(times)["before"], F.col(nth), F.col(times)["ratio"], F.col(times)["offset"], most)
+        out = out.unionByName(ranked.select(*docs.columns, taken.alias(times)).where(F.col(times) > 0))
+    return out.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken (words, repeats counted)."""
-    decided = mix(docs, **options)
-    return decided.withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
-    )
+    """One row per document: doc_id, size, source_size, target, taken (words, repeats counted), copies."""
+    block = 4096
+    plan = mix(docs, **options)
+    last = F.floor((F.col("rows") - 1) / F.lit(block)).cast("int")
+    blocks = plan.withColumn("block", F.explode(F.sequence(F.lit(0), last)))
+    inside = F.least(F.col("rows") - F.col("block") * F.lit(block).cast("bigint"), F.lit(block)).cast("int")
+    nth = F.col("block") * F.lit(block).cast("bigint") + F.col("inside")
+    rows = blocks.withColumn("inside", F.explode(F.sequence(F.lit(1), inside)))
+    rows = rows.withColumn("copies", copies(F.col("before"), nth, F.col("ratio"), F.col("offset"), options.get("most", MOST)))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")

@@ -65,6 +65,42 @@ def test_targets_copies_and_sql(spark, seed, sources):
     assert sorted(theirs) == sorted(tuple(r[n] for n in names) for r in got)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_rows_without_id_are_taken_one_by_one(spark, seed):
+    """Half of a source has no id and one size; the SQL ranks each row, and so does the operator."""
+    prepare(spark)
+    rows = fixture(seed, ["a", "b"]) + [(None, f"w {i}", "a", None, None) for i in range(2500)] + [(7, "same same", "b", None, None)] * 300
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    got = mixing.mix_report(docs).collect()
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", [r[:3] for r in rows])
+    names = ["doc_id", "size", "source_size", "target", "taken", "copies"]
+    theirs = con.execute(f"SELECT {', '.join(names)} FROM ({ORACLES['op10_mixing']})").fetchall()
+    assert sorted(theirs, key=str) == sorted((tuple(r[n] for n in names) for r in got), key=str)
+    out = Counter((r.doc_id, len((r.text or "").split())) for r in mixing.mixed(docs).collect())
+    want = Counter()
+    for r in got:
+        want[r.doc_id, r.size] += r.copies
+    assert out[None, 2] == want[None, 2] and out[7, 2] == want[7, 2]
+    sizes, taken = Counter(), Counter()
+    for d, t, s, *_ in rows:
+        sizes[s] += len((t or "").split())
+    for r in mixing.mixed(docs).collect():
+        taken[r.source] += len((r.text or "").split())
+    for s, target in water(sizes).items():
+        assert abs(taken[s] - target) <= 2 * max(len((t or "").split()) for _, t, x, *_ in rows if x == s)
+
+
+def test_columns_named_like_helpers_stay(spark):
+    prepare(spark)
+    names = ["m_size", "M_doc", "m_times", "m_place", "before", "ratio", "rows", "_copy", "_size", "r_doc", "part", "at"]
+    rows = [(i % 5, "a b c", "s", *[100 * i + k for k in range(len(names))]) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, " + ", ".join(f"{n} bigint" for n in names))
+    out = mixing.mixed(docs).collect()
+    assert len(out) == 18 and {tuple(r) for r in out} <= set(rows) and list(out[0].asDict()) == docs.columns
+
+
 def test_documents_are_taken_as_often_as_reported(spark):
     prepare(spark)
     rows = fixture(5, ["a", "a", "b", None]) + [(None, "no id", "a", None, None), (3, "again", "a", None, None), (3, "again", "a", None, None)]
