@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from catalog import AS_OF, Tables, query
 from catalog.documents import FIELDS
 from catalog.jobs import SCRUBBED
-from catalog.merge import LATEST, scratch
+from catalog.merge import LATEST, now, scratch, text
 from catalog.views import cte
 from edictum.operators.registry import source_table
 from edictum.streaming import ingest
+from edictum.streaming.store import Store, ingest_batch, published_feed, start_runs
 
 
 def stream(t: Tables, name: str) -> DataFrame:
@@ -21,8 +22,7 @@ def stream(t: Tables, name: str) -> DataFrame:
 
 def incoming(t: Tables) -> DataFrame:
     """The rows of v_incoming as a stream."""
-    rows = stream(t, "documents").where("doc_id % 3 = 0")
-    first = rows.selectExpr(
+    first = stream(t, "documents").selectExpr(
         "doc_id AS seq",
         "concat('https://www.', source, '.example.org/art/', CAST(doc_id AS STRING), '.html') AS source_url",
         "CASE WHEN doc_id % 21 = 0 THEN NULL ELSE concat('新 ', CAST(doc_id AS STRING)) END AS title",
@@ -48,6 +48,73 @@ def _(t: Tables):
     return rows.select("source_url", "title", "content", "doc_number", "first_seq")
 
 
+# ---------------------------------------------------------------- runs into policies, feed and log
+
+RUN_OF = "CAST(seq % 1000000000 % 3 AS INT)"
+#: Rows of v_incoming with all the feed needs, in three runs; the run's rows come after those of the run before.
+RUNS = f"""SELECT seq + {RUN_OF} * 10000000000 AS seq, source_url, title, content, doc_number, DATE '2024-02-01' + CAST(seq % 20 AS INT) AS publish_date,
+ 'site ' AS issuing_authority, {RUN_OF} AS run FROM v_incoming
+ UNION ALL SELECT seq + 30000000000, source_url, concat('later ', title), 'v3', 'k', DATE '2024-02-01' + CAST(seq % 13 AS INT), 'site', 2 FROM v_incoming WHERE seq % 1000000000 % 6 = 1"""
+RAN = f"""WITH runs AS ({RUNS}), good AS (SELECT * FROM runs WHERE title IS NOT NULL),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY seq DESC) AS n, min(seq) OVER (PARTITION BY source_url) AS first_seq FROM good) x WHERE n = 1)"""
+
+
+def three_runs(t: Tables) -> Store:
+    """The incoming rows as three micro-batches of one stream; the second is handed in once more at the end."""
+    source, state = scratch(t, "runs-in"), scratch(t, "runs-state")
+    store = Store(t.spark, scratch(t, "store"))
+    rows = t.sql(cte(RUNS))
+    for run in range(3):
+        part = rows.where(F.col("run") == run).drop("run")
+        part.write.mode("append").parquet(source)
+        arriving = t.spark.readStream.schema(part.schema).parquet(source)
+        start_runs(arriving, store, state, "stream", now()).awaitTermination()
+    ingest_batch(store, rows.where("run = 1").drop("run"), 1, "stream", now())
+    return store
+
+
+@query(
+    "stream_policies",
+    f"""{RAN} SELECT CAST(row_number() OVER (ORDER BY first_seq) AS BIGINT) AS id, source_url, title, doc_number, CAST(publish_date AS STRING) AS publish_date,
+    issuing_authority, md5(content) AS content, '2025-01-01 00:00:00' AS created_at, '2025-01-01 00:00:00' AS updated_at FROM last""",
+)
+def _(t: Tables):
+    """The policy table after three streamed runs, one of them replayed."""
+    rows = three_runs(t).rows("policies")
+    return rows.select("id", "source_url", "title", "doc_number", *text("publish_date"), "issuing_authority", F.md5("content").alias("content"), *text("created_at", "updated_at"))
+
+
+@query(
+    "stream_feed",
+    f"""{RAN}, sent AS (SELECT *, row_number() OVER (PARTITION BY source_url, run ORDER BY seq DESC) AS n FROM runs), ends AS (SELECT * FROM sent WHERE n = 1),
+    firsts AS (SELECT source_url, min(seq) AS first_seq FROM runs GROUP BY 1), days AS (SELECT f.source_url, f.first_seq,
+     max(CASE WHEN run = 0 THEN publish_date END) AS d0, max(CASE WHEN run = 1 THEN publish_date END) AS d1, max(CASE WHEN run = 2 THEN publish_date END) AS d2
+     FROM firsts f JOIN ends e ON f.source_url = e.source_url GROUP BY 1, 2),
+    kept AS (SELECT source_url, first_seq, coalesce(d2, d1, d0) AS day2, coalesce(d1, d0) AS day1, d0 AS day0 FROM days),
+    newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY run DESC, n) AS m FROM ends) x WHERE m = 1)
+    SELECT concat('p_', substr(sha256(k.source_url), 1, 12)) AS id, trim(coalesce(r.title, '')) AS title, k.source_url AS url, CAST(r.publish_date AS STRING) AS publish_date,
+     substr(r.content, 1, 200) AS content_preview, 'site' AS source_site, '2025-01-01 00:00:00' AS created_at,
+     row_number() OVER (ORDER BY day2 DESC, day1 DESC NULLS LAST, day0 DESC NULLS LAST, first_seq) - 1 AS pos
+    FROM kept k JOIN newest r ON k.source_url = r.source_url""",
+)
+def _(t: Tables):
+    """The published feed after three streamed runs, one of them replayed."""
+    return published_feed(three_runs(t))
+
+
+@query(
+    "stream_log",
+    f"""{RAN}, firsts AS (SELECT source_url, min(run) AS run FROM good GROUP BY 1),
+    counts AS (SELECT run, count(*) AS total_fetched, count(*) FILTER (WHERE title IS NULL) AS error_count,
+     substr(string_agg(concat(source_url, ': NOT NULL constraint failed: policies.title'), chr(10) ORDER BY seq) FILTER (WHERE title IS NULL), 1, 4000) AS error_details FROM runs GROUP BY 1)
+    SELECT CAST(c.run + 1 AS BIGINT) AS id, 'stream' AS task_name, total_fetched, (SELECT count(*) FROM firsts f WHERE f.run = c.run) AS new_added, error_count,
+     coalesce(error_details, '') AS error_details, CASE WHEN error_count = 0 THEN 'SUCCESS' WHEN (SELECT count(*) FROM firsts f WHERE f.run = c.run) > 0 THEN 'PARTIAL' ELSE 'FAILED' END AS status FROM counts c""",
+)
+def _(t: Tables):
+    """The run log after three streamed runs, one of them replayed: a row for each run."""
+    return three_runs(t).rows("log").drop("start_time", "end_time").withColumn("error_details", F.coalesce("error_details", F.lit("")))
+
+
 @query(
     "stream_documents",
     f"""WITH {FIELDS} SELECT url AS source_url, title, doc_number, CASE WHEN issuing_authority = '' THEN '国家药品监督管理局' ELSE issuing_authority END AS issuing_authority,

@@ -23,10 +23,11 @@ SELECT doc_id AS id,
  CAST(DATE '2024-12-01' + CAST(doc_id % 31 AS INT) AS TIMESTAMP) AS created_at
  FROM documents""",
     "v_stored": """
-SELECT id, source_url, title, content, doc_number, created_at, created_at AS updated_at FROM v_policies WHERE id % 4 <> 0""",
+SELECT id, source_url, title, content, doc_number, created_at, created_at AS updated_at FROM v_policies WHERE id % 4 <> 0
+ UNION ALL SELECT id + 5000000000, replace(source_url, '/art/', '/old/'), title, content, doc_number, created_at, created_at FROM v_policies""",
     "v_incoming": """
 SELECT doc_id AS seq, concat('https://www.', source, '.example.org/art/', CAST(doc_id AS STRING), '.html') AS source_url,
- CASE WHEN doc_id % 21 = 0 THEN NULL ELSE concat('新 ', CAST(doc_id AS STRING)) END AS title, text AS content, 'n' AS doc_number FROM documents WHERE doc_id % 3 = 0
+ CASE WHEN doc_id % 21 = 0 THEN NULL ELSE concat('新 ', CAST(doc_id AS STRING)) END AS title, text AS content, 'n' AS doc_number FROM documents
  UNION ALL SELECT doc_id + 1000000000, concat('https://www.', source, '.example.org/art/', CAST(doc_id AS STRING), '.html'),
  concat('再 ', CAST(doc_id AS STRING)), 'v2', 'm' FROM documents WHERE doc_id % 9 = 0""",
     "v_list_pages": """
@@ -65,7 +66,7 @@ SELECT concat('h', CAST(user_id AS STRING), '.example.org') AS host,
  FROM (SELECT DISTINCT user_id % 20 AS user_id FROM events) x WHERE user_id < 18""",
     "v_feed": """
 SELECT CASE WHEN doc_id % 11 = 0 THEN '' ELSE concat('p_old', CAST(doc_id AS STRING)) END AS id, concat('旧 ', CAST(doc_id AS STRING)) AS title,
- concat('https://www.', source, '.example.org/art/', CAST(doc_id - doc_id % 2 AS STRING), '.html') AS url,
+ concat('https://www.', source, CASE WHEN doc_id % 7 = 0 THEN '.example.org/old/' ELSE '.example.org/art/' END, CAST(doc_id - doc_id % 2 AS STRING), '.html') AS url,
  CASE WHEN doc_id % 13 = 0 THEN '' ELSE CAST(DATE '2024-01-01' + CAST(doc_id % 50 AS INT) AS STRING) END AS publish_date,
  substr(text, 1, 200) AS content_preview, source AS source_site, '2024-06-01T00:00:00' AS created_at, doc_id AS pos FROM documents WHERE doc_id % 4 <> 0""",
     "v_feed_incoming": """

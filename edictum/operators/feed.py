@@ -22,13 +22,18 @@ def feed_id(url: Column, old_id: Column) -> Column:
     )
 
 
+def feed_url() -> Column:
+    """The URL of a policy row as the feed has it."""
+    return trim_u(F.coalesce(F.col("source_url").cast("string"), F.lit("")))
+
+
 def feed_records(policies: DataFrame, as_of: Column) -> DataFrame:
     """Feed records of policy rows (source_url, title, publish_date, content, issuing_authority, seq)."""
     text = lambda c: trim_u(F.coalesce(F.col(c).cast("string"), F.lit("")))
     return policies.select(
         F.lit(None).cast("string").alias("id"),
         text("title").alias("title"),
-        text("source_url").alias("url"),
+        feed_url().alias("url"),
         text("publish_date").alias("publish_date"),
         preview(F.col("content")).alias("content_preview"),
         text("issuing_authority").alias("source_site"),

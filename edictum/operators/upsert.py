@@ -117,13 +117,14 @@ def upsert(
     return touched.unionByName(rest)
 
 
-def assign_ids(merged: DataFrame, stored: DataFrame, key: str = "source_url") -> DataFrame:
-    """Give new rows the next ids, in the order they first appeared.
+def assign_ids(merged: DataFrame, stored: DataFrame, key: str = "source_url", top: Column | None = None) -> DataFrame:
+    """Give new rows the next ids, in the order they first appeared, after ``top`` or the highest stored one.
 
     Only keys and positions are numbered; the ids then meet the new rows by key.
     """
     columns = stored.columns
-    top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
+    if top is None:
+        top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
     new = merged.where("is_new")
     places = number_rows(new.select(F.col(key).alias("_key"), "first_seq"), "first_seq", out="_n").drop("first_seq")
     numbered = new.join(places, F.col(key) == F.col("_key")).withColumn("id", top + F.col("_n")).select(*columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,15 +22,38 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def commit_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole or not at all; False, and nothing done, if there is one of that name.
+
+    It is written under a hidden name and then renamed without overwriting, which of two writers only one can do.
+    """
+    fs, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    target = fs.Path(path)
+    hidden = fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    files = target.getFileSystem(conf)
+    out = files.create(hidden, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    plain = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    try:
+        fs.FileContext.getFileContext(target.toUri(), conf).rename(hidden, target, plain)
+    except Exception as e:
+        files.delete(hidden, False)
+        if "FileAlreadyExistsException" in str(e):
+            return False
+        raise
+    return True
+
+
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """A Parquet table; with a schema given, a path that does not exist is an empty table."""
-    if schema is not None and not path_exists(spark, path):
-        return empty(spark, schema)
-    return spark.read.parquet(path)
+    """A Parquet table; with a schema given, a path that does not exist or has no files yet is an empty table."""
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else empty(spark, schema)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -70,19 +95,33 @@ def decode_text(content: Column) -> Column:
 
 
 def append_log(log: DataFrame, path: str) -> None:
-    """Append run-log rows, numbered after those that are there.
+    """Append run-log rows, numbered after those that are there, in order of start and name.
 
-    Ids go on from the table's highest, in order of start and name. A run writes a few rows; two
-    runs that append at the same time must be kept apart by the caller.
+    A run writes a few rows. The ids are taken first, by creating a file named after the first of them;
+    a writer that comes second sees it and takes the next ones, so several runs may append at once.
     """
     spark = log.sparkSession
-    stored = read_table(spark, path, schemas.CRAWLER_LOGS)
-    top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint")).scalar()
-    columns = [c for c in stored.columns if c != "id"]
+    columns = [c for c in empty(spark, schemas.CRAWLER_LOGS).columns if c != "id"]
+    rows = stage(log.select(*columns))
+    n = rows.count()
+    if not n:
+        return
+    taken = f"{path}/_ids"
+    while True:
+        top = read_table(spark, path, schemas.CRAWLER_LOGS).agg(F.coalesce(F.max("id"), F.lit(0))).first()[0]
+        if path_exists(spark, taken):
+            top = max([top, *[int(r[0]) for r in spark.read.text(f"{taken}/*").collect()]])
+        if commit_file(spark, f"{taken}/{top + 1:012d}", str(top + n)):
+            break
     place = F.row_number().over(Window.orderBy("start_time", "task_name"))
-    numbered = log.select((top + place).cast("bigint").alias("id"), *columns)
-    # The new rows depend on the table they go to: settle them before writing.
-    stage(numbered).write.mode("append").parquet(path)
+    numbered = rows.select((F.lit(top) + place).cast("bigint").alias("id"), *columns)
+    # Two writers of one folder would clear each other's work: the rows get a hidden one, then the file moves.
+    own = f"{path}/_runs/{top + 1:012d}"
+    numbered.coalesce(1).write.parquet(own)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+    files = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for part in files.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{own}/part-*")):
+        files.rename(part.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"part-{top + 1:012d}.parquet"))
 
 
 def write_policies(policies: DataFrame, path: str) -> None:
