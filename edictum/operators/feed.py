@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from edictum.functions.text import preview, trim_u
 from edictum.operators.numbering import number_rows
+from edictum.operators.skew import thin_side
+from edictum.operators.upsert import ROW, with_rows
 from edictum.schemas import FEED_COLUMNS
+from edictum.session import stage
 
 # Positions compared in one task by the order audit.
 CHUNK = 1 << 20
@@ -47,32 +50,36 @@ def merge_feed(existing: DataFrame, policies: DataFrame, as_of: Column) -> DataF
 
     ``existing`` has the feed columns and ``pos``; ``policies`` has ``seq``. Rows of the run get
     ``created_at = as_of`` even where the URL was known; all others stay word for word. The result
-    carries ``ord``, the order among equal dates, and ``is_added``. Copies merge before the shuffle.
+    carries ``ord``, the order among equal dates, and ``is_added``. Only URLs and places are aggregated.
     """
     stored = existing.where("coalesce(url, '') <> ''").select(
         *FEED_COLUMNS, F.col("pos").cast("bigint").alias("ord")
     )
-    both = stored.unionByName(feed_records(policies, as_of))
-    body = ["title", "publish_date", "content_preview", "source_site", "created_at"]
+    both = with_rows(stored.unionByName(feed_records(policies, as_of)))
     is_old = F.col("ord") < _NEW
-    merged = both.groupBy("url").agg(
-        F.max_by(F.struct(*body), "ord").alias("row"),
-        F.max_by("id", F.when(is_old, F.col("ord"))).alias("old_id"),
-        F.min("ord").alias("ord"),
-        F.max("ord").alias("last"),
+    keys = both.groupBy(F.col("url").alias("_url")).agg(
+        F.max_by(ROW, "ord").alias("_last"),
+        F.max_by(ROW, F.when(is_old, F.col("ord"))).alias("_last_old"),
+        F.min("ord").alias("_ord"),
+        F.count(F.lit(1)).alias("_times"),
     )
-    # A record the run does not touch keeps its id, be it blank.
-    own = F.when(F.col("last") >= _NEW, feed_id(F.col("url"), F.col("old_id"))).otherwise(F.col("old_id"))
-    return merged.select(
-        own.alias("id"),
-        "row.title",
+    ids = both.where(is_old).select(F.col(ROW).alias("_of"), F.col("id").alias("_old_id"))
+    repeated = keys.where("_times > 1").join(ids, F.col("_last_old") == F.col("_of"), "left").drop("_times", "_of", "_last_old")
+    repeated = thin_side(stage(repeated))
+    rows = both.join(repeated, F.col("url") == F.col("_url"), "left").where(F.col("_last").isNull() | (F.col("_last") == F.col(ROW)))
+    old_id = F.when(F.col("_last").isNull(), F.col("id")).otherwise(F.col("_old_id"))
+    first = F.coalesce("_ord", "ord")
+    return rows.select(
+        # A record the run does not touch keeps its id, be it blank.
+        F.when(is_old, old_id).otherwise(feed_id(F.col("url"), old_id)).alias("id"),
+        "title",
         "url",
-        "row.publish_date",
-        "row.content_preview",
-        "row.source_site",
-        "row.created_at",
-        "ord",
-        (~is_old).alias("is_added"),
+        "publish_date",
+        "content_preview",
+        "source_site",
+        "created_at",
+        first.alias("ord"),
+        (first >= _NEW).alias("is_added"),
     )
 
 

@@ -22,6 +22,18 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left", salts
     return salted.join(spread, [key, "_salt"], how).drop("_salt")
 
 
+MOST_BROADCAST = 200_000
+
+
+def thin_side(staged: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
+    """A staged table of a few narrow columns as the small side of a join with rows that carry content.
+
+    Its rows are counted, from file footers: a small one is broadcast, so the other side stays where it
+    is; a larger one is hashed in each partition, so the other side is dealt out but not sorted.
+    """
+    return F.broadcast(staged) if staged.count() <= most else staged.hint("shuffle_hash")
+
+
 def _hashable(rows: DataFrame) -> list[str]:
     """Columns cheap to hash: text bodies and nested values are left out when others remain."""
     thin = [c for c, t in rows.dtypes if t in ("bigint", "int", "double", "timestamp", "timestamp_ntz", "date") or c == "url"]

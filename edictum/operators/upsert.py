@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edictum.functions.names import fresh
 from edictum.operators.numbering import number_rows
+from edictum.operators.skew import thin_side
+from edictum.session import stage
 
 # Error text is at most 4000 characters; a line takes at least 3, so no more lines can matter.
 ERROR_CHARS = 4000
@@ -29,17 +32,28 @@ def rejected(batch: DataFrame, required=REQUIRED) -> DataFrame:
     return batch.withColumn("error", message).where("error IS NOT NULL")
 
 
+#: Tells rows of a staged batch apart.
+ROW = "_row"
+
+
+def with_rows(batch: DataFrame) -> DataFrame:
+    """The batch, staged, with a number for each row: it is read once for its keys and once for its rows."""
+    return batch if ROW in batch.columns else stage(batch.withColumn(ROW, F.monotonically_increasing_id()))
+
+
 def latest_per_key(batch: DataFrame, key: str = "source_url", order: str = "seq") -> DataFrame:
     """Last row of each key by ``order``, with the first position of the key as ``first_seq``.
 
-    Copies are merged before the shuffle, so a key with a third of the rows sends one row per task.
+    Only keys, positions and row numbers are aggregated. A key that has one row keeps it as it is; those
+    with more, usually few, tell which row stays. Contents are neither sorted nor aggregated.
     """
-    values = [c for c in batch.columns if c != key]
-    return (
-        batch.groupBy(key)
-        .agg(F.max_by(F.struct(*values), order).alias("row"), F.min(order).alias("first_seq"))
-        .select(key, "row.*", "first_seq")
-    )
+    rows = with_rows(batch)
+    last, first, of, times = fresh(rows, "last", "first", "of", "times")
+    keys = rows.groupBy(F.col(key).alias(of)).agg(F.max_by(ROW, order).alias(last), F.min(order).alias(first), F.count(F.lit(1)).alias(times))
+    repeated = thin_side(stage(keys.where(F.col(times) > 1).drop(times)))
+    kept = rows.join(repeated, F.col(key).eqNullSafe(F.col(of)), "left").where(F.col(last).isNull() | (F.col(last) == F.col(ROW)))
+    values = [c for c in rows.columns if c not in (key, ROW)]
+    return kept.select(key, *values, F.coalesce(first, order).alias("first_seq"))
 
 
 def known(batch: DataFrame, stored: DataFrame, key: str = "source_url") -> DataFrame:
@@ -62,18 +76,22 @@ def touched_rows(
 ) -> DataFrame:
     """The rows a batch inserts or updates, with ``is_new`` and ``first_seq``.
 
-    Only the stored columns that survive an update are read: the id, the creation time and, where
-    ``update_cols`` names fewer than all columns, the rest.
+    Only the stored columns that survive an update are read, and only for the keys of the batch: the id,
+    the creation time and, where ``update_cols`` names fewer than all columns, the rest.
     """
     system = ("id", "created_at", "updated_at")
     columns = [c for c in stored.columns if c not in (key, *system)]
     incoming = [c for c in columns if c in batch.columns]
     updated = [c for c in incoming if update_cols is None or c in update_cols]
     keep = [c for c in stored.columns if c == key or c in ("id", "created_at") or (c in columns and c not in updated)]
-    last = latest_per_key(accepted(batch).select(key, order, *incoming), key, order)
-    old = stored.select(
+    rows = accepted(with_rows(batch))
+    last = latest_per_key(rows.select(key, order, ROW, *incoming), key, order)
+    old = stored.join(rows.select(F.col(key).alias("_of")).distinct(), F.col(key) == F.col("_of"), "left_semi")
+    old = old.select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_old_{c}") for c in keep if c != key], F.lit(True).alias("_old")
     )
+    if set(keep) <= {key, "id", "created_at"}:
+        old = thin_side(stage(old))
     is_new = F.col("_old").isNull()
 
     def value(c: str) -> Column:
@@ -106,12 +124,14 @@ def upsert(
 
     Later rows of a batch win; ``id`` and ``created_at`` of a stored row stay, ``updated_at`` is
     ``as_of``. ``update_cols`` limits what an update changes. New rows get no id here, see
-    :func:`assign_ids`. Untouched rows only meet the keys of the batch, so a batch that is small
-    next to the table moves none of the table's content. The batch is read twice: stage it first.
+    :func:`assign_ids`. Untouched rows only meet the keys of the batch: one that is small next to the
+    table moves none of the table's content, and a large one moves it without sorting it, or not at all
+    where the table is stored in buckets of the key (:func:`tables.write_bucketed`).
     """
+    batch = with_rows(batch)
     touched = touched_rows(stored, batch, as_of, key, order, update_cols).select(*stored.columns, "is_new", "first_seq")
-    keys = accepted(batch).select(key).distinct()
-    rest = stored.join(keys, key, "left_anti").select(
+    keys = thin_side(stage(accepted(batch).select(F.col(key).alias("_key")).distinct()))
+    rest = stored.join(keys, F.col(key) == F.col("_key"), "left_anti").select(
         *stored.columns, F.lit(False).alias("is_new"), F.lit(None).cast("bigint").alias("first_seq")
     )
     return touched.unionByName(rest)

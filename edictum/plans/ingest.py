@@ -15,7 +15,7 @@ from edictum.operators.linkage import link_by_url
 from edictum.operators.listing import first_items, item_order, parse_list_pages, recent_items
 from edictum.operators.requests import without_blocked_runs
 from edictum.operators.robots import allowed_only
-from edictum.operators.upsert import assign_ids, run_log, upsert
+from edictum.operators.upsert import ROW, assign_ids, run_log, upsert, with_rows
 from edictum.session import stage
 
 
@@ -117,10 +117,10 @@ def ingest(
     The batch is staged once: both merges, the statistics and the log read it, and page extraction
     must not run again for each.
     """
-    batch = stage(table_columns(batch))
+    batch = with_rows(table_columns(batch))
     merged = upsert(stored, batch, now, update_cols=update_cols)
     return Ingest(
-        batch=batch,
+        batch=batch.drop(ROW),
         policies=assign_ids(merged, stored),
         feed=merge_feed(existing_feed, batch, now),
         log=run_log(batch, stored, task_name, now, now),

@@ -10,7 +10,7 @@ from edictum.operators.details import parse_documents
 from edictum.operators.linkage import link_by_title, match_titles
 from edictum.operators.listing import item_order, list_items, pages_with_source
 from edictum.operators.stats import build_report
-from edictum.operators.upsert import assign_ids, upsert
+from edictum.operators.upsert import assign_ids, upsert, with_rows
 from edictum.plans.ingest import table_columns
 from edictum.session import stage
 
@@ -35,7 +35,7 @@ def build_policies(items: DataFrame, documents: DataFrame, sources: DataFrame) -
 
 def store_policies(batch: DataFrame, stored: DataFrame, now: Column) -> DataFrame:
     """The policy table after an offline build: its rows, all in force, merged by URL."""
-    rows = stage(table_columns(batch.withColumn("validity_status", F.lit(VALID))))
+    rows = with_rows(table_columns(batch.withColumn("validity_status", F.lit(VALID))))
     return assign_ids(upsert(stored, rows, now), stored)
 
 

@@ -130,6 +130,17 @@ def write_policies(policies: DataFrame, path: str) -> None:
     policies.repartitionByRange(month, F.xxhash64("source_url")).write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(policies: DataFrame, name: str, path: str, buckets: int, key: str = "source_url") -> DataFrame:
+    """Write the policy table in buckets of its key, as a table of the catalog, and read it back.
+
+    A merge then deals out only the batch: stored rows meet its keys bucket by bucket, in place. With as
+    many buckets as shuffles have partitions, or more.
+    """
+    dealt = policies.repartition(buckets, key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    return policies.sparkSession.table(name)
+
+
 def append_requests(log: DataFrame, path: str) -> None:
     """Append to the request log, stored by day: old days go by dropping their folder."""
     log.withColumn("day", F.to_date("ts")).write.mode("append").partitionBy("day").parquet(path)

@@ -15,6 +15,7 @@ from edictum.functions.dates import parse_date
 from edictum.functions.text import first_nonblank
 from edictum.operators.details import parse_documents
 from edictum.operators.enrichment import prepare_policies
+from edictum.operators.skew import thin_side
 from edictum.operators.upsert import accepted, latest_per_key
 from edictum.session import stage
 from edictum.sources.tables import path_exists
@@ -33,19 +34,26 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
 def current_rows(changes: DataFrame, key: str = "source_url") -> DataFrame:
     """The table after all changes: last values, creation time and first position of the first.
 
-    ``received_at`` of the first change is the creation time, that of the last the update time.
+    ``received_at`` of the first change is the creation time, that of the last the update time. Only URLs
+    and batches are aggregated; a URL that changed once keeps its row as it is.
     """
-    values = [c for c in changes.columns if c not in (key, "batch", "first_seq", "received_at", "seq")]
-    return (
-        changes.groupBy(key)
-        .agg(
-            F.max_by(F.struct(*values), "batch").alias("row"),
-            F.min_by("received_at", "batch").alias("created_at"),
-            F.max("received_at").alias("updated_at"),
-            F.min_by("first_seq", "batch").alias("first_seq"),
-            F.count(F.lit(1)).alias("changes"),
-        )
-        .select(key, "row.*", "created_at", "updated_at", "first_seq", "changes")
+    own = [c for c in changes.columns if c not in (key, "batch", "first_seq", "received_at", "seq")]
+    keys = changes.groupBy(F.col(key).alias("_key")).agg(
+        F.max("batch").alias("_last"),
+        F.min("batch").alias("_first"),
+        F.count(F.lit(1)).alias("_changes"),
+    )
+    firsts = changes.select(F.col(key).alias("_of"), F.col("batch").alias("_batch"), F.col("received_at").alias("_created"), F.col("first_seq").alias("_seq"))
+    same = (F.col("_key") == F.col("_of")) & (F.col("_first") == F.col("_batch"))
+    repeated = thin_side(stage(keys.where("_changes > 1").join(firsts, same).drop("_of", "_batch", "_first")))
+    rows = changes.join(repeated, F.col(key) == F.col("_key"), "left").where(F.col("_last").isNull() | (F.col("batch") == F.col("_last")))
+    return rows.select(
+        key,
+        *own,
+        F.coalesce("_created", "received_at").alias("created_at"),
+        F.col("received_at").alias("updated_at"),
+        F.coalesce("_seq", "first_seq").alias("first_seq"),
+        F.coalesce("_changes", F.lit(1)).alias("changes"),
     )
 
 

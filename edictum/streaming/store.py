@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from edictum import schemas
 from edictum.operators.feed import feed_url, merge_feed, positioned_feed
 from edictum.operators.numbering import number_rows
-from edictum.operators.upsert import accepted, assign_ids, run_log, touched_rows
+from edictum.operators.upsert import accepted, assign_ids, run_log, touched_rows, with_rows
 from edictum.schemas import FEED_COLUMNS
 from edictum.session import stage
 from edictum.sources.tables import commit_file, empty, path_exists
@@ -128,7 +128,7 @@ def ingest_batch(store: Store, batch: DataFrame, batch_id: int, task_name: str,
         return False
     commits = store.commits()
     last = commits[-1] if commits else Commit(-1, {})
-    rows = stage(batch)
+    rows = with_rows(batch)
     urls = stage(accepted(rows).select(F.col("source_url").alias("_key")).distinct())
     stored = stage(store.of_keys("policies", urls))
     touched = stage(touched_rows(stored, rows, now, update_cols=update_cols))

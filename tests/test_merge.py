@@ -248,7 +248,50 @@ def test_shared_folder_is_the_sessions(spark):
     assert shared_dir(spark) == shared_dir(spark)
 
 
-def test_merge_combines_copies_before_the_shuffle(spark):
-    batch = spark.createDataFrame([(0, "a", "A", "1", "")], BATCH)
-    plan = upsert.latest_per_key(batch)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Aggregate") >= 2 and plan.index("partial_max_by") > plan.index("Exchange hashpartitioning")
+def test_last_rows_of_a_batch_are_picked_in_place(spark):
+    """Keys and positions were aggregated to know which rows stay; the rows themselves are only filtered."""
+    batch = spark.createDataFrame([(0, "a", "A", "1", ""), (1, "a", "B", "2", ""), (2, "b", "C", "3", "")], BATCH)
+    last = upsert.latest_per_key(batch)
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange hashpartitioning" not in plan
+    assert sorted((r.source_url, r.title, r.first_seq) for r in last.collect()) == [("a", "B", 0), ("b", "C", 2)]
+
+
+# ---------------------------------------------------------------- plans of the merge
+
+
+def plan_of(df):
+    df.collect()  # adaptive plans are final after the run
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def content_lines(plan, word):
+    return [line for line in plan.splitlines() if word in line and "content" in line]
+
+
+def test_a_merge_neither_sorts_nor_aggregates_content(spark, monkeypatch):
+    from edictum.operators import skew
+
+    rows = [(i, f"https://a/{i % 700}", f"t{i}", "x" * 50, "n") for i in range(1500)]
+    batch = spark.createDataFrame(rows, "seq bigint, source_url string, title string, content string, doc_number string")
+    stored = spark.createDataFrame([(i, f"https://a/{i}", "t", "c", "n", NOW_TS, NOW_TS) for i in range(300, 2000)],
+                                   "id bigint, source_url string, title string, content string, doc_number string, created_at string, updated_at string")
+    want = {f"https://a/{u}": f"t{u + 1400 if u < 100 else u + 700}" for u in range(700)} | {f"https://a/{i}": "t" for i in range(700, 2000)}
+    monkeypatch.setattr(skew.thin_side, "__defaults__", (10,))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = upsert.upsert(stored, batch, F.lit(NOW_TS))
+        assert {r.source_url: r.title for r in merged.collect()} == want
+        plan = plan_of(merged)
+        for word in ("SortAggregate", "ObjectHashAggregate", "Sort ["):
+            assert not content_lines(plan, word), word
+        assert "ShuffledHashJoin" in plan
+        table = tables.write_bucketed(stored, "policies_in_buckets", f"{shared_dir(spark)}/buckets-{random.random()}", 8)
+        rest = upsert.upsert(table, batch, F.lit(NOW_TS)).where("NOT is_new AND first_seq IS NULL")
+        assert rest.count() == 1300
+        assert "Bucketed: true" in plan_of(rest) and not content_lines(plan_of(rest), "Exchange")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+NOW_TS = "2025-01-01 00:00:00"
