@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog import AS_OF, Tables, query
+from catalog.merge import scratch
 from edictum.functions.dates import clamp_int, validity_status
 from edictum.functions.text import json_list, preview, scrub_pii
 from edictum.functions.urls import attachment_name
-from edictum.operators import enrichment, scenarios, search, stats
+from edictum.operators import enrichment, grams, scenarios, search, stats
 from edictum.operators.numbering import number_rows
-from edictum.session import stage
 from edictum.operators.registry import source_table
+from edictum.session import stage
+from edictum.sources import tables
 
 DAY = "CAST(publish_date AS STRING) AS publish_date"
 
@@ -40,6 +43,38 @@ def _(t: Tables):
     return keyed(search.search(t.view("v_policies"), keyword=" the "))
 
 
+def stored(t: Tables) -> tuple[DataFrame, str]:
+    """The policy table as files, and an index of its grams built in two steps."""
+    path = scratch(t, "policies")
+    rows = t.view("v_policies")
+    tables.write_policies(rows.where("publish_date < DATE '2025-01-01'"), f"{path}/rows/a")
+    table = t.spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{path}/rows")
+    grams.update_index(table, f"{path}/index")
+    tables.write_policies(rows.where("NOT coalesce(publish_date < DATE '2025-01-01', false)"), f"{path}/rows/b")
+    table = t.spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{path}/rows")
+    grams.update_index(table, f"{path}/index")
+    return table, f"{path}/index"
+
+
+WORDS = ("废止%the", "药品追溯码", "SRC1〔2021〕")
+ANY_WORD = " OR ".join(f"{c} ILIKE '%{w}%'" for w in WORDS for c in ("title", "content", "doc_number"))
+
+
+@query("search_keyword_indexed", f"{KEYED} WHERE {ANY_WORD}")
+def _(t: Tables):
+    """Three keywords, one with a wildcard, by the gram index of the stored table."""
+    table, index = stored(t)
+    found = [grams.search_stored(table, index, w) for w in WORDS]
+    return keyed(found[0].unionByName(found[1]).unionByName(found[2])).distinct()
+
+
+@query("policy_lookup_stored", f"{KEYED} WHERE source_url = 'https://www.src2.example.org/art/2.html' OR id = 7")
+def _(t: Tables):
+    """One URL and one id, looked up in the stored table by its bloom filters."""
+    table, _index = stored(t)
+    return keyed(search.by_url(table, "https://www.src2.example.org/art/2.html").unionByName(search.by_id(table, 7)))
+
+
 @query("search_keyword_wildcard", f"{KEYED} WHERE title ILIKE '%t_e%' OR content ILIKE '%t_e%' OR doc_number ILIKE '%t_e%'")
 def _(t: Tables):
     return keyed(search.search(t.view("v_policies"), keyword="T_e"))

@@ -16,6 +16,8 @@ NAMED = {
     "attachment_text": schemas.ATTACHMENT_TEXT,
 }
 
+GROUP_BYTES = 32 << 20  # of a row group: what a lookup reads at least
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -124,10 +126,18 @@ def append_log(log: DataFrame, path: str) -> None:
         files.rename(part.getPath(), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"part-{top + 1:012d}.parquet"))
 
 
-def write_policies(policies: DataFrame, path: str) -> None:
-    """Write a snapshot of the policy table, clustered by month so that date ranges skip files."""
+def write_policies(policies: DataFrame, path: str, lookups: tuple[str, ...] = ("source_url", "id"), group_bytes: int = GROUP_BYTES) -> None:
+    """Write a snapshot of the policy table, clustered by month so that date ranges skip files.
+
+    Each row group carries a bloom filter for the columns of ``lookups``, sized by what it holds: one URL or
+    id is looked for in the few groups that may have it, and the rest of the table is not read.
+    """
     month = F.date_trunc("month", F.col("publish_date"))
-    policies.repartitionByRange(month, F.xxhash64("source_url")).write.mode("overwrite").parquet(path)
+    dealt = policies.repartitionByRange(month, F.xxhash64("source_url")).sortWithinPartitions(month, "source_url")
+    writer = dealt.write.mode("overwrite").option("parquet.block.size", group_bytes).option("parquet.bloom.filter.adaptive.enabled", "true")
+    for c in lookups:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    writer.parquet(path)
 
 
 def write_bucketed(policies: DataFrame, name: str, path: str, buckets: int, key: str = "source_url") -> DataFrame:
