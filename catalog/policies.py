@@ -321,9 +321,12 @@ def _(t: Tables):
     return search.page_after(undated, None, 700).select("id")
 
 
-@query("scenario_unknown", "SELECT id FROM v_policies WHERE false")
+@query("scenario_unknown", "SELECT s.scenario, count(p.id) AS policies FROM (SELECT DISTINCT concat('sc_', source) AS scenario FROM documents) s LEFT JOIN (SELECT id FROM v_policies WHERE false) p ON true GROUP BY s.scenario")
 def _(t: Tables):
-    return scenarios.scenario_policies(t.view("v_policies"), "sc_unknown").select("id")
+    """Scenarios named after the sources of the documents: none is listed, so none has policies."""
+    tagged = scenarios.tag_scenarios(t.view("v_policies")).select("scenario", F.col("id").alias("tagged"))
+    names = t.view("v_policies").select(F.concat(F.lit("sc_"), F.col("issuing_authority")).alias("scenario")).distinct()
+    return names.join(tagged, "scenario", "left").groupBy("scenario").agg(F.count("tagged").alias("policies"))
 
 
 @query("scenario_counts", f"{BLOBS}, hits AS ({HITS}) SELECT scenario, count(*) AS policies FROM hits GROUP BY scenario")

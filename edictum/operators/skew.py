@@ -5,21 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+from edictum.functions.names import fresh
+from edictum.session import stage
 
+SHARE = 1024  # a key with more than one row in so many is hot
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left", salts: int = SALTS) -> DataFrame:
-    """Join rows to a thin table with one row per key, a key's rows spread over ``salts`` tasks.
 
-    The table is repeated once per salt, which is cheap for a few columns per key; Spark still
-    broadcasts it when it is small. For tables that carry page content use a plain join and leave
-    the splitting to adaptive execution, which repeats only what is skewed.
+def hot_keys(rows: DataFrame, key: str, share: int = SHARE) -> DataFrame:
+    """(hot, parts): the keys that hold more than one of ``share`` rows, with how many shares they hold.
+
+    Rows are counted per key, added up before the shuffle. There are fewer than ``share`` such keys.
+    """
+    counts = stage(rows.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("hot")).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("decimal(38,0)")).scalar()
+    own = F.col("n").cast("decimal(38,0)") * F.lit(share)
+    return counts.where(own > total).select("hot", F.ceil(own / total).cast("int").alias("parts"))
+
+
+def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left", share: int = SHARE) -> DataFrame:
+    """Join rows to a table with one row per key, where a few keys may hold most rows.
+
+    Hot keys are counted first. A hot key's rows are spread over as many parts as it holds shares, and only
+    its row of the table is repeated, as often; all other keys are joined as they are. The result depends on
+    values alone: the part of a row comes from what it holds, so rows equal in all of it stay together.
     """
-    # The salt depends on the row's values, so that equal keys part and a retried task agrees;
-    # rows equal in all of them are left to adaptive execution.
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*_hashable(rows)), F.lit(salts)).cast("int"))
-    spread = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(spread, [key, "_salt"], how).drop("_salt")
+    part, hot, parts = fresh([*rows.columns, *table.columns], "part", "hot", "parts")
+    few = F.broadcast(stage(hot_keys(rows, key, share)).withColumnsRenamed({"hot": hot, "parts": parts}))
+    spread = F.when(F.col(parts).isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(*_hashable(rows)), F.col(parts)).cast("int"))
+    salted = rows.join(few, F.col(key) == F.col(hot), "left").withColumn(part, spread).drop(hot, parts)
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(parts), F.lit(1)) - 1))
+    repeated = table.join(few, F.col(key) == F.col(hot), "left").withColumn(part, copies).drop(hot, parts)
+    return salted.join(repeated, [key, part], how).drop(part)
 
 
 MOST_BROADCAST = 200_000

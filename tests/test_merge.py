@@ -295,3 +295,20 @@ def test_a_merge_neither_sorts_nor_aggregates_content(spark, monkeypatch):
 
 
 NOW_TS = "2025-01-01 00:00:00"
+
+
+def test_lookups_spread_hot_keys_as_counted(spark):
+    from edictum.operators import skew
+
+    rows = [(i, "hot" if i % 3 == 0 else "warm" if i % 7 == 0 else None if i % 50 == 1 else f"k{i}", i) for i in range(3000)]
+    left = spark.createDataFrame(rows, "id bigint, k string, part bigint")
+    right = spark.createDataFrame([("hot", 1), ("warm", 2), *[(f"k{i}", 100 + i) for i in range(0, 3000, 2)]], "k string, hot bigint")
+    hot = {r.hot: r.parts for r in skew.hot_keys(left, "k", 64).collect()}
+    assert set(hot) == {"hot", "warm"} and hot["hot"] > 20 and 4 < hot["warm"] < 10
+    want = {"hot": 1, "warm": 2} | {f"k{i}": 100 + i for i in range(0, 3000, 2)}
+    got = skew.lookup(left, right, "k", share=64)
+    assert sorted(got.columns) == ["hot", "id", "k", "part"]
+    assert {(r.id, r.k, r.part, r.hot) for r in got.collect()} == {(i, k, p, want.get(k)) for i, k, p in rows} and got.count() == 3000
+    gone = skew.lookup(left, right.select("k"), "k", "left_anti", share=64)
+    assert {r.id for r in gone.collect()} == {i for i, k, _ in rows if k not in want}
+    assert skew.lookup(left.limit(0), right, "k").collect() == []
