@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog import AS_OF, Tables, query
 from catalog.documents import FIELDS, SITE_ITEMS
 from catalog.lists import ITEMS
-from catalog.merge import NOW, now
+from catalog.merge import now, text
 from catalog.sqltext import strip
 from catalog.views import cte
 from edictum.operators import feed
@@ -52,11 +52,6 @@ def crawl_batch(t: Tables) -> DataFrame:
     )
 
 
-def crawl_ingest(t: Tables) -> crawl.Ingest:
-    stored = stored_policies(t)
-    return crawl.ingest(crawl_batch(t), stored, empty(t.spark, FEED + ", pos bigint"), "crawl", now())
-
-
 CRAWLED = f"""WITH {SITE_ITEMS}, {FIELDS}, batch AS (SELECT i.url AS source_url, r.title, r.doc_number,
  CASE WHEN r.issuing_authority = '' THEN concat('机构 ', i.source) ELSE r.issuing_authority END AS issuing_authority, r.publish_date,
  CASE WHEN CAST(r.publish_date AS DATE) > DATE '{AS_OF}' THEN '未生效' ELSE '有效' END AS validity_status, {SCRUBBED} AS content
@@ -72,36 +67,6 @@ def _(t: Tables):
     )
 
 
-@query(
-    "crawl_policies",
-    f"""{CRAWLED} SELECT coalesce(b.source_url, s.source_url) AS source_url, coalesce(b.title, s.title) AS title, md5(coalesce(b.content, s.content)) AS content,
-    s.id IS NULL AS added FROM stored s FULL JOIN batch b ON s.source_url = b.source_url""",
-)
-def _(t: Tables):
-    """The policy table after a crawl, from pages to merged rows."""
-    after = crawl_ingest(t).policies
-    return after.select(
-        "source_url", "title", F.md5("content").alias("content"), (F.col("created_at") == F.expr(NOW)).alias("added")
-    )
-
-
-@query(
-    "crawl_log",
-    f"{CRAWLED} SELECT 'crawl' AS task_name, count(*) AS total_fetched, count(*) FILTER (WHERE source_url NOT IN (SELECT source_url FROM stored)) AS new_added, 0 AS error_count, 'SUCCESS' AS status FROM batch",
-)
-def _(t: Tables):
-    return crawl_ingest(t).log.select("task_name", "total_fetched", "new_added", "error_count", "status")
-
-
-@query(
-    "crawl_feed",
-    f"""{CRAWLED} SELECT concat('p_', substr(sha256(source_url), 1, 12)) AS id, title, source_url AS url, publish_date, substr(content, 1, 200) AS content_preview,
-    issuing_authority AS source_site FROM batch""",
-)
-def _(t: Tables):
-    return crawl_ingest(t).feed.select("id", "title", "url", "publish_date", "content_preview", "source_site")
-
-
 # ---------------------------------------------------------------- a crawl with all its inputs
 
 RUN = "CASE WHEN page_id % 10 = 9 THEN 'x' WHEN page_id % 10 = 8 THEN 'b' ELSE 'a' END"
@@ -124,9 +89,7 @@ WITH_FILE = strip("concat(r.content, chr(10), '[附件] 附 ', CAST(r.id AS STRI
 WITH_IMAGE = strip("concat(r.with_file, chr(10), '[图片OCR] 图 ', CAST(r.id AS STRING))")
 
 
-@query(
-    "crawl_batch_full",
-    f"""WITH {SITE_ITEMS}, {FIELDS}, run_items AS (SELECT *, {RUN} AS run_id FROM site_items UNION ALL
+FULL = f"""WITH {SITE_ITEMS}, {FIELDS}, run_items AS (SELECT *, {RUN} AS run_id FROM site_items UNION ALL
      SELECT page_id + 3000000000, pos, source, title, date, url, 'b' FROM site_items WHERE {AGAIN}),
     allowed AS (SELECT *, row_number() OVER (PARTITION BY run_id, source ORDER BY page_id, pos) AS n FROM run_items
      WHERE run_id NOT IN (SELECT run_id FROM ({REQUESTS_OF_RUNS}) q WHERE status = 403) AND DATE '{AS_OF}' - CAST(date AS DATE) <= {DAYS}
@@ -135,24 +98,74 @@ WITH_IMAGE = strip("concat(r.with_file, chr(10), '[图片OCR] 图 ', CAST(r.id A
      UNION ALL SELECT *, page_id, 'b', '外题 ' FROM records WHERE {AGAIN}),
     worded AS (SELECT run_id, id, url, replace(title, '标题 ', wording) AS title, doc_number, issuing_authority, publish_date, replace(content, '标题 ', wording) AS content FROM reads),
     filed AS (SELECT *, CASE WHEN length(content) < 100 AND id % 3 <> 0 THEN {WITH_FILE} ELSE content END AS with_file FROM worded r),
-    imaged AS (SELECT * REPLACE (CASE WHEN length(content) < 100 AND length(with_file) < 100 AND id % 2 = 0 THEN {WITH_IMAGE} ELSE with_file END AS content) FROM filed r)
-    SELECT i.run_id, CAST(CAST(i.page_id AS HUGEINT) * 2147483648 + i.pos AS STRING) AS seq, i.url AS source_url, r.title, r.doc_number, r.publish_date,
+    imaged AS (SELECT * REPLACE (CASE WHEN length(content) < 100 AND length(with_file) < 100 AND id % 2 = 0 THEN {WITH_IMAGE} ELSE with_file END AS content) FROM filed r),
+    batch AS (SELECT i.run_id, CAST(i.page_id AS HUGEINT) * 2147483648 + i.pos AS seq, i.url AS source_url, r.title, r.doc_number, r.publish_date,
      CASE WHEN r.issuing_authority = '' THEN concat('机构 ', i.source) ELSE r.issuing_authority END AS issuing_authority,
-     CASE WHEN CAST(r.publish_date AS DATE) > DATE '{AS_OF}' THEN '未生效' ELSE '有效' END AS validity_status, md5({SCRUBBED}) AS content
-    FROM allowed i JOIN imaged r ON i.run_id = r.run_id AND i.url = r.url WHERE i.n <= 50""",
-)
-def _(t: Tables):
+     CASE WHEN CAST(r.publish_date AS DATE) > DATE '{AS_OF}' THEN '未生效' ELSE '有效' END AS validity_status, {SCRUBBED} AS content
+     FROM allowed i JOIN imaged r ON i.run_id = r.run_id AND i.url = r.url WHERE i.n <= 50),
+    latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_url ORDER BY seq DESC) AS n, min(seq) OVER (PARTITION BY source_url) AS first_seq FROM batch) x WHERE n = 1),
+    stored AS (SELECT * FROM v_policies WHERE id % 4 <> 0)"""
+
+
+def full_batch(t: Tables) -> DataFrame:
     """Three runs, one of them blocked, with robots files, attachment text and the default limit."""
-    batch = crawl.crawl_batch(
+    return crawl.crawl_batch(
         t.sql(cte(LISTS_OF_RUNS), parse=True), t.sql(cte(PAGES_OF_RUNS), parse=True), site_registry(t), AS_OF, days=DAYS,
         robots=t.sql(cte(ROBOTS_OF_SITES)), requests=t.sql(REQUESTS_OF_RUNS), attachment_text=t.sql(FILES_OF_SITES),
     )
-    return batch.select(
+
+
+def crawl_ingest(t: Tables) -> crawl.Ingest:
+    return crawl.ingest(full_batch(t), stored_policies(t), empty(t.spark, FEED + ", pos bigint"), "crawl", now())
+
+
+@query(
+    "crawl_batch_full",
+    f"{FULL} SELECT run_id, CAST(seq AS STRING) AS seq, source_url, title, doc_number, publish_date, issuing_authority, validity_status, md5(content) AS content FROM batch",
+)
+def _(t: Tables):
+    return full_batch(t).select(
         "run_id", F.col("seq").cast("string").alias("seq"), "source_url", "title", "doc_number", "publish_date",
         "issuing_authority", "validity_status", F.md5("content").alias("content"),
     )
 
 
+@query(
+    "crawl_policies",
+    f"""{FULL} SELECT coalesce(s.id, (SELECT max(id) FROM stored) + row_number() OVER (PARTITION BY s.id IS NULL ORDER BY b.first_seq)) AS id,
+    coalesce(b.source_url, s.source_url) AS source_url, coalesce(b.title, s.title) AS title, coalesce(b.doc_number, s.doc_number) AS doc_number,
+    coalesce(b.issuing_authority, s.issuing_authority) AS issuing_authority, CASE WHEN b.source_url IS NULL THEN CAST(s.publish_date AS STRING) ELSE b.publish_date END AS publish_date,
+    coalesce(b.validity_status, s.validity_status) AS validity_status, md5(coalesce(b.content, s.content)) AS content, CASE WHEN b.source_url IS NULL THEN s.tags ELSE '[]' END AS tags,
+    CASE WHEN s.id IS NULL THEN '2025-01-01 00:00:00' ELSE CAST(s.created_at AS STRING) END AS created_at,
+    CASE WHEN b.source_url IS NULL THEN CAST(s.created_at AS STRING) ELSE '2025-01-01 00:00:00' END AS updated_at FROM stored s FULL JOIN latest b ON s.source_url = b.source_url""",
+)
+def _(t: Tables):
+    """The policy table after the runs, from pages, robots, requests and attachments to merged rows."""
+    return crawl_ingest(t).policies.select(
+        "id", "source_url", "title", "doc_number", "issuing_authority", F.col("publish_date").cast("string").alias("publish_date"),
+        "validity_status", F.md5("content").alias("content"), F.to_json("tags").alias("tags"), *text("created_at", "updated_at"),
+    )
+
+
+@query(
+    "crawl_log",
+    f"""{FULL} SELECT 'crawl' AS task_name, count(*) AS total_fetched, count(DISTINCT source_url) FILTER (WHERE source_url NOT IN (SELECT source_url FROM stored)) AS new_added,
+    0 AS error_count, 'SUCCESS' AS status FROM batch""",
+)
+def _(t: Tables):
+    return crawl_ingest(t).log.select("task_name", "total_fetched", "new_added", "error_count", "status")
+
+
+@query(
+    "crawl_feed",
+    f"""{FULL} SELECT concat('p_', substr(sha256(source_url), 1, 12)) AS id, {strip("title")} AS title, source_url AS url, publish_date, substr(content, 1, 200) AS content_preview,
+    {strip("issuing_authority")} AS source_site, '2025-01-01 00:00:00' AS created_at, row_number() OVER (ORDER BY publish_date DESC, first_seq) - 1 AS pos FROM latest""",
+)
+def _(t: Tables):
+    """The published feed after the runs."""
+    return feed.positioned_feed(crawl_ingest(t).feed)
+
+
 # ---------------------------------------------------------------- offline build
 
 KIND = "CASE page_id % 3 WHEN 0 THEN 'nmpa' WHEN 1 THEN 'nhsa' ELSE 'nhc' END"
