@@ -140,7 +140,8 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     )
     same = F.col("doc_id").eqNullSafe(F.col(doc)) & F.col("source").eqNullSafe(F.col(source)) & (F.col(size) == F.col(words))
     sized = docs.withColumn(size, text_size())
-    out = sized.join(decided.where(F.col(times) > 0), same).select(*docs.columns, times)
+    # The plan has a row for every document: both sides are dealt out, at every size alike.
+    out = sized.join(decided.where(F.col(times) > 0).hint("merge"), same).select(*docs.columns, times)
     repeated = plan.where("rows > 1")
     if not repeated.isEmpty():
         keys = repeated.select(F.col("doc_id").alias(doc), F.col("source").alias(source), F.col("size").alias(words))
