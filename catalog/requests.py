@@ -82,6 +82,26 @@ def _(t: Tables):
     return robots.allowed_only(t.view("v_request_log").select("seq", "url"), t.view("v_robots"))
 
 
+MANY = """asked AS (SELECT event_id AS seq, concat('h', CAST(user_id % 4 AS STRING), '.example.org') AS host, concat('/p/', CAST(event_id AS STRING)) AS path, event_type FROM events),
+ruled AS (SELECT host, seq, CASE WHEN event_type = 'error' THEN 'disallow' ELSE 'allow' END AS kind,
+ CASE WHEN event_type = 'error' THEN concat('/p/', CAST((seq - seq % 10) / 10 AS INT)) ELSE path END AS prefix FROM asked WHERE event_type IN ('error', 'signup'))"""
+
+
+@query(
+    "robots_check_many_rules",
+    f"""WITH {MANY}, hits AS (SELECT a.seq, r.kind, row_number() OVER (PARTITION BY a.seq ORDER BY r.seq DESC) AS k
+     FROM asked a JOIN ruled r ON a.host = r.host AND starts_with(a.path, r.prefix))
+    SELECT a.seq, coalesce(h.kind = 'allow', true) AS allowed FROM asked a LEFT JOIN hits h ON a.seq = h.seq AND h.k = 1""",
+)
+def _(t: Tables):
+    """Robots files that grow with the log: a rule for every event that failed or signed up."""
+    asked = t.sql(f"WITH {MANY} SELECT seq, concat('https://', host, path) AS url FROM asked")
+    lines = t.sql(f"WITH {MANY} SELECT host, struct(seq, concat(kind, ': ', prefix) AS line) AS line FROM ruled")
+    listed = F.transform(F.array_sort(F.collect_list("line")), lambda r: r["line"])  # a host's group is its file
+    files = lines.groupBy("host").agg(F.concat(F.lit("User-agent: *\n"), F.array_join(listed, "\n")).alias("body"))
+    return robots.check_urls(asked, files).select("seq", "allowed")
+
+
 # ---------------------------------------------------------------- the request log
 
 

@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edictum.functions.text import trim_u
+from edictum.functions.names import fresh
+from edictum.functions.text import let, trim_u
 from edictum.functions.urls import url_host, url_path
 from edictum.operators.skew import lookup
+from edictum.session import stage
 
 AGENT = "edictum"
 _LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
-_RULES = "array<struct<kind:string,prefix:string>>"
+FEW_RULES = 256  # files of more rules are looked up by prefix
+
+
+def _rule(kind: Column, prefix: Column) -> Column:
+    return F.struct(kind.alias("kind"), prefix.alias("prefix"))
 
 
 def _lines(body: Column) -> Column:
@@ -31,23 +37,41 @@ def rule_list(body: Column, agent: str = AGENT) -> Column:
     """Ordered rules of a robots file that apply to ``agent``.
 
     A rule is left out while the latest user-agent line is a foreign one that follows a matching
-    one; rules before any matching line count. An empty value stands for ``/``.
+    one; rules before any matching line count. An empty value stands for ``/``. The lines between two
+    user-agent lines count or not as a whole and are cut out at once, so a file takes time in
+    proportion to its lines.
     """
-    start = F.struct(F.lit(None).cast("boolean").alias("ours"), F.from_json(F.lit("[]"), _RULES).alias("rules"))
 
-    def step(acc: Column, line: Column) -> Column:
-        matches = (line["value"] == "*") | (F.lower(line["value"]) == agent.lower())
-        ours = F.when(matches, F.lit(True)).when(acc["ours"], F.lit(False)).otherwise(acc["ours"])
-        rule = F.struct(
-            line["key"].alias("kind"), F.coalesce(F.nullif(line["value"], F.lit("")), F.lit("/")).alias("prefix")
+    def ours(line: Column) -> Column:
+        return (line["value"] == "*") | (F.lower(line["value"]) == agent.lower())
+
+    def rules_of(lines: Column) -> Column:
+        agents = F.filter(
+            F.transform(
+                lines,
+                lambda line, i: F.struct(i.alias("at"), (line["key"] == "user-agent").alias("agent"), ours(line).alias("ours")),
+            ),
+            lambda mark: mark["agent"],
         )
-        counts = line["key"].isin("allow", "disallow") & F.coalesce(acc["ours"], F.lit(True))
-        return F.struct(
-            F.when(line["key"] == "user-agent", ours).otherwise(acc["ours"]).alias("ours"),
-            F.when(counts, F.array_append(acc["rules"], rule)).otherwise(acc["rules"]).alias("rules"),
+        return let(agents, lambda marks: sections(lines, marks))
+
+    def sections(lines: Column, marks: Column) -> Column:
+        size = F.size(lines)
+        first = F.coalesce(F.get(F.filter(marks, lambda m: m["ours"]), F.lit(0))["at"], size)
+        top = F.slice(lines, F.lit(1), F.coalesce(F.get(marks, F.lit(0))["at"], size))
+        spans = F.transform(
+            marks,
+            lambda m, j: F.struct(
+                (m["at"] + 2).alias("from"),
+                (F.coalesce(F.get(marks, j + 1)["at"], size) - m["at"] - 1).alias("n"),
+                (m["ours"] | (m["at"] < first)).alias("counts"),
+            ),
         )
+        parts = F.transform(F.filter(spans, lambda s: s["counts"]), lambda s: F.slice(lines, s["from"], s["n"]))
+        return F.concat(top, F.flatten(parts))
 
-    return F.aggregate(_lines(body), start, step, lambda acc: acc["rules"])
+    kept = F.filter(let(_lines(body), rules_of), lambda line: line["key"].isin("allow", "disallow"))
+    return F.transform(kept, lambda line: _rule(line["key"], F.coalesce(F.nullif(line["value"], F.lit("")), F.lit("/"))))
 
 
 def disallowed_prefixes(body: Column) -> Column:
@@ -80,25 +104,64 @@ def _decide(rules: Column, path: Column, mode: str) -> Column:
     return F.try_element_at(hits, F.lit(-1))["kind"] == "allow"
 
 
+def _decide_by_prefix(paths: DataFrame, rules: DataFrame, mode: str) -> DataFrame:
+    """(key, allow) of the paths (host, path, key) that some rule of (host, rules) matches.
+
+    A path is cut at the lengths its host's prefixes have, and the cuts are looked up by equality, so
+    a path costs as many lookups as there are lengths, however many rules there are.
+    """
+    allow = F.col("kind") == "allow"
+    weight = F.length("prefix") * 2 + allow.cast("int") if mode == "longest" else F.col("seq")
+    table = stage(
+        rules.select("host", F.posexplode("rules").alias("seq", "rule"))
+        .select("host", "seq", "rule.*")
+        .select("host", "prefix", F.struct(weight.alias("weight"), allow.alias("allow")).alias("found"))
+        .groupBy("host", "prefix")
+        .agg(F.max("found").alias("found"))
+    )
+    lengths = table.groupBy("host").agg(F.collect_set(F.length("prefix")).alias("lengths"))
+    fitting = F.filter("lengths", lambda n: n <= F.length("path"))
+    cuts = lookup(paths.distinct(), lengths, "host", how="inner").select("host", "key", "path", F.explode(fitting).alias("n"))
+    cuts = cuts.select("key", _pair(F.col("host"), F.substr("path", F.lit(1), F.col("n"))).alias("cut"))
+    found = lookup(cuts, table.select(_pair(F.col("host"), F.col("prefix")).alias("cut"), "found"), "cut", how="inner")
+    return found.groupBy("key").agg(F.max("found").alias("found")).select("key", "found.allow")
+
+
+def _pair(host: Column, path: Column) -> Column:
+    """One key of both; a host holds no blank."""
+    return F.concat(host, F.lit(" "), path)
+
+
 def check_urls(
     urls: DataFrame, robots: DataFrame, agent: str = AGENT, mode: str = "last", url: str = "url"
 ) -> DataFrame:
     """``urls`` with ``allowed``: the last matching rule of the host decides, none means yes.
 
     ``mode="longest"`` lets the longest prefix decide instead; ``mode="any_disallow"`` lets any
-    Disallow line deny. Rules stay one array per host, so a URL meets its host's rules in one row,
-    and the URLs of one host are spread over several tasks.
+    Disallow line deny. A file of up to 256 rules travels with the URL as one array, so a URL meets
+    its host's rules in one row. Rules of longer files stay a table of prefixes that the distinct
+    paths are looked up in. Either way the URLs of one host are spread over several tasks.
     """
     body = F.col("body")
-    compiled = disallowed_prefixes(body) if mode == "any_disallow" else rule_list(body, agent)
-    rules = robots.select(F.col("host").alias("_host"), compiled.alias("_rules"))
-    joined = lookup(urls.withColumn("_host", url_host(F.col(url))), rules, "_host")
-    path = url_path(F.col(url), root=True)
     if mode == "any_disallow":
-        decided = ~F.exists(F.col("_rules"), lambda p: F.startswith(path, p))
+        compiled = F.transform(disallowed_prefixes(body), lambda p: _rule(F.lit("disallow"), p))
     else:
-        decided = _decide(F.col("_rules"), path, mode)
-    return joined.select(*urls.columns, F.coalesce(decided, F.lit(True)).alias("allowed"))
+        compiled = rule_list(body, agent)
+    every = stage(robots.select("host", compiled.alias("rules")))
+    many = F.size("rules") > FEW_RULES
+    host, rules, key, allow = fresh(urls, "host", "rules", "key", "allow")
+    path = url_path(F.col(url), root=True)
+    few = every.where(~many).withColumnsRenamed({"host": host, "rules": rules})
+    checked = lookup(urls.withColumn(host, url_host(F.col(url))), few, host)
+    decided = _decide(F.col(rules), path, mode)
+    long = every.where(many)
+    if not long.isEmpty():
+        keyed = urls.select(url_host(F.col(url)).alias("host"), path.alias("path"))
+        paths = keyed.join(long.select("host"), "host", "left_semi").select("*", _pair(F.col("host"), F.col("path")).alias("key"))
+        found = _decide_by_prefix(paths, long, mode).withColumnsRenamed({"key": key, "allow": allow})
+        checked = lookup(checked.withColumn(key, _pair(F.col(host), path)), found, key)
+        decided = F.coalesce(decided, F.col(allow))
+    return checked.select(*urls.columns, F.coalesce(decided, F.lit(True)).alias("allowed"))
 
 
 def allowed_only(

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -52,6 +53,59 @@ def test_hosts_without_robots_allow_all(spark):
     assert [tuple(r) for r in rules] == [("a.cn", 0, "disallow", "/")]
 
 
+def decide(rules, path, mode):
+    """Brute force: every rule against the path."""
+    hits = [(i, kind, prefix) for i, (kind, prefix) in enumerate(rules) if path.startswith(prefix)]
+    if mode == "any_disallow":
+        return not any(kind == "disallow" for _, kind, _ in hits)
+    if mode == "longest":
+        hits = sorted(hits, key=lambda h: (len(h[2]), h[1] == "allow"))
+    return not hits or hits[-1][1] == "allow"
+
+
+def test_many_rules_equal_brute_force(spark):
+    """Files on both sides of the bound, a hot host, repeated URLs and prefixes, text beyond ASCII, clashing names."""
+    rng = random.Random(5)
+
+    def path(depth):
+        return "".join("/" + rng.choice(["a", "b", "文", "d1", "é"]) for _ in range(depth))
+
+    files = {}
+    for host, n in (("hot.cn", 3000), ("edge.cn", robots.FEW_RULES), ("over.cn", robots.FEW_RULES + 1), ("few.cn", 3)):
+        files[host] = [(rng.choice(["allow", "disallow"]), path(rng.randint(1, 7))) for _ in range(n)]
+    files["hot.cn"][5] = ("disallow", "/")
+    bodies = [(h, "User-agent: *\n" + "\n".join(f"{k.title()}: {p}" for k, p in rules)) for h, rules in files.items()]
+    hosts = spark.createDataFrame([*bodies, ("null.cn", None)], ROBOTS)
+    names = ["hot.cn"] * 4 + [*files, "none.cn", "null.cn"]
+    asked = [(i, rng.choice(names), path(rng.randint(0, 9))) for i in range(600)]
+    asked += [(600 + i, "hot.cn", "/a/文") for i in range(300)]
+    rows = [(i, f"https://{h}{p}", "x", "y", "z") for i, h, p in asked] + [(900, None, "x", "y", "z")]
+    urls = spark.createDataFrame(rows, "i int, url string, host string, key string, allow string")
+    for mode in ("last", "longest", "any_disallow"):
+        checked = robots.check_urls(urls, hosts, mode=mode)
+        assert checked.columns == [*urls.columns, "allowed"]
+        found = {r.i: r for r in checked.collect()}
+        assert len(found) == len(rows) and (found[900].allowed, found[900].host, found[900].key) == (True, "x", "y")
+        for i, host, p in asked:
+            assert found[i].allowed == decide(files.get(host, []), p or "/", mode), (mode, host, p)
+
+
+def test_long_files_are_read_in_linear_time(spark):
+    """50,000 rules in 2,000 sections, every other one foreign; those before the first of ours count."""
+    lines, kept = [], []
+    for section in range(2000):
+        lines.append("User-agent: " + ("other" if section % 2 == 0 else "edictum"))
+        rules = [f"/s{section}/{i}" for i in range(25)]
+        lines += [f"Disallow: {p}" for p in rules]
+        kept += rules if section % 2 or section == 0 else []
+    hosts = spark.createDataFrame([("h.cn", "\n".join(lines))], ROBOTS)
+    start = time.monotonic()
+    found = robots.robots_rules(hosts).orderBy("seq").collect()
+    assert [r.prefix for r in found] == kept and time.monotonic() - start < 20
+    allowed = robots.check_urls(spark.createDataFrame([("https://h.cn/s4/1",), ("https://h.cn/s5/24/x",)], "url string"), hosts)
+    assert {r.url[-3:]: r.allowed for r in allowed.collect()} == {"4/1": True, "4/x": False}
+
+
 # ---------------------------------------------------------------- request log
 
 
