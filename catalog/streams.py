@@ -11,7 +11,7 @@ from catalog.jobs import SCRUBBED
 from catalog.merge import LATEST, now, scratch, text
 from catalog.views import cte
 from edictum.operators.registry import source_table
-from edictum.streaming import ingest
+from edictum.streaming import ingest, late
 from edictum.streaming.store import Store, ingest_batch, published_feed, start_runs
 
 
@@ -184,3 +184,39 @@ def _(t: Tables):
         arriving = t.spark.readStream.schema("source_url string, date string").parquet(source)
         found = ingest.run_to_files(ingest.recent_distinct(arriving, 30), out, state)
     return found
+
+
+# Three micro-batches: rows of URLs seen before, rows behind the watermark, rows without a day.
+SORTED_IN = """SELECT doc_id AS seq, concat('u', CAST(doc_id % 40 AS STRING)) AS source_url, CAST(doc_id % 3 AS INT) AS part,
+ CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 3 = 0 THEN DATE '2024-01-01' + CAST(doc_id % 10 AS INT) WHEN doc_id % 3 = 1 THEN DATE '2024-03-01' + CAST(doc_id % 10 AS INT)
+  WHEN doc_id % 4 = 1 THEN DATE '2024-01-20' ELSE DATE '2024-02-28' END AS day FROM documents"""
+
+
+def first_rows(part: int) -> str:
+    """The rows of a micro-batch by outcome, given those of the micro-batches before."""
+    before = f"(SELECT max(day) - 30 FROM e WHERE part < {part})"
+    seen = " UNION ALL ".join(f"SELECT source_url, day + 30 AS expires FROM o{p} WHERE outcome = 'new'" for p in range(part))
+    known = f"source_url IN (SELECT source_url FROM ({seen}) s WHERE expires > {before})" if part else "false"
+    is_late = f"day < {before}" if part else "false"
+    return f"""o{part} AS (SELECT seq, source_url, day, part, CASE WHEN day IS NULL THEN 'undated' WHEN is_late THEN 'late' WHEN known OR n > 1 THEN 'repeated' ELSE 'new' END AS outcome
+     FROM (SELECT *, row_number() OVER (PARTITION BY source_url, day IS NULL OR is_late ORDER BY day, seq) AS n
+      FROM (SELECT *, coalesce({is_late}, false) AS is_late, {known} AS known FROM e WHERE part = {part}) x) y)"""
+
+
+@query(
+    "stream_rows_sorted_out",
+    f"""WITH e AS ({SORTED_IN}), {", ".join(first_rows(p) for p in range(3))}
+    SELECT seq, source_url, CAST(day AS STRING) AS day, outcome, CAST(part AS BIGINT) AS batch FROM (SELECT * FROM o0 UNION ALL SELECT * FROM o1 UNION ALL SELECT * FROM o2) x""",
+)
+def _(t: Tables):
+    """Every row that came in, by what became of it; the second micro-batch is handed in once more at the end."""
+    source, out, state = (scratch(t, n) for n in ("sorted-in", "sorted-out", "sorted-state"))
+    rows = t.sql(SORTED_IN)
+    for part in range(3):
+        own = rows.where(F.col("part") == part).drop("part")
+        own.write.mode("append").parquet(source)
+        arriving = t.spark.readStream.schema(own.schema).parquet(source)
+        late.start_rows(arriving, out, state, "day", 30).awaitTermination()
+    late.ingest_rows(rows.where("part = 1").drop("part"), 1, out, "day", 30)
+    found = late.read_rows(t.spark, out)
+    return found.select("seq", "source_url", *text("day"), "outcome", F.col("batch").cast("bigint").alias("batch"))

@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edictum.functions.dates import validity_status
-from edictum.functions.text import scrub_pii, trim_u
+from edictum.functions.names import fresh
+from edictum.functions.text import let, scrub_pii, trim_u
+from edictum.session import stage
 
 SHORT = 100
 # Markers before added text.
@@ -39,7 +41,8 @@ def enrich_content(
 
     All attachments with text are appended in order; a Word file counts only if it has a local
     file, a PDF always. If the content is still short, the first image with text follows. ``key``
-    identifies a row. Long rows take part in no join; only (key, links) of the short ones do.
+    identifies a row. What is joined are links with texts. Long rows take part in no join, and short
+    ones stay where they are, raw page and all, if Spark finds the staged texts they get to be small.
     """
     content = F.coalesce(F.col("content"), F.lit(""))
     short = policies.where(F.length(content) < SHORT)
@@ -68,18 +71,17 @@ def enrich_content(
         F.array_join(F.transform(in_order, lambda e: F.concat(F.lit(ATTACHMENT_MARK), e["text"])), "").alias("docs"),
         F.min_by("text", F.when(F.col("kind") == "image", F.col("pos"))).alias("image"),
     )
-    with_docs = F.when(F.coalesce("docs", F.lit("")) != "", trim_u(F.concat(content, F.col("docs")))).otherwise(content)
-    with_image = F.when(
-        (F.length("_text") < SHORT) & F.col("image").isNotNull(),
-        trim_u(F.concat(F.col("_text"), F.lit(IMAGE_MARK), F.col("image"))),
-    ).otherwise(F.col("_text"))
-    extended = (
-        short.join(added, key, "left")
-        .withColumn("_text", with_docs)
-        .withColumn("content", with_image)
-        .select(*policies.columns)
+    of, docs, image = fresh(policies, "of", "docs", "image")
+    added = stage(added.select(F.col(key).alias(of), F.col("docs").alias(docs), F.col("image").alias(image)))
+    with_docs = F.when(F.coalesce(docs, F.lit("")) != "", trim_u(F.concat(content, F.col(docs)))).otherwise(content)
+    with_image = let(
+        with_docs,
+        lambda text: F.when(
+            (F.length(text) < SHORT) & F.col(image).isNotNull(), trim_u(F.concat(text, F.lit(IMAGE_MARK), F.col(image)))
+        ).otherwise(text),
     )
-    return extended.unionByName(policies.where(F.length(content) >= SHORT))
+    extended = short.join(added, F.col(key) == F.col(of), "left").withColumn("content", with_image)
+    return extended.select(*policies.columns).unionByName(policies.where(F.length(content) >= SHORT))
 
 
 def prepare_policies(policies: DataFrame, as_of, scrub: bool = True) -> DataFrame:

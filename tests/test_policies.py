@@ -125,6 +125,24 @@ def test_audit(policies):
     assert stats.policy_audit(policies, approximate=True).collect()[0].duplicate_urls == 0
 
 
+def test_audit_of_parts_equals_the_audit_of_all(spark, policies):
+    """Parts that share URLs, a part without rows, a table without parts."""
+    rows = spark.range(3000).selectExpr(
+        "IF(id % 7 = 0, NULL, 't') AS title", "concat('https://a/', CAST(id % 2000 AS STRING)) AS source_url",
+        "IF(id % 5 = 0, '2024-02-30', '2024-02-03') AS publish_date", "'A' AS issuing_authority", "IF(id % 3 = 0, '', 'c') AS content",
+    )
+    cuts = ["source_url < 'https://a/15'", "source_url >= 'https://a/15'", "false"]
+    parts = [stats.audit_part(rows.where(c)) for c in cuts]
+    whole = stats.audit_of_parts(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(stats.audit_part(rows.limit(0)))).first()
+    exact = stats.policy_audit(rows).first().asDict()
+    for name, value in exact.items():
+        assert whole[name] == value or (name == "duplicate_urls" and abs(whole[name] - value) <= 60), name
+    assert exact["duplicate_urls"] == 1000
+    doubled = stats.audit_of_parts(parts[0].unionByName(parts[0])).first()
+    assert abs(doubled.duplicate_urls / doubled.total - 0.5) < 0.25
+    assert set(stats.audit_of_parts(parts[0].limit(0)).first().asDict().values()) == {0}
+
+
 def test_status_follows_the_date(policies):
     early = enrichment.recompute_validity(policies, "2025-01-01").orderBy("id").collect()
     assert [r.validity_status for r in early] == ["未生效", "未生效", "有效", "有效", "有效"]
