@@ -9,12 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from edictum.llm.common import table, utf8
+from edictum.llm.common import stage, table, utf8
 
-# The cut rule looks at bits 8 to 12 of the hash: they depend on the last 13 bytes, and one place in 32 is a cut.
-CUT_BITS = 0x1F00
+# The cut rule looks at bits 9 to 12 of the hash: they depend on the last 13 bytes, and one place in 16 is a cut.
+CUT_BITS = 0x1E00
 LEAST_GAP = 8
 LONGEST = 256
+SHARE = 1024  # a digest with more than one in so many of the repeated chunks is dealt out
 LEAST_WORDS = 20  # words of a repeated passage that whole chunks must cover
 
 
@@ -109,18 +110,28 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
 
     A chunk is repeated where its digest occurs in a document of a smaller id; the smallest keeps it.
     Neighbouring repeated chunks are one passage, reported if at least ``least_words`` words begin
-    in it. Whole chunks alone count, so up to two chunks of a copied passage stay outside. Digests
-    have 64 bits; one that agrees by chance can lengthen a passage by a chunk but not make one.
-
-    Digests are counted before anything is joined, and only chunks that do repeat go on. A line that
-    very many documents share is one row per task in the count; its chunks are split where they are
-    joined. Documents without an id can be neither named nor kept and are left out; so are repeated
-    rows of one document, and NULL or empty texts have no chunks.
+    in it. Whole chunks alone count, so the stretch before the first and after the last cut of a copied
+    passage stays outside: some 4 words at either end. Digests have 64 bits; one that agrees by chance
+    can lengthen a passage by a chunk but not make one.
+
+    Digests are counted before anything is joined, added up in each task first, and only chunks that do
+    repeat go on. A digest with more than one of ``SHARE`` of them is dealt over as many tasks as it holds
+    shares, and only its one row of owners is copied, as often. Documents without an id can be neither
+    named nor kept and are left out; so are repeated rows of one document, and NULL or empty texts have
+    no chunks.
     """
     pieces = chunks(docs)
-    owners = pieces.groupBy("digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last")
-    owners = owners.select(F.col("digest").alias("o_digest"), "owner")
-    again = pieces.join(owners, (F.col("digest") == F.col("o_digest")) & (F.col("doc_id") > F.col("owner")))
+    counted = pieces.groupBy("digest").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n"))
+    owners = stage(counted.where("owner < last").select(F.col("digest").alias("o_digest"), "owner", "n"), "owners")
+    total = owners.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    share = max(total // SHARE, 1)
+    parts = F.when(F.col("n") > share, F.ceil(F.col("n") / share)).otherwise(1).cast("int")
+    hot = owners.where(F.col("n") > share).select(F.col("o_digest").alias("h_digest"), parts.alias("parts"))  # fewer than SHARE
+    dealt = pieces.join(F.broadcast(hot), F.col("digest") == F.col("h_digest"), "left")
+    dealt = dealt.withColumn("part", F.coalesce(F.pmod(F.xxhash64("doc_id", "place"), "parts"), F.lit(0)).cast("int"))
+    copies = owners.select("o_digest", "owner", F.explode(F.sequence(F.lit(0), parts - 1)).alias("o_part"))
+    same = (F.col("digest") == F.col("o_digest")) & (F.col("part") == F.col("o_part"))
+    again = dealt.join(copies, same & (F.col("doc_id") > F.col("owner")))
     again = again.select("doc_id", "place", "owner").repartition("doc_id").groupBy("doc_id", "place").agg(F.min("owner").alias("owner"))
     first = F.shiftright("place", 20)
     size = F.shiftright("place", 9).bitwiseAND(F.lit(0x7FF))

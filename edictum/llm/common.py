@@ -43,11 +43,15 @@ def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     # What the write shuffled is not read again: its files go when it ends.
+    before = spark.conf.get(_CLEAN_UP, None)
     spark.conf.set(_CLEAN_UP, "true")
     try:
         df.write.options(**options).parquet(path)
     finally:
-        spark.conf.unset(_CLEAN_UP)
+        if before is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, before)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     staged = spark.read.schema(df.schema).parquet(path)

@@ -86,6 +86,37 @@ def test_passages_against_brute_force(spark):
     assert chunks.repeated_passages(docs.limit(0)).collect() == []
 
 
+def test_hot_digests_dealt_out_or_not(spark, monkeypatch):
+    """One line begins two thirds of the documents: the same rows whether its chunks are dealt out or stay together."""
+    prepare(spark)
+    line = words(30, 7)
+    docs = spark.createDataFrame([(i, (line + " " if i % 3 else "") + words(10, 1000 + i)) for i in range(300)], "doc_id bigint, text string")
+    found = []
+    for share in (1024, 8, 1):
+        monkeypatch.setattr(chunks, "SHARE", share)
+        found.append(sorted(map(tuple, chunks.repeated_passages(docs).collect())))
+    assert found[0] == found[1] == found[2] and {r[0] for r in found[0]} == {i for i in range(300) if i % 3 and i > 1}
+
+
+def test_passages_of_50_to_60_words_are_found(spark):
+    """400 passages, each in two documents between words of their own, held against where they were put."""
+    prepare(spark)
+    rng, planted, docs = random.Random(4), {}, []
+    for i in range(400):
+        passage = words(rng.randint(50, 60), 5000 + i)
+        for copy in range(2):
+            before = words(rng.randint(1, 40), 10_000 + 2 * i + copy)
+            docs.append((2 * i + copy, f"{before} {passage} {words(20, 20_000 + 2 * i + copy)}"))
+        planted[2 * i + 1] = (len(before) + 1, len(before) + 1 + len(passage))
+    docs += [(10_000 + i, words(120, 40_000 + i)) for i in range(100)]
+    rows = chunks.repeated_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert {r.doc_id for r in rows} <= set(planted)
+    for r in rows:
+        assert planted[r.doc_id][0] - 12 <= r.first_byte and r.end_byte <= planted[r.doc_id][1] + 12
+        assert r.words <= 62 and r.kept_in == [r.doc_id - 1]
+    assert len({r.doc_id for r in rows}) >= 0.99 * len(planted)
+
+
 def test_cut_texts(spark):
     prepare(spark)
     docs = spark.createDataFrame(rows(), SCHEMA)
