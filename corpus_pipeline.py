@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Five-word shingles, similarity 0.8 and more: the document with the smallest id of each group stays."""
+    """SimHash of five-word shingles in BK-trees, checked at similarity 0.8 and more: the smallest id of each group stays."""
     prepare(spark)
     return minhash.one_of_each(docs)
 

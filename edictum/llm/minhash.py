@@ -1,4 +1,7 @@
-"""Near copies by Jaccard similarity of word shingles: MinHash bands, then an exact check."""
+"""Near copies by SimHash fingerprints in BK-trees, then an exact check of the Jaccard similarity.
+
+Pairs beyond the radius of the fingerprints come by MinHash bands and go through the same check.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 
 from edictum.llm.common import stage, table, utf8
 from edictum.llm.components import connected, keep_ids
-from edictum.llm.simhash import shingle_hashes
+from edictum.llm.simhash import RADIUS, near_links, print_of, shingle_hashes
 
 SHINGLE = 5
 LEAST = 0.8  # shared shingles over all shingles of a pair of near copies
@@ -52,21 +55,22 @@ def band_keys(hashes: np.ndarray) -> list[int]:
     return np.array(bands, np.uint64).view(np.int64).tolist()
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("fp", pa.int64()), ("bands", pa.list_(pa.int64()))])
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, bands) of whole texts; ``node`` is a digest of the shingle set, ``n`` its size."""
+    """(doc_id, node, n, fp, bands) of whole texts; ``node`` is a digest of the shingle set, ``n`` its size, ``fp`` its SimHash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py()) for t in batch.column(1)]
-            columns = {"doc_id": batch.column(0), "node": [set_digest(s) for s in sets], "n": [len(s) for s in sets], "bands": [band_keys(s) for s in sets]}
-            yield table(columns, _SIGNED)
+            prints = np.array([print_of(s) for s in sets], np.uint64).view(np.int64)
+            columns = {"doc_id": batch.column(0), "node": [set_digest(s) for s in sets], "n": [len(s) for s in sets]}
+            yield table(columns | {"fp": prints, "bands": [band_keys(s) for s in sets]}, _SIGNED)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), utf8().alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, node bigint, n bigint, bands array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, node bigint, n bigint, fp bigint, bands array<bigint>")
 
 
 def similar_links(nodes: list[int], sets: list[np.ndarray], own: list[int], across: bool, least: float = LEAST) -> list[tuple[int, int]]:
@@ -108,9 +112,17 @@ def similar_links(nodes: list[int], sets: list[np.ndarray], own: list[int], acro
     return links
 
 
-def candidates(distinct: DataFrame) -> DataFrame:
-    """(node, root) of the sets that share a band key with another, directly or through others."""
-    keyed = distinct.select("node", F.explode("bands").alias("key"))
+def candidates(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(node, root) of the sets whose fingerprints lie within the radius or that share a band key, directly or through others.
+
+    Fingerprints are compared in BK-trees, each different one once; those that hang together are one
+    key, beside the keys of the bands. Texts without words are equal already and are not looked up.
+    """
+    prints = distinct.where("n > 0").select("fp").distinct()
+    near = connected(near_links(prints, radius)).select(F.col("node").alias("f_node"), F.col("root").alias("f_root"))
+    placed = distinct.where("n > 0").join(near, F.col("fp") == F.col("f_node"), "left")
+    print_key = F.xxhash64(F.coalesce("f_root", "fp"), F.lit(BANDS))
+    keyed = placed.select("node", F.explode(F.concat(F.array(print_key), "bands")).alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last").select(F.col("key").alias("s_key"), "b")
     return connected(keyed.join(shared, F.col("key") == F.col("s_key")).select(F.col("node").alias("a"), "b"))
 
@@ -164,11 +176,11 @@ def components(docs: DataFrame, least: float = LEAST, shard: int = SHARD) -> Dat
     """(doc_id, component_id) of every document; component_id is the smallest doc_id reachable over near copies.
 
     Two texts are near copies if their sets of five-word shingles have a Jaccard similarity of at
-    least ``least``, or are equal; texts without words are equal. A pair is compared exactly if it
-    shares one of 32 bands, or is joined by others that do.
+    least ``least``, or are equal; texts without words are equal. A pair is compared exactly if its
+    SimHash fingerprints lie within the radius, if it shares one of 32 bands, or is joined by others that do.
     """
     signed = stage(signatures(docs), "signatures")
-    distinct = stage(signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "distinct")
+    distinct = stage(signed.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "distinct")
     rooted = connected(checked_links(docs, distinct, candidates(distinct), least, shard))
     placed = distinct.select("node", "doc_id").join(rooted.withColumnRenamed("node", "r_node"), F.col("node") == F.col("r_node"), "left")
     placed = placed.select("node", "doc_id", F.coalesce("root", "node").alias("root"))

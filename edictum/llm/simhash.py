@@ -40,7 +40,11 @@ def shingle_hashes(text: bytes, size: int = SHINGLE, seed: int = SEED) -> np.nda
 
 def fingerprint(text: bytes) -> int:
     """64 bits, each 1 if set in over half the shingles' hashes; 0 for a text without words."""
-    hashes = shingle_hashes(text)
+    return print_of(shingle_hashes(text))
+
+
+def print_of(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes."""
     n, ones = len(hashes), np.zeros(64, np.int64)
     for a in range(0, n, 1 << 16):
         part = hashes[a : a + (1 << 16)]

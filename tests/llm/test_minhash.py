@@ -1,9 +1,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from edictum.llm import minhash
+from edictum.llm import minhash, simhash
 from edictum.llm.common import prepare
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -114,3 +115,20 @@ def test_bands_of_pairs_at_four_fifths():
         h = rng.integers(0, 1 << 63, 120, np.uint64)
         missed += not set(minhash.band_keys(h[:108])) & set(minhash.band_keys(np.r_[h[12:]]))
     assert missed == 0
+
+
+def test_simhash_alone_offers_candidates(spark):
+    """Without any band, pairs within the radius of their fingerprints still come to the exact check."""
+    prepare(spark)
+    found = rows()
+    docs = spark.createDataFrame(found, "doc_id bigint, text string")
+    signed = minhash.signatures(docs).withColumn("bands", F.array().cast("array<bigint>"))
+    signed = signed.localCheckpoint()
+    rooted = minhash.candidates(signed)
+    got = {frozenset((r.a, r.b)) for r in minhash.checked_links(docs, signed, rooted).collect()}
+    of = {r.doc_id: (r.node, r.fp & (2**64 - 1)) for r in signed.collect()}
+    near = {i for i in range(300) if (of[i][1] ^ of[1000 + i][1]).bit_count() <= simhash.RADIUS}
+    assert len(near) > 60
+    assert got == {frozenset((of[i][0], of[1000 + i][0])) for i in near if of[i][0] != of[1000 + i][0]}
+    texts = dict(found)
+    assert all(jaccard(texts[i], texts[1000 + i]) >= 0.8 for i in near)
