@@ -48,6 +48,27 @@ def test_title_containment_against_all_pairs(spark):
     assert {r.url: r.item_url for r in got} == want and len(got) == len(want) > 40
 
 
+def test_long_titles_are_looked_up_at_few_places(spark):
+    """Copies of every length, also periodic ones, within long titles; only chosen places of these are dealt out."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh药品 ") for _ in range(rng.randint(2, 7)))
+    line = lambda n: " ".join(word() for _ in range(n))
+    titles = [line(rng.choice([1, 3, 8, 20, 150])) for _ in range(150)] + ["The " * n for n in (3, 40, 90)] + ["ab" * 300]
+    docs = [doc(i, "s", f"d{i}", t) for i, t in enumerate(titles)]
+    items = []
+    for i, t in enumerate(titles):
+        a = rng.randrange(len(t))
+        b = rng.randint(a + 1, len(t))
+        items.append((i, 0, "s", f"i{i}", t[a:b] if i % 2 else f"{line(2)}{t}{line(90)}", ""))
+    got = linkage.match_titles(spark.createDataFrame(items, ITEMS), spark.createDataFrame(docs, DOCS)).collect()
+    want = brute_matches(items, docs)
+    assert {r.url: r.item_url for r in got} == want and len(got) == len(want) > 140
+
+    texts = spark.createDataFrame([("s", t, i) for i, t in enumerate(titles)], "grp string, text string, id bigint")
+    widths = spark.createDataFrame([("s", 24), ("s", 8)], "grp string, k int")
+    assert linkage._anchors(texts, widths).count() < 0.5 * sum(map(len, titles))
+
+
 def test_link_by_title_gives_the_document_to_the_matched_row_only(spark):
     items = spark.createDataFrame([(1, 0, "nhsa", "u1", "关于某事的通知", "2026-01-01"), (1, 1, "nhsa", "u2", "另一通知", "")], ITEMS)
     docs = spark.createDataFrame([doc(5, "nhsa", "d1", "国家局关于某事的通知全文", "办公厅"), doc(6, "nhsa", "d2", "")], DOCS)
