@@ -97,7 +97,7 @@ def _(t: Tables):
     """Robots files that grow with the log: a rule for every event that failed or signed up."""
     asked = t.sql(f"WITH {MANY} SELECT seq, concat('https://', host, path) AS url FROM asked")
     lines = t.sql(f"WITH {MANY} SELECT host, struct(seq, concat(kind, ': ', prefix) AS line) AS line FROM ruled")
-    listed = F.transform(F.array_sort(F.collect_list("line")), lambda r: r["line"])  # a host's group is its file
+    listed = F.transform(F.sort_array(F.collect_list("line")), lambda r: r["line"])  # a host's group is its file
     files = lines.groupBy("host").agg(F.concat(F.lit("User-agent: *\n"), F.array_join(listed, "\n")).alias("body"))
     return robots.check_urls(asked, files).select("seq", "allowed")
 

@@ -205,3 +205,49 @@ def test_regional_registry(spark, tmp_path):
 def test_sources_without_directories_keep_their_list_pages(spark):
     got = {r.id: r.keep_paths for r in registry.with_keep_paths(registry.source_table(spark)).collect()}
     assert got["cde"] == ["/"] and got["nhsa"] == ["/art/"]
+
+
+def test_long_robots_files_are_read_in_chunks(spark):
+    """Whatever the chunks, rules are those of the whole file, and no task reads a long file alone."""
+    rng = random.Random(5)
+    lines = ["User-agent: *", "User-agent: other", "user-agent: EDICTUM", "# c", "", "Crawl-delay: 1", "Disallow:", "Allow: /a", "Disallow: /a/b", "Allow"]
+    bodies = [(f"h{i}", "\n".join(rng.choices(lines, k=rng.randint(1, 40)))) for i in range(60)]
+    files = spark.createDataFrame(bodies, "host string, body string")
+    want = {}
+    for r in sorted(robots.robots_rules(files).collect(), key=lambda r: r.seq):
+        want.setdefault(r.host, []).append((r.kind, r.prefix))
+    for chunk in (1, 3, 100):
+        got = {}
+        for r in sorted(robots._rules_of_long(files, "edictum", "last", chunk).collect(), key=lambda r: r.seq):
+            got.setdefault(r.host, []).append((r.kind, r.prefix))
+        assert got == want and len(got) > 40
+    body = "User-agent: other\nDisallow: /p/1\nUser-agent: *\n" + "\n".join(f"{'Dis' if i % 3 else ''}allow: /p/{i}" for i in range(9000))
+    body += "\nUser-agent: other\nDisallow: /\nDisallow: /p/8"
+    assert len(body) > robots.LONG_FILE
+    asked = spark.createDataFrame([(f"https://{h}/p/{i}x",) for i in range(0, 9900, 7) for h in ("long", "none")], "url string")
+    for mode in ("last", "longest", "any_disallow"):
+        found = robots.check_urls(asked, spark.createDataFrame([("long", body), ("empty", None)], "host string, body string"), mode=mode)
+        for r in found.collect():
+            hits = [x for k in range(1, 5) for x in [int(r.url.split("/p/")[1][:-1][:k] or -1)] if 0 <= x < 9000 and r.url.split("/p/")[1][:-1].startswith(str(x))]
+            hits = sorted(set(hits))
+            decided = (hits[-1] % 3 == 0) if hits else True
+            if mode == "any_disallow":
+                decided = False  # Disallow: / of the foreign section counts
+            assert r.allowed == (decided if "//long/" in r.url else True), (mode, r.url)
+
+
+def test_list_pages_are_parsed_before_robots_are_asked(spark, monkeypatch):
+    """Checks that read their rows more than once read staged items, not the list pages."""
+    from edictum.plans import ingest
+
+    asked = []
+    monkeypatch.setattr(ingest, "allowed_only", lambda urls, rules, **o: asked.append(urls) or robots.allowed_only(urls, rules, **o))
+    kinds = "page_id bigint, source string, url string, base string, html string"
+    page = '<ul><li><a href="/xxgk/fgwj/gzwj/gzwjyp/%d.html">关于药品的公告</a><span>2024-05-01</span></li></ul>'
+    at = "https://www.nmpa.gov.cn/xxgk/fgwj/gzwj/gzwjyp/"
+    lists = spark.createDataFrame([(i, "nmpa", at, at, page % i) for i in range(3)], kinds)
+    pages = spark.createDataFrame([(i, "nmpa", f"{at}{i}.html", "", "<h1>公告</h1><p>正文</p>") for i in range(3)], kinds)
+    rules = spark.createDataFrame([("www.nmpa.gov.cn", f"User-agent: *\nDisallow: /xxgk/fgwj/gzwj/gzwjyp/1")], ROBOTS)
+    batch = ingest.crawl_batch(lists, pages, registry.source_table(spark), "2024-05-02", robots=rules)
+    assert sorted(r.source_url for r in batch.collect()) == [f"{at}0.html", f"{at}2.html"]
+    assert "staged-" in "".join(asked[0].inputFiles())
