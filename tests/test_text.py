@@ -118,3 +118,21 @@ def test_clamping(values):
     raws = ["5", "abc", "999", "-3", None, " 7 "]
     assert values(dates.clamp_int(V, 20, 1, 100), raws) == [5, 20, 100, 1, 20, 7]
     assert [dates.clamp(r, 20, 1, 100) for r in raws] == [5, 20, 100, 1, 20, 7]
+
+
+def test_scrubbing_finds_what_it_found_at_every_place(values):
+    """The masks look behind the first character of a number; what they find is what looking behind each place finds."""
+    rng = random.Random(8)
+    raws = ["".join(rng.choices("1389٣Xx a", [6, 3, 3, 1, 1, 1, 1, 1, 1], k=rng.randint(9, 60))) for _ in range(3000)]
+    raws += ["1" * n for n in range(8, 40)] + ["13" + "8" * 9, "x13" + "8" * 9 + "y", "0" + "13" + "8" * 9, "2" * 17 + "X"]
+    want = [re.sub(r"(?<!\d)1[3-9]\d{9}(?!\d)", text.MOBILE_MASK, re.sub(r"(?<!\d)\d{17}[\dXx](?!\d)", text.ID_CARD_MASK, r)) for r in raws]
+    assert values(text.scrub_pii(V), raws) == want and sum(w != r for w, r in zip(want, raws)) > 100
+
+
+def test_pages_are_scanned_no_more_than_needed(spark):
+    """One pattern scan finds a document number, and blanks that stand alone are not replaced."""
+    plan = spark.range(1).select(text.doc_number(F.col("id").cast("string")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\d{4}") == 1
+    text_of = spark.range(1).select(text.clean_html_text(F.lit("a b  c \u3000d\te\u3000f <b>g</b> h")).alias("t")).first().t
+    assert text_of == "a b c d e f g h"
+    assert "{2,}|" in str(text.clean_html_text(F.col("v"))._jc)

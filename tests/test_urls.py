@@ -34,3 +34,9 @@ def test_parts(values):
 def test_attachment_names(values):
     raws = ["https://x/a%20b.pdf", "https://x/", "https://x/%zz", "https://x/a+b.pdf", "https://x/%E6%96%87.doc"]
     assert values(urls.attachment_name(F.col("v")), raws) == ["a b.pdf", "file", "file", "a+b.pdf", "文.doc"]
+
+
+def test_references_of_one_page_resolve_as_one_by_one(spark):
+    df = spark.createDataFrame([(b, HREFS) for b in BASES], "base string, hrefs array<string>")
+    got = df.select("base", urls.resolve_urls(F.col("base"), F.col("hrefs")).alias("urls")).collect()
+    assert [(r.base, r.urls) for r in got] == [(b, [urljoin(b, h) for h in HREFS]) for b in BASES]
