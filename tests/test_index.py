@@ -87,3 +87,48 @@ def test_point_lookups_read_few_row_groups(spark, root):
 def test_grams_of_short_and_wide_text(values):
     assert values(grams.grams(F.col("v")), ["", "ab", "ABc", "药品集采", "a🙂bc", None]) == [[], [], ["abc"], ["药品集", "品集采"], ["a🙂b", "🙂bc"], None]
     assert grams.pieces("a%%b_c") == ["a", "b", "c"] and re.match("file:///", grams._plain("file:/x"))
+
+
+ODD = ["", "ab", "ABc", "药品集采", "a🙂bc", None, "İstanbul ΑΣ ẞ", "nul\x00 in\n\tit", "x" * 50, "\ufffd\uffff", "the word the word " * 40, "集采药品追溯码" * 30]
+
+
+def test_gram_rows_are_grams(spark):
+    some = [("f1" if k < 7 else "f2", ODD[k], ODD[-k - 1], ODD[(5 * k) % len(ODD)]) for k in range(len(ODD))]
+    texts = spark.createDataFrame(some, "file string, title string, content string, doc_number string").repartition(2)
+    texts = texts.unionByName(spark.sql("SELECT 'f3' AS file, CAST(X'41FF42E8AF434445' AS STRING) AS title, CAST(X'41FF' AS STRING) AS content, CAST(NULL AS STRING) AS doc_number"))
+    each = F.explode(F.concat(*[F.coalesce(grams.grams(F.col(c)), F.array().cast("array<string>")) for c in grams.SEARCHED]))
+    want = {tuple(r) for r in texts.select("file", each).collect()}
+    assert len(want) > 70 and len({f for f, _ in want}) == 3
+    for block in (1, 2, 7, 64, grams.BLOCK):
+        assert {tuple(r) for r in grams.gram_rows(texts, block).collect()} == want, block
+
+
+def test_repeated_grams_stay_in_the_task(spark):
+    texts = spark.range(0, 2000, 1, 2).selectExpr("'f' AS file", "'The same title' AS title", "repeat('The same text ', 9) AS content", "'' AS doc_number")
+    assert grams.gram_rows(texts).count() <= 2 * 30
+
+
+def test_known_files_are_not_read_again(spark, root, monkeypatch):
+    at, seen, made = f"{root}/again", [], grams.gram_rows
+    monkeypatch.setattr(grams, "gram_rows", lambda texts: seen.append(texts) or made(texts))
+    for part, n in enumerate((90, 20)):
+        spark.createDataFrame(rows(n, 100 * part), SCHEMA).repartition(3).write.parquet(f"{at}/rows/{part} é")
+        table = read(spark, at)
+        assert grams.update_index(table, f"{at}/index") == 3
+    assert [scanned(texts) for texts in seen] == [90, 20]
+    assert grams.read_files(spark, f"{at}/index").distinct().count() == 6
+
+
+def test_texts_without_the_caseless_part_are_not_folded(spark, root):
+    assert [grams.caseless_part(k) for k in ("废止%the", "SRC1〔2021〕", "abc", "a12b345", "k\u0307é", "12%药品集")] == ["废止", "1〔2021〕", "", "345", "", "药品集"]
+    at = f"{root}/part"
+    texts = ["SRC1〔2021〕7号", "src1〔2021〕", "src1〔2020〕", None, "废止 THE", "the 废止"]
+    some = [(k, a, b, "A", dt.date(2024, 1, 1), "有效", f"https://a/{k}", c, "[]") for k, (a, b, c) in enumerate((a, b, c) for a in texts for b in texts for c in texts)]
+    spark.createDataFrame(some, SCHEMA).repartition(3).write.parquet(f"{at}/rows")
+    table = read(spark, at)
+    grams.update_index(table, f"{at}/index")
+    for w in ("Src1〔2021〕", "废止%the", "2020", "废止"):
+        want = sorted(r.id for r in search.search(table, keyword=w).collect())
+        found = grams.search_stored(table, f"{at}/index", w)
+        assert want and sorted(r.id for r in found.collect()) == want, w
+        assert "contains(" in found._jdf.queryExecution().optimizedPlan().toString().lower()
