@@ -1,10 +1,11 @@
 """Links between items and documents, enrichment."""
 
+import hashlib
 import random
 
 from pyspark.sql import functions as F
 
-from edictum.operators import enrichment, linkage
+from edictum.operators import containment, enrichment, linkage
 from edictum.operators.registry import source_table
 
 ITEMS = "page_id bigint, pos int, source string, url string, title string, date string"
@@ -84,6 +85,36 @@ def test_titles_are_never_compared_pair_by_pair(spark):
     assert "NestedLoop" not in plan.toString() and "Cartesian" not in plan.toString()
 
 
+def test_places_of_titles_are_not_rows(spark):
+    """Titles are searched in arrays; before, each place of a title was a row that was dealt out."""
+    docs = spark.createDataFrame([doc(i, "s", f"d{i}", f"关于印发第{i}号文件的通知") for i in range(9)], DOCS)
+    items = spark.createDataFrame([(1, i, "s", f"u{i}", f"第{i}号文件", "") for i in range(9)], ITEMS)
+    matched = linkage.match_titles(items, docs)
+    assert "explode" not in matched._jdf.queryExecution().toString()
+    assert sorted((r.url, r.item_url) for r in matched.collect()) == [(f"d{i}", f"u{i}") for i in range(9)]
+
+
+def test_held_texts_against_all_pairs(spark):
+    """Tiny blocks, filters that are too small, several rounds, and beginnings that all texts share."""
+    rng = random.Random(13)
+    words = ["国家", "药监局", "关于发布", "通知", "a", "ab", "The ", "\U0001f600", " ", "é", "2026年第1号公告"]
+    made = lambda n: "".join(rng.choice(words) for _ in range(n))
+    texts = {made(rng.choice([1, 1, 2, 3, 6, 15, 60])) for _ in range(180)} | {"国家药品监督管理局关于发布" + made(2) for _ in range(60)}
+    texts |= {"ab" * n for n in (1, 7, 8, 200)} | {"e", "x" * 4000 + made(3)}
+    rows = [(g, t) for t in sorted(texts) for g in rng.choice([["s"], ["q"], ["s", "q"]])]
+    df = spark.createDataFrame(rows, "grp string, t string").withColumn("key", F.unhex(F.md5("t")))
+    of = {hashlib.md5(t.encode()).digest(): t for t in texts}
+    want = sorted((g, a, b) for g, a in rows for h, b in rows if g == h and a != b and b in a)
+    assert len(want) > 1000
+    for options in ({}, {"block": 100}, {"most": 100}, {"words": 16}):
+        found = containment.held_texts(df, ["grp", "key"], **options).collect()
+        pairs = [(r.grp, of[bytes(r.key)], of.get(bytes(r.held))) for r in found]
+        known = [p for p in pairs if (p[0], p[2]) in set(rows)]
+        assert sorted(known) == want
+        assert len(pairs) < 1.2 * len(want) or options  # a filter of its size is seldom mistaken
+    assert containment.held_texts(df.limit(0), ["key"]).count() == 0
+
+
 # ---------------------------------------------------------------- enrichment
 
 POLICY = "source_url string, content string, attachments array<struct<url:string,file:string>>, images array<struct<url:string>>"
