@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -115,6 +116,28 @@ def test_held_texts_against_all_pairs(spark):
     assert containment.held_texts(df.limit(0), ["key"]).count() == 0
 
 
+def exchanged(df):
+    """What each exchange of a plan deals out."""
+    plan = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return re.findall(r"\(\d+\) Exchange\nInput[^:]*: (.*)", plan)
+
+
+def test_contents_are_dealt_out_once(spark):
+    """A document twice, two of one URL, two for one row: the first by page_id and URL gives all fields."""
+    docs = [doc(7, "s", "d1", "关于甲的通知"), doc(5, "s", "d1", "关于甲的通知"), doc(5, "s", "d1", "关于甲的通知"), doc(6, "s", "d0", "甲的通知"), doc(9, "s", "d9", "无")]
+    items = spark.createDataFrame([(1, 0, "s", "u", "关于甲的通知全文", ""), (2, 0, "s", "u", "同一地址", ""), (3, 0, "s", "v", "乙", "")], ITEMS)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        linked = linkage.link_by_title(items, spark.createDataFrame(docs, DOCS), source_table(spark))
+        heavy = [e for e in exchanged(linked) if re.search(r"\b(content|doc|min_by|minby)#|valueWithOrdering#", e)]
+        assert len(heavy) == 1
+        got = sorted((r.page_id, r.doc_number, r.content) for r in linked.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert got == [(1, "号5", "正文5"), (2, "号5", "正文5"), (3, "", "")]
+
+
 # ---------------------------------------------------------------- enrichment
 
 POLICY = "source_url string, content string, attachments array<struct<url:string,file:string>>, images array<struct<url:string>>"
