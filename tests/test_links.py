@@ -138,6 +138,22 @@ def test_contents_are_dealt_out_once(spark):
     assert got == [(1, "号5", "正文5"), (2, "号5", "正文5"), (3, "", "")]
 
 
+def test_rows_without_a_document_are_dealt_out_by_their_own_url(spark):
+    """Items named like a document's URL, or like nothing: none takes fields, and they meet contents in many tasks."""
+    items = spark.createDataFrame([(i, 0, "s", f"u{i}", f"甲{i}", "") for i in range(64)] + [(99, 0, "s", "d1", "无文", "")], ITEMS)
+    docs = spark.createDataFrame([doc(1, "s", "d1", "乙通知"), doc(2, "s", "d2", "甲7")], DOCS)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        linked = linkage.link_by_title(items, docs, source_table(spark)).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held[0])
+        spark.conf.set("spark.sql.adaptive.enabled", held[1])
+    assert [r.page_id for r in linked if r.content] == [7]
+    assert len({r.task for r in linked}) > 4
+
+
 # ---------------------------------------------------------------- enrichment
 
 POLICY = "source_url string, content string, attachments array<struct<url:string,file:string>>, images array<struct<url:string>>"
